@@ -10,8 +10,10 @@ Plan shape of ``daily_kpis`` (one Spark job, no driver round trip):
           -> genre KPIs -> top 5 per date -> list ---------------- join on date
 
 Everything after the song join runs on aggregated data (days x genres x names), which is small
-whatever the number of plays. The shared plays subplan is reused across branches by Spark's
-exchange reuse rather than cached, so an executor loss recomputes from shuffle files.
+whatever the number of plays. The listen table feeds three branches; left lazy, Catalyst prunes and
+infers filters differently in each branch, so their exchanges differ and the scan, the distinct and
+the join would run three times. It is therefore written once to Parquet under the shared checkpoint
+folder (``stage``), which also cuts the lineage: a lost executor re-reads it instead of recomputing.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from listenkpi.operators.kpis import genre_kpis, genre_kpis_per_play
 from listenkpi.operators.quality import clean_plays, clean_songs, fill_unknown
 from listenkpi.operators.rank import song_plays, top_genres, top_genres_list, top_songs, top_songs_list
 from listenkpi.schemas import KPI_COLUMNS, TOP_GENRES, TOP_SONGS
+from listenkpi.sources.sinks import stage
 
 PER_PLAY_COLUMNS = [
     "date",
@@ -51,27 +54,34 @@ def order_kpis(df: DataFrame) -> DataFrame:
 
 
 def kpis_from_clean(plays: DataFrame, songs: DataFrame, k_songs: int = TOP_SONGS,
-                    k_genres: int = TOP_GENRES) -> DataFrame:
-    """Q1 on plays and songs that are already cleaned (used by the incremental job)."""
+                    k_genres: int = TOP_GENRES, materialize: bool = True) -> DataFrame:
+    """Q1 on plays and songs that are already cleaned (used by the incremental job).
+
+    With ``materialize`` the pre-aggregated listen table is written once (``stage``) and the three
+    branches read it; otherwise each branch plans its own copy of the scan, distinct and join."""
     listens = listen_table(plays, songs)
+    if materialize:
+        listens = stage(listens, "listens")
     out = assemble(genre_kpis(listens), song_plays(listens), k_songs, k_genres)
     return out.select(*KPI_COLUMNS)
 
 
 def daily_kpis(plays: DataFrame, songs: DataFrame, k_songs: int = TOP_SONGS, k_genres: int = TOP_GENRES,
-               ordered: bool = True) -> DataFrame:
+               ordered: bool = True, materialize: bool = True) -> DataFrame:
     """Q1, the daily job: clean, join, KPIs, top songs and genres; unique on ``(date, track_genre)``."""
-    out = kpis_from_clean(clean_plays(plays), clean_songs(songs), k_songs, k_genres)
+    out = kpis_from_clean(clean_plays(plays), clean_songs(songs), k_songs, k_genres, materialize)
     return order_kpis(out) if ordered else out
 
 
 def daily_kpis_per_play(plays: DataFrame, songs: DataFrame, k_songs: int = TOP_SONGS,
-                        k_genres: int = TOP_GENRES, ordered: bool = True) -> DataFrame:
+                        k_genres: int = TOP_GENRES, ordered: bool = True, materialize: bool = True) -> DataFrame:
     """Q2, the notebook variant: songs filled only (no distinct, no drop), plays taken as they are
     (copies count twice, NULL listeners count as plays but not as listeners), total time in ms and
     the mean duration per play."""
     daily = with_date(plays).groupBy("date", "track_id", "user_id").agg(F.count(F.lit(1)).alias("plays"))
     listens = join_songs(daily, fill_unknown(songs).select(*SONG_FIELDS))
+    if materialize:
+        listens = stage(listens, "listens_per_play")
     counted = listens.withColumn("plays_with_track", F.when(F.col("track_id").isNotNull(), F.col("plays")).otherwise(0))
     out = assemble(genre_kpis_per_play(listens), song_plays(counted, "plays_with_track"), k_songs, k_genres)
     out = out.select(*PER_PLAY_COLUMNS)
