@@ -35,6 +35,9 @@ FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey"""
 
 PLAYS = {"orders": PLAYS_ORDERS, "events": PLAYS_EVENTS}
 
+# Ship date splitting the CSV test drops in two (both halves are used).
+SPLIT_DATE = "1998-01-01"
+
 
 def r2(expr: str) -> str:
     """Half-up rounding to 2 decimals of a double expression, as Spark's ``round``."""
@@ -167,4 +170,23 @@ def oracle_queries() -> dict[str, str]:
                                "FROM g GROUP BY track_id HAVING count(*) > 1", kpis=False),
         "plays_without_song": _q("SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM g WHERE g.track_id = s.track_id)",
                                  kpis=False),
+        "csv_roundtrip_kpis": daily_genre_kpis("orders"),
+        "csv_mixed_headers": _q("SELECT * FROM k"),
+        "missing_columns_report": _q(f"""
+SELECT 'plays' AS "table", c AS "column", true AS present,
+       CAST(CASE WHEN c = 'listen_time' AND n > 0 THEN 1 ELSE 0 END AS BIGINT) AS files_missing,
+       CAST(CASE WHEN c = 'listen_time' THEN n ELSE 0 END AS BIGINT) AS rows_missing
+FROM (SELECT count(*) FILTER (WHERE listen_time >= TIMESTAMP '{SPLIT_DATE}') AS n FROM pv) t,
+     (VALUES ('user_id'), ('track_id'), ('listen_time')) v(c)""", kpis=False),
+        "load_and_stage": _q("""
+SELECT 'plays' AS "table", count(*) AS rows FROM pv
+UNION ALL SELECT 'songs', count(*) FROM sv
+UNION ALL SELECT 'users', count(*) FROM uv""", kpis=False),
+        "kpi_upsert": daily_genre_kpis("orders"),
+        "kpi_incremental": daily_genre_kpis("orders"),
+        "expand_records": """
+SELECT CAST(1 AS BIGINT) AS number, n_name AS craft, c_name AS name,
+       c_name || ' is currently in space flying on the ' || n_name || '! Hello! :)' AS message,
+       true AS number_matches
+FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     }

@@ -10,9 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from listenkpi.operators import diagnostics, enrich, jobs, kpis, quality, rank
-from listenkpi.session import ensure_defaults
-from listenkpi.sources import views
+from listenkpi.schemas import KPI_COLUMNS
+from listenkpi.session import ensure_defaults, scratch_path
+from listenkpi.sources import csv as csv_source
+from listenkpi.sources import records, sinks, views
+from listenkpi.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -147,6 +152,104 @@ def plays_without_song(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diagnostics.plays_without_song(quality.clean_plays(plays), quality.clean_songs(songs))
 
 
+# --- sources and sinks (S1-S9, C5-C7, Q7) ---------------------------------------------------------
+# These queries write the view's tables as CSV folders under the shared scratch folder, then run the
+# readers (or writers) under test over them; the result must equal the same query on the tables.
+
+SPLIT_DATE = "1998-01-01"
+
+
+def _write_inputs(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """CSV drops of the three tables under ``root``: ``streams/`` (plays), ``songs/``, ``users/``."""
+    plays, songs, users = _domain(spark, sf_dir)
+    sinks.write_csv(plays, f"{root}/streams")
+    sinks.write_csv(songs, f"{root}/songs")
+    sinks.write_csv(users, f"{root}/users")
+
+
+def csv_roundtrip_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily job read back from CSV folders (typed after the read)."""
+    root = scratch_path(spark, "csv-roundtrip")
+    _write_inputs(spark, sf_dir, root)
+    t = csv_source.load_inputs(spark, root)
+    return jobs.daily_kpis(t["plays"], t["songs"])
+
+
+def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder of play files whose columns come in two different orders (by ship year);
+    the union by name must give the same KPIs as the table itself."""
+    plays, songs, _ = _domain(spark, sf_dir)
+    root = scratch_path(spark, "csv-mixed")
+    early = F.col("listen_time") < F.lit(SPLIT_DATE).cast("timestamp")
+    sinks.write_csv(plays.where(early).select("user_id", "track_id", "listen_time"), f"{root}/a")
+    sinks.write_csv(plays.where(~early).select("listen_time", "track_id", "user_id"), f"{root}/b")
+    return kpis.genre_kpis(enrich.listen_table(
+        quality.clean_plays(csv_source.read_plays(spark, root)), quality.clean_songs(songs)))
+
+
+def missing_columns_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Play files from the ship year 1998 on lack ``listen_time``; report what is missing
+    where (the combined table still has the column, so the gate passes)."""
+    plays, _, _ = _domain(spark, sf_dir)
+    root = scratch_path(spark, "csv-missing")
+    early = F.col("listen_time") < F.lit(SPLIT_DATE).cast("timestamp")
+    sinks.write_csv(plays.where(early), f"{root}/a")
+    sinks.write_csv(plays.where(~early).drop("listen_time"), f"{root}/b")
+    return csv_source.missing_columns_report(spark, root, "plays")
+
+
+def load_and_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Combine the three CSV drops, check them, stage them as Parquet; row count per
+    staged table."""
+    root = scratch_path(spark, "load")
+    _write_inputs(spark, sf_dir, root)
+    staged = sinks.stage_tables(csv_source.load_inputs(spark, root), f"{root}/stage")
+    parts = [spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
+             for name, path in staged.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def kpi_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish the KPIs of the plays shipped before 1998, then the KPIs of all plays; the
+    second write replaces every date it holds, so the table read back equals the full job."""
+    plays, songs, _ = _domain(spark, sf_dir)
+    path = scratch_path(spark, "kpi-table")
+    early = F.col("listen_time") < F.lit(SPLIT_DATE).cast("timestamp")
+    sinks.keyed_upsert(jobs.daily_kpis(plays.where(early), songs, ordered=False), path)
+    sinks.keyed_upsert(jobs.daily_kpis(plays, songs, ordered=False), path)
+    return sinks.read_keyed(spark, path, KPI_COLUMNS)
+
+
+def kpi_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plays arrive as three CSV drops in time order (ship years before 1997, 1997-1998,
+    1999 on); a file stream takes one drop per micro-batch, archives processed files and keeps the
+    KPI table current by recomputing the dates each drop touches. The final table equals the daily
+    job over all plays. (Late files for published dates are covered by the tests.)"""
+    plays, songs, _ = _domain(spark, sf_dir)
+    root = scratch_path(spark, "incremental")
+    t = F.col("listen_time")
+    cuts = [F.lit(d).cast("timestamp") for d in ("1997-01-01", "1999-01-01")]
+    drops = [t < cuts[0], (t >= cuts[0]) & (t < cuts[1]), t >= cuts[1]]
+    for i, cond in enumerate(drops):
+        sinks.write_csv(plays.where(cond), f"{root}/incoming/drop{i}")
+    q = incremental.kpi_stream(spark, f"{root}/incoming/*", songs, f"{root}/state",
+                               archive_dir=f"{root}/archive", max_files_per_trigger=1)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return incremental.read_kpis(spark, f"{root}/state")
+
+
+def expand_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON records (one per customer) parsed, expanded to one row per person, messaged."""
+    ensure_defaults(spark)
+    recs = records.customer_records(views.table(spark, sf_dir, "customer"), views.table(spark, sf_dir, "nation"))
+    return records.expand_records(recs)
+
+
 REGISTRY: dict[str, Query] = {
     "daily_genre_kpis": daily_genre_kpis,
     "daily_genre_kpis_events": daily_genre_kpis_events,
@@ -167,4 +270,11 @@ REGISTRY: dict[str, Query] = {
     "clean_songs": clean_songs,
     "ambiguous_tracks": ambiguous_tracks,
     "plays_without_song": plays_without_song,
+    "csv_roundtrip_kpis": csv_roundtrip_kpis,
+    "csv_mixed_headers": csv_mixed_headers,
+    "missing_columns_report": missing_columns_report,
+    "load_and_stage": load_and_stage,
+    "kpi_upsert": kpi_upsert,
+    "kpi_incremental": kpi_incremental,
+    "expand_records": expand_records,
 }

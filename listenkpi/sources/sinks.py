@@ -6,14 +6,15 @@
   stored table (with column pruning) instead of recomputing it, and a lost executor costs a re-read,
   not a recompute from the raw input.
 * ``keyed_upsert``: the KPI table keyed by ``(date, track_genre)``, stored as Parquet partitioned by
-  ``date`` and written with dynamic partition overwrite: the dates present in the new data are
-  replaced as a whole, other dates stay. This is the put-replaces-item behaviour of a key-value
-  sink, applied per date, which is the unit the job recomputes (the top-genre list is per date).
+  month: the dates present in the new data are replaced as a whole, other dates stay. This is the
+  put-replaces-item behaviour of a key-value sink, applied per date, which is the unit the job
+  recomputes (the top-genre list is per date).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from listenkpi.session import scratch_path
 
@@ -48,20 +49,79 @@ def stage_tables(tables: dict[str, DataFrame], root: str) -> dict[str, str]:
     return out
 
 
-def keyed_upsert(df: DataFrame, path: str, partition_col: str = "date") -> str:
-    """Replace the partitions (dates) present in ``df``; keep every other partition. A NULL date is
-    its own partition and is replaced like any other."""
+def cluster_for_write(df: DataFrame, cols: list[str], spread: str | None = None,
+                      tasks: int | None = None) -> DataFrame:
+    """Co-locate the rows of each output partition so a write produces few files per partition.
+
+    Range partitioning on the partition columns (plus ``spread``): each task covers a contiguous run
+    of partition values, so a task opens few files, and a value holding a large share of the rows
+    (a hot day) is cut into several tasks by ``spread`` instead of landing in one. ``tasks`` fixes
+    the number of write tasks (default: the session's shuffle partitions)."""
+    spark = df.sparkSession
+    n = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(c) for c in cols] + ([F.col(spread)] if spread else [])
+    return df.repartitionByRange(n, *keys)
+
+
+def write_partitions(df: DataFrame, path: str, cols: list[str], spread: str | None = None) -> str:
+    """Overwrite only the partitions present in ``df`` (dynamic partition overwrite)."""
     spark = df.sparkSession
     previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        df.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+        cluster_for_write(df, cols, spread).write.mode("overwrite").partitionBy(*cols).parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
     return path
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema  # noqa: B018  (schema resolution lists the folder only)
+        return True
+    except Exception:  # AnalysisException: path does not exist / no files
+        return False
+
+
+def null_safe_in(col: str, values: list):
+    known = [v for v in values if v is not None]
+    cond = F.col(col).isin(known) if known else F.lit(False)
+    if any(v is None for v in values):
+        cond = cond | F.col(col).isNull()
+    return cond
+
+
+def keyed_upsert(df: DataFrame, path: str, key: str = "date", granule: str = "month") -> str:
+    """Upsert ``df`` into the keyed table at ``path``: every ``key`` value (date) present in ``df``
+    is replaced as a whole; other dates stay.
+
+    The table is partitioned by ``month`` of the date (a KPI day holds one row per genre, so daily
+    partitions would be a flood of tiny files). An upsert reads only the months it touches (partition
+    pruning), keeps their rows of untouched dates, adds the new rows, stages that (it cannot
+    overwrite what it reads) and overwrites those months. The touched dates and months are collected
+    to the driver: bounded by the number of days in the update. A NULL date is a key like any other."""
+    spark = df.sparkSession
+    part = F.date_format(F.col(key), "yyyy-MM") if granule == "month" else F.col(key)
+    new = stage(df.withColumn(granule, part), "upsert-new", spark)  # computed once, read below
+    keys = new.select(key, granule).distinct().collect()
+    if not keys:
+        return path
+    dates = [r[0] for r in keys]
+    months = sorted({r[1] for r in keys}, key=lambda m: (m is None, m))
+    if _exists(spark, path):
+        kept = (
+            spark.read.parquet(path)
+            .where(null_safe_in(granule, months))
+            .where(~null_safe_in(key, dates))
+            .select(*new.columns)
+        )
+        merged = stage(kept.unionByName(new), "upsert", spark)
+    else:
+        merged = new
+    return write_partitions(merged, path, [granule])
+
+
 def read_keyed(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """Read the keyed table back, columns in the given order (the partition column comes back last)."""
-    df = spark.read.parquet(path)
+    """Read the keyed table back, columns in the given order (the partition column is dropped)."""
+    df = spark.read.parquet(path).drop("month")
     return df.select(*columns) if columns else df
