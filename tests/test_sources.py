@@ -1,0 +1,173 @@
+"""CSV folder reading, the required-column gate and reports, the keyed sink, the incremental stream."""
+
+import datetime as dt
+import os
+
+import pytest
+from conftest import rows
+
+from listenkpi import daily_kpis
+from listenkpi.session import scratch_path
+from listenkpi.sources import csv as C
+from listenkpi.sources import records, sinks
+from listenkpi.streaming import incremental as I
+
+SONGS_HEADER = "track_id,track_name,artists,track_genre,duration_ms,popularity\n"
+
+
+def write(path, name, text):
+    os.makedirs(path, exist_ok=True)
+    with open(os.path.join(path, name), "w") as f:
+        f.write(text)
+    return str(path)
+
+
+def test_quoted_multiline_value_kept(spark, tmp_path):
+    d = write(tmp_path / "songs", "s.csv", SONGS_HEADER + 't1,"Say ""hi"", then\nbye",A,pop,1000,1\n')
+    s = C.read_songs(spark, d)
+    assert rows(s, "track_name") == [('Say "hi", then\nbye',)]
+
+
+def test_short_and_long_rows(spark, tmp_path):
+    d = write(tmp_path / "p", "a.csv", "user_id,track_id,listen_time\nu1,t1\nu2,t2,2024-01-01 00:00:00,extra\n")
+    assert rows(C.read_plays(spark, d), "user_id", "track_id", "listen_time") == [
+        ("u1", "t1", None), ("u2", "t2", "2024-01-01 00:00:00")]
+
+
+def test_tokens_become_null_unless_off(spark, tmp_path):
+    d = write(tmp_path / "songs", "s.csv", SONGS_HEADER + "t1,NA,A,pop,1,1\nt2,null,A,pop,1,1\nt3,None,A,pop,1,1\n")
+    assert rows(C.read_songs(spark, d), "track_name") == [(None,), (None,), (None,)]
+    assert rows(C.read_songs(spark, d, na_tokens=False), "track_name") == [("NA",), ("None",), ("null",)]
+
+
+def test_token_title_ends_as_unknown_genre_kept(spark, tmp_path):
+    d = write(tmp_path / "songs", "s.csv", SONGS_HEADER + "t1,None,A,pop,60000,1\n")
+    p = write(tmp_path / "plays", "p.csv", "user_id,track_id,listen_time\nu1,t1,2024-01-01 10:00:00\n")
+    out = daily_kpis(C.read_plays(spark, p), C.read_songs(spark, d))
+    assert rows(out, "track_genre", "top_3_songs_per_genre") == [("pop", "Unknown")]
+
+
+def test_numbers_written_as_floats_parse(spark, tmp_path):
+    d = write(tmp_path / "songs", "s.csv", SONGS_HEADER + "t1,n,A,pop,180000.0,5\nt2,n,A,pop,abc,5\n")
+    assert rows(C.read_songs(spark, d), "duration_ms") == [(None,), (180000,)]
+
+
+def test_mixed_headers_follow_names(spark, tmp_path):
+    d = tmp_path / "p"
+    write(d, "a.csv", "user_id,track_id,listen_time\nu1,t1,2024-01-01 10:00:00\n")
+    write(d, "b.csv", "listen_time,track_id,user_id\n2024-01-02 10:00:00,t2,u2\n")
+    assert rows(C.read_plays(spark, str(d)), "user_id", "track_id", "listen_time") == [
+        ("u1", "t1", "2024-01-01 10:00:00"), ("u2", "t2", "2024-01-02 10:00:00")]
+
+
+def test_missing_column_in_one_file(spark, tmp_path):
+    d = tmp_path / "p"
+    write(d, "a.csv", "user_id,track_id,listen_time\nu1,t1,2024-01-01 10:00:00\n")
+    write(d, "b.csv", "user_id,track_id\nu2,t2\nu3,t3\n")
+    plays = C.read_plays(spark, str(d))  # the combined table passes the gate
+    assert plays.count() == 3
+    rep = {r["column"]: r for r in C.missing_columns_report(spark, str(d), "plays").collect()}
+    assert (rep["listen_time"]["files_missing"], rep["listen_time"]["rows_missing"]) == (1, 2)
+    assert rep["user_id"]["files_missing"] == 0
+    by_file = C.missing_columns_by_file(C.file_headers(spark, str(d)), ["user_id", "track_id", "listen_time"])
+    (only,) = by_file.collect()
+    assert only["path"].endswith("b.csv") and only["missing"] == ["listen_time"]
+    # its plays are dropped by the job's NULL drop
+    songs = spark.createDataFrame([("t1", "n", "a", "pop", 1, 1)], "track_id string, track_name string, "
+                                  "artists string, track_genre string, duration_ms bigint, popularity bigint")
+    assert rows(daily_kpis(plays, songs), "listen_count") == [(1,)]
+
+
+def test_missing_column_in_all_files_raises(spark, tmp_path):
+    d = write(tmp_path / "p", "a.csv", "user_id,track_id\nu1,t1\n")
+    with pytest.raises(ValueError, match="listen_time"):
+        C.read_plays(spark, d)
+
+
+def test_empty_folder_and_folder_without_csv_raise(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(ValueError):
+        C.read_plays(spark, str(tmp_path / "empty"))
+    d = write(tmp_path / "txt", "notes.txt", "hello\n")
+    with pytest.raises(ValueError, match="csv"):
+        C.read_plays(spark, d)
+
+
+def test_load_inputs_gate_names_tables(spark, tmp_path):
+    write(tmp_path / "streams", "a.csv", "user_id,track_id,listen_time\nu1,t1,2024-01-01 10:00:00\n")
+    write(tmp_path / "songs", "s.csv", SONGS_HEADER + "t1,n,A,pop,1,1\n")
+    write(tmp_path / "users", "u.csv", "user_id,user_name\nu1,x\n")
+    with pytest.raises(ValueError, match="users"):
+        C.load_inputs(spark, str(tmp_path) + "//")
+
+
+def test_path_normalisation():
+    assert C.normalize_path("s3://b/x//streams/") == "s3://b/x/streams"
+    assert C.normalize_path("/tmp/a//b/") == "/tmp/a/b"
+
+
+KPI_SCHEMA = ("date date, track_genre string, listen_count bigint, unique_listeners bigint, "
+              "total_listening_time double, avg_listening_time_per_user double, "
+              "top_3_songs_per_genre string, top_5_genres_per_day string")
+
+
+def test_keyed_upsert_replaces_dates_keeps_others(spark):
+    path = scratch_path(spark, "t-upsert")
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    first = spark.createDataFrame([(d1, "pop", 1, 1, 1.0, 1.0, "a", "pop"), (d2, "pop", 2, 1, 1.0, 1.0, "a", "pop"),
+                                   (None, None, 5, 1, None, None, None, None)], KPI_SCHEMA)
+    sinks.keyed_upsert(first, path)
+    second = spark.createDataFrame([(d2, "rock", 7, 1, 1.0, 1.0, "b", "rock")], KPI_SCHEMA)
+    sinks.keyed_upsert(second, path)
+    sinks.keyed_upsert(second, path)  # retried write: same table
+    got = rows(sinks.read_keyed(spark, path), "date", "track_genre", "listen_count")
+    assert got == [(None, None, 5), (d1, "pop", 1), (d2, "rock", 7)]
+
+
+def _songs(spark):
+    return spark.createDataFrame([("t1", "n1", "a", "pop", 60000, 1), ("t2", "n2", "a", "rock", 60000, 1)],
+                                 "track_id string, track_name string, artists string, track_genre string, "
+                                 "duration_ms bigint, popularity bigint")
+
+
+def _run_stream(spark, tmp_path, replace=False):
+    src = tmp_path / "in"
+    write(src / "b1", "f1.csv", "user_id,track_id,listen_time\nu1,t1,2024-01-01 10:00:00\nu2,t2,2024-01-02 10:00:00\n")
+    write(src / "b2", "f2.csv", "user_id,track_id,listen_time\nu3,t1,2024-01-01 12:00:00\n")  # late file for day 1
+    root = scratch_path(spark, "t-stream")
+    q = I.kpi_stream(spark, str(src) + "/*", _songs(spark), root, archive_dir=str(tmp_path / "archive"),
+                     max_files_per_trigger=1, replace=replace)
+    q.awaitTermination()
+    assert q.exception() is None
+    return root, q
+
+
+def test_late_file_adds_to_the_day(spark, tmp_path):
+    root, _ = _run_stream(spark, tmp_path)
+    got = rows(I.read_kpis(spark, root), "date", "track_genre", "listen_count", "unique_listeners")
+    assert got == [(dt.date(2024, 1, 1), "pop", 2, 2), (dt.date(2024, 1, 2), "rock", 1, 1)]
+
+
+def test_parity_mode_replaces_the_day(spark, tmp_path):
+    root, _ = _run_stream(spark, tmp_path, replace=True)
+    got = rows(I.read_kpis(spark, root), "date", "track_genre", "listen_count")
+    assert got == [(dt.date(2024, 1, 1), "pop", 1), (dt.date(2024, 1, 2), "rock", 1)]
+
+
+def test_retried_batch_gives_same_table(spark, tmp_path):
+    root = scratch_path(spark, "t-retry")
+    batch = spark.createDataFrame([("u1", "t1", "2024-01-01 10:00:00")], "user_id string, track_id string, "
+                                  "listen_time string")
+    run = I.process_batch(spark, root, _songs(spark))
+    run(batch, 0)
+    first = rows(I.read_kpis(spark, root), "date", "track_genre", "listen_count")
+    run(batch, 0)  # the same batch again, as after a failure before the commit
+    assert rows(I.read_kpis(spark, root), "date", "track_genre", "listen_count") == first
+
+
+def test_expand_records(spark):
+    recs = spark.createDataFrame([('{"number": 2, "people": [{"craft": "ISS", "name": "A"}, '
+                                   '{"craft": "T", "name": "B"}]}',)], "value string")
+    out = rows(records.expand_records(recs), "name", "message", "number_matches")
+    assert out == [("A", "A is currently in space flying on the ISS! Hello! :)", True),
+                   ("B", "B is currently in space flying on the T! Hello! :)", True)]
