@@ -97,6 +97,8 @@ def process_batch(spark: SparkSession, root: str, songs: DataFrame, replace: boo
     """The ``foreachBatch`` function of ``kpi_stream``."""
     def run(batch: DataFrame, batch_id: int) -> None:
         ensure_defaults(spark)
+        if batch.isEmpty():  # e.g. a header-only file: nothing to store or recompute
+            return
         p = paths(root)
         store_batch(batch, batch_id, p["plays"], na_tokens)
         mine = spark.read.parquet(p["plays"]).where(F.col("batch_id") == int(batch_id))
