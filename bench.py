@@ -40,7 +40,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [q for q in sys.argv[1:] if q in Q.REGISTRY] or [q for q in HEADLINE if q in Q.REGISTRY]
-    spark = local_session(cpus, 2 * int(cpus) if cpus.isdigit() else None, app="listenkpi-bench")
+    spark = local_session(cpus, int(cpus) if cpus.isdigit() else None, app="listenkpi-bench")
     times: dict[str, float] = {}
     for name in only:
         run_once(spark, name, sf_dir)  # warm-up: JIT, file listing, Python imports

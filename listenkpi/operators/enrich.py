@@ -29,10 +29,22 @@ def with_date(plays: DataFrame) -> DataFrame:
     return plays.withColumn("listen_time", ts).withColumn("date", F.to_date("listen_time"))
 
 
-def join_songs(plays: DataFrame, songs: DataFrame) -> DataFrame:
+def join_songs(plays: DataFrame, songs: DataFrame, salt_buckets: int | None = None) -> DataFrame:
     """Left join on ``track_id``: plays without a song stay (NULL song fields); a track listed
-    under several song rows yields one row per song row."""
-    return plays.join(songs, "track_id", "left")
+    under several song rows yields one row per song row.
+
+    ``salt_buckets``: for a song table too large to broadcast, spread every track over that many
+    join tasks. Each play row takes one salt (a hash of its listener and time, so a retried task
+    computes the same salt), each song row is repeated once per salt, and the join runs on
+    ``(track_id, salt)``: a track holding a third of the plays is split ``salt_buckets`` ways, the
+    result is unchanged. The song side grows by the same factor, so use it only where it is needed."""
+    if not salt_buckets or salt_buckets <= 1:
+        return plays.join(songs, "track_id", "left")
+    n = int(salt_buckets)
+    spread = [c for c in ("user_id", "date", "listen_time") if c in plays.columns]
+    salted_plays = plays.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(n)))
+    salted_songs = songs.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
+    return salted_plays.join(salted_songs, ["track_id", "_salt"], "left").drop("_salt")
 
 
 def plays_with_songs(plays: DataFrame, songs: DataFrame) -> DataFrame:
@@ -40,7 +52,7 @@ def plays_with_songs(plays: DataFrame, songs: DataFrame) -> DataFrame:
     return with_date(join_songs(plays, songs))
 
 
-def daily_plays(plays: DataFrame, keep_null_track: bool = False) -> DataFrame:
+def daily_plays(plays: DataFrame) -> DataFrame:
     """Plays collapsed to ``(date, track_id, user_id, plays)``.
 
     ``plays`` counts rows (each row of the cleaned table is one play). The grouping keeps NULL keys,
@@ -48,7 +60,7 @@ def daily_plays(plays: DataFrame, keep_null_track: bool = False) -> DataFrame:
     return with_date(plays).groupBy("date", "track_id", "user_id").agg(F.count(F.lit(1)).alias("plays"))
 
 
-def listen_table(plays: DataFrame, songs: DataFrame) -> DataFrame:
+def listen_table(plays: DataFrame, songs: DataFrame, salt_buckets: int | None = None) -> DataFrame:
     """Pre-aggregated plays joined to the song fields the KPIs use:
     ``date, track_id, user_id, plays, track_name, track_genre, duration_ms``."""
-    return join_songs(daily_plays(plays), songs.select(*SONG_FIELDS))
+    return join_songs(daily_plays(plays), songs.select(*SONG_FIELDS), salt_buckets)

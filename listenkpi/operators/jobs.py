@@ -54,12 +54,13 @@ def order_kpis(df: DataFrame) -> DataFrame:
 
 
 def kpis_from_clean(plays: DataFrame, songs: DataFrame, k_songs: int = TOP_SONGS,
-                    k_genres: int = TOP_GENRES, materialize: bool = True) -> DataFrame:
+                    k_genres: int = TOP_GENRES, materialize: bool = True,
+                    salt_buckets: int | None = None) -> DataFrame:
     """Q1 on plays and songs that are already cleaned (used by the incremental job).
 
     With ``materialize`` the pre-aggregated listen table is written once (``stage``) and the three
     branches read it; otherwise each branch plans its own copy of the scan, distinct and join."""
-    listens = listen_table(plays, songs)
+    listens = listen_table(plays, songs, salt_buckets)
     if materialize:
         listens = stage(listens, "listens")
     out = assemble(genre_kpis(listens), song_plays(listens), k_songs, k_genres)
@@ -67,9 +68,10 @@ def kpis_from_clean(plays: DataFrame, songs: DataFrame, k_songs: int = TOP_SONGS
 
 
 def daily_kpis(plays: DataFrame, songs: DataFrame, k_songs: int = TOP_SONGS, k_genres: int = TOP_GENRES,
-               ordered: bool = True, materialize: bool = True) -> DataFrame:
-    """Q1, the daily job: clean, join, KPIs, top songs and genres; unique on ``(date, track_genre)``."""
-    out = kpis_from_clean(clean_plays(plays), clean_songs(songs), k_songs, k_genres, materialize)
+               ordered: bool = True, materialize: bool = True, salt_buckets: int | None = None) -> DataFrame:
+    """Q1, the daily job: clean, join, KPIs, top songs and genres; unique on ``(date, track_genre)``.
+    ``salt_buckets`` splits hot tracks in the song join (see ``enrich.join_songs``)."""
+    out = kpis_from_clean(clean_plays(plays), clean_songs(songs), k_songs, k_genres, materialize, salt_buckets)
     return order_kpis(out) if ordered else out
 
 

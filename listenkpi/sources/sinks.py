@@ -91,23 +91,27 @@ def null_safe_in(col: str, values: list):
     return cond
 
 
-def keyed_upsert(df: DataFrame, path: str, key: str = "date", granule: str = "month") -> str:
+def keyed_upsert(df: DataFrame, path: str, key: str = "date", granule: str = "month",
+                 dates: list | None = None) -> str:
     """Upsert ``df`` into the keyed table at ``path``: every ``key`` value (date) present in ``df``
     is replaced as a whole; other dates stay.
 
     The table is partitioned by ``month`` of the date (a KPI day holds one row per genre, so daily
     partitions would be a flood of tiny files). An upsert reads only the months it touches (partition
     pruning), keeps their rows of untouched dates, adds the new rows, stages that (it cannot
-    overwrite what it reads) and overwrites those months. The touched dates and months are collected
-    to the driver: bounded by the number of days in the update. A NULL date is a key like any other."""
+    overwrite what it reads, and the range partitioning of the write samples its input, which must
+    not recompute ``df``) and overwrites those months. The touched dates are collected to the driver
+    unless the caller passes them (``dates``): bounded by the number of days in the update. A NULL
+    date is a key like any other."""
     spark = df.sparkSession
     part = F.date_format(F.col(key), "yyyy-MM") if granule == "month" else F.col(key)
-    new = stage(df.withColumn(granule, part), "upsert-new", spark)  # computed once, read below
-    keys = new.select(key, granule).distinct().collect()
-    if not keys:
+    new = df.withColumn(granule, part)
+    if dates is None:
+        new = stage(new, "upsert-new", spark)  # computed once, read by the key collection and the merge
+        dates = [r[0] for r in new.select(key).distinct().collect()]
+    if not dates:
         return path
-    dates = [r[0] for r in keys]
-    months = sorted({r[1] for r in keys}, key=lambda m: (m is None, m))
+    months = sorted({None if d is None else d.strftime("%Y-%m") for d in dates}, key=lambda m: (m is None, m))
     if _exists(spark, path):
         kept = (
             spark.read.parquet(path)
@@ -117,7 +121,7 @@ def keyed_upsert(df: DataFrame, path: str, key: str = "date", granule: str = "mo
         )
         merged = stage(kept.unionByName(new), "upsert", spark)
     else:
-        merged = new
+        merged = stage(new, "upsert", spark)
     return write_partitions(merged, path, [granule])
 
 

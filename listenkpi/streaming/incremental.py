@@ -89,7 +89,7 @@ def recompute(spark: SparkSession, root: str, songs: DataFrame, dates: list) ->
         .where(null_safe_in("date", dates))
         .drop("date", "month", "batch_id")
     )
-    keyed_upsert(daily_kpis(stored, songs, ordered=False), p["kpis"])
+    keyed_upsert(daily_kpis(stored, songs, ordered=False), p["kpis"], dates=dates)
 
 
 def process_batch(spark: SparkSession, root: str, songs: DataFrame, replace: bool = False,
@@ -106,7 +106,8 @@ def process_batch(spark: SparkSession, root: str, songs: DataFrame, replace: boo
         if not dates:
             return
         if replace:
-            keyed_upsert(daily_kpis(mine.drop("date", "month", "batch_id"), songs, ordered=False), p["kpis"])
+            keyed_upsert(daily_kpis(mine.drop("date", "month", "batch_id"), songs, ordered=False), p["kpis"],
+                         dates=dates)
         else:
             recompute(spark, root, songs, dates)
     return run

@@ -34,3 +34,8 @@ def test_listen_counts_sum_to_joined_plays_per_day(spark):
     merged = plays_with_songs(quality.clean_plays(plays), quality.clean_songs(songs))
     joined = {r["date"]: r["n"] for r in merged.groupBy("date").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert per_day == joined
+
+
+def test_salted_song_join_gives_the_same_result(spark):
+    plays, songs, _ = views.domain(spark, SF0001)
+    assert rows(daily_kpis(plays, songs, salt_buckets=4), *COLS) == rows(daily_kpis(plays, songs), *COLS)

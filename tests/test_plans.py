@@ -50,3 +50,14 @@ def test_staged_job_reads_listens_once_per_branch(spark):
     df = Q.daily_genre_kpis(spark, SF0001)
     # after staging, no branch rescans the raw line items
     assert "lineitem" not in inspect.plan_text(df, "simple")
+
+
+def test_salted_join_spreads_a_track_over_salts(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plays, songs, _ = views.domain(spark, SF0001)
+        listens = enrich.listen_table(quality.clean_plays(plays), quality.clean_songs(songs), salt_buckets=8)
+        text = inspect.plan_text(listens, "simple")
+        assert "SortMergeJoin" in text and "_salt" in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
