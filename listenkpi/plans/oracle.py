@@ -166,6 +166,8 @@ def oracle_queries() -> dict[str, str]:
         "drop_incomplete": _q("SELECT * FROM pv WHERE user_id IS NOT NULL AND track_id IS NOT NULL "
                               "AND listen_time IS NOT NULL", "events", kpis=False),
         "clean_songs": _q("SELECT * FROM g", kpis=False),
+        "clean_users": _q(CLEAN_USERS, kpis=False),
+        "plays_with_songs_events": _q("SELECT * FROM m", "events", kpis=False),
         "ambiguous_tracks": _q("SELECT track_id, count(*) AS song_rows, count(DISTINCT track_genre) AS genres "
                                "FROM g GROUP BY track_id HAVING count(*) > 1", kpis=False),
         "plays_without_song": _q("SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM g WHERE g.track_id = s.track_id)",

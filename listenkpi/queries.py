@@ -138,6 +138,18 @@ def clean_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.clean_songs(songs)
 
 
+def clean_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C3/C4 on users: complete rows, each distinct row once (users are cleaned, never joined)."""
+    _, _, users = _domain(spark, sf_dir)
+    return quality.clean_users(users)
+
+
+def plays_with_songs_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 on view A: cleaned event plays left-joined to cleaned songs."""
+    plays, songs, _ = _domain(spark, sf_dir, "events")
+    return enrich.plays_with_songs(quality.clean_plays(plays), quality.clean_songs(songs))
+
+
 # --- diagnostics (J4, J5) --------------------------------------------------------------------------
 
 def ambiguous_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,6 +280,8 @@ REGISTRY: dict[str, Query] = {
     "distinct_plays": distinct_plays,
     "drop_incomplete": drop_incomplete,
     "clean_songs": clean_songs,
+    "clean_users": clean_users,
+    "plays_with_songs_events": plays_with_songs_events,
     "ambiguous_tracks": ambiguous_tracks,
     "plays_without_song": plays_without_song,
     "csv_roundtrip_kpis": csv_roundtrip_kpis,
