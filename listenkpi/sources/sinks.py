@@ -64,14 +64,15 @@ def cluster_for_write(df: DataFrame, cols: list[str], spread: str | None = None,
 
 
 def write_partitions(df: DataFrame, path: str, cols: list[str], spread: str | None = None) -> str:
-    """Overwrite only the partitions present in ``df`` (dynamic partition overwrite)."""
-    spark = df.sparkSession
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        cluster_for_write(df, cols, spread).write.mode("overwrite").partitionBy(*cols).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    """Overwrite only the partitions present in ``df`` (dynamic partition overwrite, set on this
+    write only, so concurrent writes of the same session are unaffected)."""
+    (
+        cluster_for_write(df, cols, spread)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*cols)
+        .parquet(path)
+    )
     return path
 
 

@@ -61,3 +61,9 @@ def test_salted_join_spreads_a_track_over_salts(spark):
         assert "SortMergeJoin" in text and "_salt" in text
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_no_global_sort_under_an_aggregate(spark):
+    plays, songs, _ = views.domain(spark, SF0001)
+    text = inspect.plan_text(jobs.daily_kpis(plays, songs, ordered=False, materialize=False), "simple")
+    assert "rangepartitioning" not in text  # only the final, optional order by sorts globally
