@@ -101,7 +101,11 @@ def header_groups(headers: DataFrame) -> dict[tuple[str, ...], list[str]]:
     return groups
 
 
-def _read_group(spark: SparkSession, header: Sequence[str], files: list[str], multi_line: bool) -> DataFrame:
+def _read_group(spark: SparkSession, header: Sequence[str], files: list[str], multi_line: bool,
+                folders: list[str] | None = None) -> DataFrame:
+    """One CSV scan of files sharing ``header``. With ``folders`` (every file of the folders has this
+    header), the folders are read directly, so Spark lists them in parallel instead of receiving
+    one path per file from the driver."""
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
     reader = (
         spark.read.schema(schema)
@@ -112,6 +116,9 @@ def _read_group(spark: SparkSession, header: Sequence[str], files: list[str], mu
     )
     if multi_line:
         reader = reader.option("multiLine", True)
+    if folders:
+        reader = reader.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true")
+        return reader.csv([normalize_path(f) for f in folders])
     return reader.csv(files)
 
 
@@ -136,7 +143,11 @@ def read_csv_folder(spark: SparkSession, paths: str | Sequence[str], multi_line:
         if list_files(spark, paths, "").isEmpty():
             raise ValueError(f"No files found in {paths}")
         raise ValueError(f"No .csv files in {paths}")
-    parts = [_read_group(spark, h, files, multi_line) for h, files in sorted(groups.items())]
+    if len(groups) == 1:  # the common case: one header for all files
+        ((header, files),) = groups.items()
+        parts = [_read_group(spark, header, files, multi_line, folders=paths)]
+    else:
+        parts = [_read_group(spark, h, files, multi_line) for h, files in sorted(groups.items())]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
