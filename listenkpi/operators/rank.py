@@ -18,8 +18,16 @@ from pyspark.sql import types as T
 from listenkpi.schemas import LIST_SEPARATOR, TOP_GENRES, TOP_SONGS
 
 
-def song_plays(listens: DataFrame, count_col: str = "plays") -> DataFrame:
-    """Plays per ``(date, track_genre, track_name)``: tracks sharing a name and genre merge."""
+def song_plays(listens: DataFrame, count_col: str = "plays", co_partition: bool = False) -> DataFrame:
+    """Plays per ``(date, track_genre, track_name)``: tracks sharing a name and genre merge.
+
+    ``co_partition``: hash the listen rows on ``(date, track_genre)`` once, so this aggregate, the
+    top-k window and the list need no further exchange (1 exchange instead of 2; at sf0.1 on 8 cores
+    1.05 s instead of 1.45 s for the top-song lists). Off by default: that single exchange carries
+    the listen rows without map-side combining, and a (date, genre) holding a large share of them
+    lands in one task."""
+    if co_partition:
+        listens = listens.repartition("date", "track_genre")
     return listens.groupBy("date", "track_genre", "track_name").agg(F.sum(count_col).alias("play_count"))
 
 

@@ -39,3 +39,13 @@ def test_listen_counts_sum_to_joined_plays_per_day(spark):
 def test_salted_song_join_gives_the_same_result(spark):
     plays, songs, _ = views.domain(spark, SF0001)
     assert rows(daily_kpis(plays, songs, salt_buckets=4), *COLS) == rows(daily_kpis(plays, songs), *COLS)
+
+
+def test_co_partitioned_song_ranking_gives_the_same_lists(spark):
+    from listenkpi.operators import enrich, rank
+    plays, songs, _ = views.domain(spark, SF0001)
+    listens = enrich.listen_table(quality.clean_plays(plays), quality.clean_songs(songs))
+    cols = ["date", "track_genre", "top_3_songs_per_genre"]
+    a = rank.top_songs_list(rank.top_songs(rank.song_plays(listens)))
+    b = rank.top_songs_list(rank.top_songs(rank.song_plays(listens, co_partition=True)))
+    assert rows(a, *cols) == rows(b, *cols)
