@@ -28,9 +28,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from listenkpi.functions.columns import parse_time
 from listenkpi.operators.jobs import daily_kpis
-from listenkpi.schemas import KPI_COLUMNS, PLAYS
+from listenkpi.schemas import KPI_COLUMNS, PLAYS_REQUIRED
 from listenkpi.session import ensure_defaults
-from listenkpi.sources.csv import normalize_path, replace_na_tokens
+from listenkpi.sources.csv import normalize_path, read_table
+from listenkpi.sources.sinks import _exists as _stored
 from listenkpi.sources.sinks import keyed_upsert, null_safe_in, read_keyed, write_partitions
 
 
@@ -41,21 +42,22 @@ def paths(root: str) -> dict[str, str]:
 
 def play_files(spark: SparkSession, source_dir: str, archive_dir: str | None = None,
                max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming read of new ``.csv`` play files. A file whose header disagrees with the play schema
-    fails the query instead of having its values swapped (``enforceSchema=false``). Processed files
-    move to ``archive_dir`` when given."""
+    """Stream of the paths of new ``.csv`` play files (``binaryFile`` source; only ``path`` is
+    selected, so file contents are not read here). Each micro-batch then reads its files with the
+    batch reader (``sources.csv.read_csv_folder``): columns are matched by header name, so a late
+    file with its columns in another order, or lacking one, is read correctly, and missing-value
+    tokens are handled the same way as in the batch job. Processed files move to ``archive_dir``
+    when given."""
     reader = (
-        spark.readStream.schema(PLAYS)
-        .option("header", True)
-        .option("enforceSchema", False)
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("pathGlobFilter", "*.csv")
-        .option("mode", "PERMISSIVE")
     )
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", normalize_path(archive_dir))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return reader.csv(normalize_path(source_dir))
+    return reader.load(normalize_path(source_dir)).select("path")
 
 
 def touched_dates(batch: DataFrame) -> list:
@@ -67,9 +69,9 @@ def month_of(d) -> str | None:
     return None if d is None else d.strftime("%Y-%m")
 
 
-def store_batch(batch: DataFrame, batch_id: int, plays_path: str, na_tokens: bool = True) -> None:
+def store_batch(batch: DataFrame, batch_id: int, plays_path: str) -> None:
     """Write the batch's plays under ``(month, batch_id)``, replacing what a failed try left there."""
-    rows = replace_na_tokens(batch) if na_tokens else batch
+    rows = batch.select(*PLAYS_REQUIRED)
     ts = parse_time("listen_time", rows.schema["listen_time"].dataType)
     rows = (
         rows.withColumn("date", F.to_date(ts))
@@ -95,12 +97,16 @@ def recompute(spark: SparkSession, root: str, songs: DataFrame, dates: list) ->
 def process_batch(spark: SparkSession, root: str, songs: DataFrame, replace: bool = False,
                   na_tokens: bool = True):
     """The ``foreachBatch`` function of ``kpi_stream``."""
-    def run(batch: DataFrame, batch_id: int) -> None:
+    def run(files: DataFrame, batch_id: int) -> None:
         ensure_defaults(spark)
-        if batch.isEmpty():  # e.g. a header-only file: nothing to store or recompute
+        new = [r["path"] for r in files.collect()]  # the batch's file paths (at most maxFilesPerTrigger)
+        if not new:
             return
+        plays = read_table(spark, new, "plays", na_tokens)  # ValueError if a required column is absent
         p = paths(root)
-        store_batch(batch, batch_id, p["plays"], na_tokens)
+        store_batch(plays, batch_id, p["plays"])
+        if not _stored(spark, p["plays"]):
+            return  # header-only files: nothing stored yet
         mine = spark.read.parquet(p["plays"]).where(F.col("batch_id") == int(batch_id))
         dates = touched_dates(mine)
         if not dates:

@@ -156,8 +156,8 @@ def test_parity_mode_replaces_the_day(spark, tmp_path):
 
 def test_retried_batch_gives_same_table(spark, tmp_path):
     root = scratch_path(spark, "t-retry")
-    batch = spark.createDataFrame([("u1", "t1", "2024-01-01 10:00:00")], "user_id string, track_id string, "
-                                  "listen_time string")
+    d = write(tmp_path / "in", "f.csv", "user_id,track_id,listen_time\nu1,t1,2024-01-01 10:00:00\n")
+    batch = spark.createDataFrame([(f"file:{d}/f.csv",)], "path string")  # what the file stream hands over
     run = I.process_batch(spark, root, _songs(spark))
     run(batch, 0)
     first = rows(I.read_kpis(spark, root), "date", "track_genre", "listen_count")
@@ -171,3 +171,16 @@ def test_expand_records(spark):
     out = rows(records.expand_records(recs), "name", "message", "number_matches")
     assert out == [("A", "A is currently in space flying on the ISS! Hello! :)", True),
                    ("B", "B is currently in space flying on the T! Hello! :)", True)]
+
+
+def test_stream_reads_late_file_with_other_column_order(spark, tmp_path):
+    src = tmp_path / "in"
+    write(src / "b1", "f1.csv", "user_id,track_id,listen_time\nu1,t1,2024-01-01 10:00:00\n")
+    write(src / "b2", "f2.csv", "listen_time,track_id,user_id\n2024-01-01 12:00:00,t1,u3\n")
+    write(src / "b3", "f3.csv", "user_id,track_id,listen_time\n")  # header only
+    root = scratch_path(spark, "t-stream-order")
+    q = I.kpi_stream(spark, str(src) + "/*", _songs(spark), root, max_files_per_trigger=1)
+    q.awaitTermination()
+    assert q.exception() is None
+    got = rows(I.read_kpis(spark, root), "date", "track_genre", "listen_count", "unique_listeners")
+    assert got == [(dt.date(2024, 1, 1), "pop", 2, 2)]
