@@ -22,5 +22,18 @@ from listenkpi.operators.quality import (
 )
 from listenkpi.operators.rank import ranked_list, song_plays, top_genres, top_genres_list, top_songs, top_songs_list
 from listenkpi.session import checkpoint_root, ensure_defaults, local_session, scratch_path
+from listenkpi.sources.csv import (
+    file_headers,
+    load_inputs,
+    missing_columns_by_file,
+    missing_columns_report,
+    read_csv_folder,
+    read_plays,
+    read_songs,
+    read_users,
+)
+from listenkpi.sources.records import expand_records
+from listenkpi.sources.sinks import keyed_upsert, read_keyed, stage, write_csv
+from listenkpi.streaming.incremental import kpi_stream, read_kpis, recompute
 
 __all__ = [name for name in dir() if not name.startswith("_")]
