@@ -53,14 +53,20 @@ def cluster_for_write(df: DataFrame, cols: list[str], spread: str | None = None,
                       tasks: int | None = None) -> DataFrame:
     """Co-locate the rows of each output partition so a write produces few files per partition.
 
-    Range partitioning on the partition columns (plus ``spread``): each task covers a contiguous run
-    of partition values, so a task opens few files, and a value holding a large share of the rows
-    (a hot day) is cut into several tasks by ``spread`` instead of landing in one. ``tasks`` fixes
-    the number of write tasks (default: the session's shuffle partitions)."""
+    With ``spread`` (tables where one partition value can hold any share of the rows, such as the
+    plays store): range partitioning on the partition columns plus ``spread``, so each task covers a
+    contiguous run of partition values and opens few files, and a value holding a large share of the
+    rows (a hot day) is cut into several tasks instead of landing in one. ``tasks`` fixes the number
+    of write tasks (default: the session's shuffle partitions).
+
+    Without ``spread`` (tables whose partitions are bounded by construction, such as the KPI table:
+    at most 31 days x genres rows per month): hash on the partition columns, one task per partition
+    value, with no sampling pass over the input."""
+    if not spread:
+        return df.repartition(*[F.col(c) for c in cols])
     spark = df.sparkSession
     n = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(c) for c in cols] + ([F.col(spread)] if spread else [])
-    return df.repartitionByRange(n, *keys)
+    return df.repartitionByRange(n, *[F.col(c) for c in cols], F.col(spread))
 
 
 def write_partitions(df: DataFrame, path: str, cols: list[str], spread: str | None = None) -> str:
@@ -100,8 +106,7 @@ def keyed_upsert(df: DataFrame, path: str, key: str = "date", granule: str = "mo
     The table is partitioned by ``month`` of the date (a KPI day holds one row per genre, so daily
     partitions would be a flood of tiny files). An upsert reads only the months it touches (partition
     pruning), keeps their rows of untouched dates, adds the new rows, stages that (it cannot
-    overwrite what it reads, and the range partitioning of the write samples its input, which must
-    not recompute ``df``) and overwrites those months. The touched dates are collected to the driver
+    overwrite what it reads) and overwrites those months. The touched dates are collected to the driver
     unless the caller passes them (``dates``): bounded by the number of days in the update. A NULL
     date is a key like any other."""
     spark = df.sparkSession
