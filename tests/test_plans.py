@@ -67,3 +67,16 @@ def test_no_global_sort_under_an_aggregate(spark):
     plays, songs, _ = views.domain(spark, SF0001)
     text = inspect.plan_text(jobs.daily_kpis(plays, songs, ordered=False, materialize=False), "simple")
     assert "rangepartitioning" not in text  # only the final, optional order by sorts globally
+
+
+LAZY = ["genre_kpis", "plays_with_songs", "plays_with_songs_events", "song_plays", "top_songs", "top_songs_list",
+        "top_genres", "top_genres_list", "null_profile", "null_profile_after_clean", "fill_unknown",
+        "distinct_plays", "drop_incomplete", "clean_songs", "clean_users", "ambiguous_tracks",
+        "plays_without_song", "expand_records"]
+
+
+def test_registered_queries_have_no_row_caps_or_python(spark):
+    for name in LAZY:
+        text = inspect.plan_text(Q.REGISTRY[name](spark, SF0001), "simple")
+        assert "Limit" not in text.replace("WindowGroupLimit", ""), name
+        assert not any(n in text for n in inspect.PYTHON_NODES), name
