@@ -5,7 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -77,13 +77,11 @@ def held_out(id_col: str, modulus: int, remainder: int) -> Column:
     return F.coalesce(fold(id_col, modulus) == remainder, F.lit(False))
 
 
-def bounded_sample(rows: DataFrame, key: str, classes: str, values: Sequence, bound: int) -> DataFrame:
-    """At most ``bound`` ids of each class, the first by a hash of the id: the same ids whatever the
-    partitioning. ``rows`` holds ``key`` and ``classes`` only, so no text is moved to choose them."""
-    parts = [
-        rows.where(F.col(classes) == F.lit(v)).orderBy(F.xxhash64(F.col(key).cast("string")), key).limit(bound)
-        for v in values
-    ]
+def bounded_sample(rows: DataFrame, key: str, classes: str, bounds: dict) -> DataFrame:
+    """For each class of ``bounds`` at most that many rows, the first by a hash of the id: the same rows
+    whatever the partitioning. ``rows`` holds ``key`` and ``classes`` only, so no text moves here."""
+    parts = [rows.where(F.col(classes) == F.lit(v)).orderBy(F.xxhash64(F.col(key).cast("string")), key).limit(n)
+             for v, n in bounds.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listenkpi.llm import decontaminate as D
-from listenkpi.llm.common import id_text, read
+from listenkpi.llm import langid as G
+from listenkpi.llm import simhash as S
+from listenkpi.llm import toxicity as X
+from listenkpi.llm.common import held_out, id_text, read
 from listenkpi.session import ensure_defaults
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +36,34 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash near-duplicates of all documents."""
+    _session(spark)
+    return S.near_duplicates(read(spark, sf_dir, "documents")).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    _session(spark)
+    docs = id_text(read(spark, sf_dir, "documents"))
+    return X.scored(docs, read(spark, sf_dir, "labels"), "score").select(
+        "doc_id", held_out("doc_id", X.MODULUS, X.REMAINDER).alias("held_out"), "score",
+        X.rejected(F.col("score")).cast("int").alias("predicted"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of all documents."""
+    _session(spark)
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return G.predicted(docs, "found").select(
+        "doc_id", held_out("doc_id", G.MODULUS, G.REMAINDER).alias("held_out"),
+        F.col("found.lang").alias("lang_pred"), "found.score")
+
+
 REGISTRY: dict[str, Query] = {
+    "op3_simhash": op3_simhash,
+    "op5_toxicity": op5_toxicity,
+    "op9_language": op9_language,
     "op10_decontaminate": op10_decontaminate,
 }
