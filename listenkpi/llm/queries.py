@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from listenkpi.llm import decontaminate as D
 from listenkpi.llm import langid as G
+from listenkpi.llm import quality as Y
 from listenkpi.llm import simhash as S
 from listenkpi.llm import toxicity as X
 from listenkpi.llm.common import held_out, id_text, read
@@ -43,6 +44,15 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents."""
+    _session(spark)
+    docs = id_text(read(spark, sf_dir, "documents"))
+    return Y.scored(docs, read(spark, sf_dir, "labels"), "score").select(
+        "doc_id", held_out("doc_id", Y.MODULUS, Y.REMAINDER).alias("held_out"), "score",
+        (F.col("score") >= Y.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents."""
     _session(spark)
@@ -63,6 +73,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Query] = {
     "op3_simhash": op3_simhash,
+    "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
     "op9_language": op9_language,
     "op10_decontaminate": op10_decontaminate,
