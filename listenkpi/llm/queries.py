@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listenkpi.llm import decontaminate as D
+from listenkpi.llm import iblt as B
 from listenkpi.llm import langid as G
+from listenkpi.llm import pii as P
 from listenkpi.llm import quality as Y
 from listenkpi.llm import simhash as S
 from listenkpi.llm import toxicity as X
@@ -37,6 +39,12 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_iblt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of all documents and of their edited texts."""
+    _session(spark)
+    return B.versions(read(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicates of all documents."""
     _session(spark)
@@ -62,6 +70,13 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         X.rejected(F.col("score")).cast("int").alias("predicted"))
 
 
+def op8_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their personal data replaced."""
+    _session(spark)
+    docs = P.pseudonymise(id_text(read(spark, sf_dir, "documents")), "new")
+    return docs.select("doc_id", "new.*")
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of all documents."""
     _session(spark)
@@ -72,9 +87,11 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Query] = {
+    "op2_iblt": op2_iblt,
     "op3_simhash": op3_simhash,
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
+    "op8_pseudonyms": op8_pseudonyms,
     "op9_language": op9_language,
     "op10_decontaminate": op10_decontaminate,
 }
