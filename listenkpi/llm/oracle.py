@@ -26,4 +26,48 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op10_decontaminate": OP10}
+OP1 = r"""
+WITH p AS (
+  SELECT page_id, url, to_timestamp(1700000000 + page_id * 60) AS ts, sha1(coalesce(html, '')) AS digest,
+    '"' || substr(sha1(coalesce(html, '')), 1, 16) || '"' AS tag, '"' || substr(sha1(coalesce(url, '')), 1, 16) || '"' AS url_tag,
+    strftime(to_timestamp(1600000000 + length(coalesce(html, ''))) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS modified,
+    strlen(coalesce(html, '')) AS size,
+    regexp_replace(url, '#.*$', '') || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 'utm_source=again#part' AS other
+  FROM pages),
+t AS (SELECT *, strftime(ts AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS at_text FROM p),
+recs AS (
+  SELECT page_id * 4 AS record_id, true AS full_, url, ts AS time, tag, modified, digest, size, NULL AS at_text FROM t
+  UNION ALL SELECT page_id * 4 + 1, false, other, ts - INTERVAL 1 HOUR, tag, NULL, NULL, NULL, NULL FROM t
+  UNION ALL SELECT page_id * 4 + 2, false, other, ts + INTERVAL 24 HOUR, tag, NULL, NULL, NULL, at_text FROM t
+  UNION ALL SELECT page_id * 4 + 3, false, url, ts + INTERVAL 48 HOUR, CASE WHEN page_id % 2 = 0 THEN url_tag END, modified, digest, NULL, at_text FROM t),
+plain AS (SELECT *, regexp_replace(trim(url), '#.*$', '') AS u FROM recs),
+parts AS (
+  SELECT *, regexp_replace(lower(regexp_extract(u, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?@]*@)?([^/?]*)', 1)), ':(80|443)?$', '') AS host,
+    regexp_replace(regexp_extract(u, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?]*([^?]*)', 1), '/+$', '') AS path,
+    array_to_string(list_sort(list_filter(string_split(regexp_extract(u, '^[^?]*\?(.*)$', 1), '&'),
+      lambda x: x <> '' AND NOT regexp_matches(x, '^(?i)(utm_[a-z]+|gclid|fbclid|msclkid|ref)(=|$)'))), '&') AS query
+  FROM plain),
+keyed AS (
+  SELECT *, CASE WHEN host <> '' THEN host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END END AS url_key FROM parts),
+placed AS (
+  SELECT *, last_value(CASE WHEN full_ THEN record_id END IGNORE NULLS) OVER (PARTITION BY url_key ORDER BY time, record_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS found FROM keyed),
+joined AS (
+  SELECT a.record_id, a.url_key, CASE WHEN a.url_key IS NOT NULL THEN a.found END AS found, a.tag, a.modified, a.digest, a.at_text, a.record_id % 4 AS k,
+    b.tag AS old_tag, b.modified AS old_modified, b.digest AS old_digest, b.size AS old_size
+  FROM placed a LEFT JOIN recs b ON b.record_id = a.found AND a.url_key IS NOT NULL WHERE NOT a.full_),
+judged AS (
+  SELECT *, CASE WHEN found IS NULL THEN 'no_response' WHEN tag IS NOT NULL THEN CASE WHEN tag = old_tag THEN 'resolved' ELSE 'mismatch' END
+    WHEN modified IS NOT NULL THEN CASE WHEN modified = old_modified THEN 'resolved' ELSE 'mismatch' END ELSE 'no_validator' END AS status
+  FROM joined)
+SELECT record_id, url_key, status, CASE WHEN status = 'resolved' THEN found END AS response_id,
+  CASE WHEN status = 'resolved' THEN array_to_string(list_sort(list_filter([
+    CASE WHEN k = 2 THEN 'cache-control: max-age=120' ELSE 'cache-control: max-age=60' END,
+    'content-length: ' || old_size, 'content-type: text/html', CASE WHEN k = 3 THEN 'date: ' || at_text END,
+    'etag: ' || CASE k WHEN 2 THEN 'W/' || tag ELSE coalesce(tag, old_tag) END,
+    CASE WHEN k = 2 THEN 'expires: ' || at_text END, 'last-modified: ' || old_modified], lambda x: x IS NOT NULL)), chr(10)) END AS headers,
+  CASE WHEN status = 'resolved' THEN old_digest END AS payload_digest, CASE WHEN status = 'resolved' THEN old_size END AS payload_length
+FROM judged
+"""
+
+ORACLE: dict[str, str] = {"op1_revisits": OP1, "op10_decontaminate": OP10}

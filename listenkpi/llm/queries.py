@@ -14,6 +14,8 @@ from listenkpi.llm import pii as P
 from listenkpi.llm import quality as Y
 from listenkpi.llm import simhash as S
 from listenkpi.llm import toxicity as X
+from listenkpi.llm import warc as R
+from listenkpi.llm import wrappers as W
 from listenkpi.llm.common import held_out, id_text, read
 from listenkpi.session import ensure_defaults
 
@@ -39,6 +41,14 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Not-modified revisits of a crawl derived from all pages."""
+    _session(spark)
+    found = R.resolve(R.crawl_of(read(spark, sf_dir, "pages")))
+    told = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return found.select("record_id", "url_key", "status", "response_id", F.array_join(told, "\n").alias("headers"), "payload_digest", "payload_length")
+
+
 def op2_iblt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketches of all documents and of their edited texts."""
     _session(spark)
@@ -70,6 +80,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         X.rejected(F.col("score")).cast("int").alias("predicted"))
 
 
+def op6_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    _session(spark)
+    return W.extract(read(spark, sf_dir, "pages"))
+
+
 def op8_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their personal data replaced."""
     _session(spark)
@@ -87,10 +103,12 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Query] = {
+    "op1_revisits": op1_revisits,
     "op2_iblt": op2_iblt,
     "op3_simhash": op3_simhash,
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
+    "op6_wrappers": op6_wrappers,
     "op8_pseudonyms": op8_pseudonyms,
     "op9_language": op9_language,
     "op10_decontaminate": op10_decontaminate,
