@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from listenkpi.llm import decontaminate as D
 from listenkpi.llm import iblt as B
 from listenkpi.llm import langid as G
+from listenkpi.llm import mixing as M
 from listenkpi.llm import pii as P
 from listenkpi.llm import quality as Y
 from listenkpi.llm import simhash as S
@@ -25,14 +26,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 BATCH_ROWS = "1000"
 
 
-def _session(spark: SparkSession) -> SparkSession:
+def session(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return ensure_defaults(spark)
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark decontamination over all documents."""
-    _session(spark)
+    session(spark)
     hits = D.with_hits(id_text(read(spark, sf_dir, "documents")), read(spark, sf_dir, "benchmark"), "hits", spans=False)
     return hits.select(
         "doc_id", "hits.n_words", "hits.n_hit", F.size("hits.items").cast("bigint").alias("n_items"),
@@ -43,7 +44,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op1_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Not-modified revisits of a crawl derived from all pages."""
-    _session(spark)
+    session(spark)
     found = R.resolve(R.crawl_of(read(spark, sf_dir, "pages")))
     told = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
     return found.select("record_id", "url_key", "status", "response_id", F.array_join(told, "\n").alias("headers"), "payload_digest", "payload_length")
@@ -51,20 +52,20 @@ def op1_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_iblt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketches of all documents and of their edited texts."""
-    _session(spark)
+    session(spark)
     return B.versions(read(spark, sf_dir, "documents"))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicates of all documents."""
-    _session(spark)
+    session(spark)
     return S.near_duplicates(read(spark, sf_dir, "documents")).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents."""
-    _session(spark)
+    session(spark)
     docs = id_text(read(spark, sf_dir, "documents"))
     return Y.scored(docs, read(spark, sf_dir, "labels"), "score").select(
         "doc_id", held_out("doc_id", Y.MODULUS, Y.REMAINDER).alias("held_out"), "score",
@@ -73,7 +74,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents."""
-    _session(spark)
+    session(spark)
     docs = id_text(read(spark, sf_dir, "documents"))
     return X.scored(docs, read(spark, sf_dir, "labels"), "score").select(
         "doc_id", held_out("doc_id", X.MODULUS, X.REMAINDER).alias("held_out"), "score",
@@ -82,20 +83,28 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages."""
-    _session(spark)
+    session(spark)
     return W.extract(read(spark, sf_dir, "pages"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of all documents for the target weights of the labelled domains."""
+    session(spark)
+    labelled = M.domain_of_labels(read(spark, sf_dir, "labels"))
+    found = M.mix(id_text(read(spark, sf_dir, "documents")), labelled, M.TARGETS, "mix", keep=["doc_id"])
+    return found.select("doc_id", "mix.n_tokens", *[F.col(f"mix.p.{x}").alias(f"p_{x}") for x in sorted(M.TARGETS)], "mix.rate", "mix.copies")
+
+
 def op8_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their personal data replaced."""
-    _session(spark)
+    session(spark)
     docs = P.pseudonymise(id_text(read(spark, sf_dir, "documents")), "new")
     return docs.select("doc_id", "new.*")
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of all documents."""
-    _session(spark)
+    session(spark)
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return G.predicted(docs, "found").select(
         "doc_id", held_out("doc_id", G.MODULUS, G.REMAINDER).alias("held_out"),
@@ -109,6 +118,7 @@ REGISTRY: dict[str, Query] = {
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
     "op6_wrappers": op6_wrappers,
+    "op7_mixing": op7_mixing,
     "op8_pseudonyms": op8_pseudonyms,
     "op9_language": op9_language,
     "op10_decontaminate": op10_decontaminate,
