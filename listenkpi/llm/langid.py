@@ -127,7 +127,8 @@ class Model:
                 if len(own):
                     lang, near = self.choose(name, margins[own])
                     langs[known[own]] = np.array(self.groups[name], dtype=object)[lang]
-                    scores[known[own]] = 1 / (1 + np.exp(-np.clip(2 * np.minimum(far[own], near), -60, 60)))
+                    with np.errstate(over="ignore"):
+                        scores[known[own]] = 1 / (1 + np.exp(-2 * np.minimum(far[own], near)))
         return pd.DataFrame({"lang": langs, "score": scores})
 
 
