@@ -7,7 +7,8 @@
    minimise the squared differences between the expected tokens of each domain, the sum of
    ``rate x tokens x posterior``, and the targets, each weighted by the inverse of the domain's tokens at
    rate 1. Posteriors add up to 1, so with gradients taken per token a step of 1 is safe. Rates begin at 1
-   and never go below 0. A step needs the domains' totals only, one aggregate over all documents.
+   and never go below 0; steps have momentum. A step needs the domains' totals only, one aggregate over
+   all documents.
 
 Columns and SQL functions only. Everything about documents stays in tables; the driver sees the word
 weights (bounded by ``BUCKETS``) and one total for each domain and step. The classifier learns from at most
@@ -24,7 +25,7 @@ of its rows names (in order of name).
 from __future__ import annotations
 
 from functools import reduce
-from math import log
+from math import log, sqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -114,41 +115,61 @@ def _dot(p: list[Column], u: list[Column]) -> Column:
     return _sum([a * b for a, b in zip(p, u, strict=True)])
 
 
+def _after(p: Column, names: list[str], start: Column, steps: list[list[float]]) -> Column:
+    """The pair ``r, q`` (rate, rate before) after ``steps``, from the pair ``start``. A step holds the
+    gradient of each domain and, last, the momentum that it starts with."""
+    told = F.split(F.lit(";".join(",".join(map(repr, g)) for g in steps)), ";")
+    listed = F.transform(told, lambda s: F.split(s, ",").cast("array<double>")) if steps else F.array().cast("array<array<double>>")
+    own = [p[x] for x in names]
+
+    def step(pair: Column, u: Column) -> Column:
+        down = _dot(own, [F.get(u, F.lit(k)) for k in range(len(names))])
+        new = F.greatest(F.lit(0.0), pair["r"] + F.get(u, F.lit(len(names))) * (pair["r"] - pair["q"]) - down)
+        return F.struct(new.alias("r"), pair["r"].alias("q"))
+
+    return F.aggregate(listed, start, step)
+
+
+def _begin() -> Column:
+    return F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("q"))
+
+
 def solve(mass: DataFrame, names: list[str], targets: dict[str, float], steps: int = STEPS) -> tuple[list[list[float]], dict[str, float]]:
-    """The gradient of each step, from ``n_tokens`` and a struct ``p`` of posteriors; and the totals reached.
-    Rates follow from them: each step takes ``posteriors . gradient`` off a rate, but not below 0."""
+    """The steps of accelerated projected gradient, from ``n_tokens`` and a struct ``p`` of posteriors; and the
+    totals reached. Totals are linear in the rates, so those at the point ahead follow from the last two."""
     spark = mass.sparkSession
     p = [F.col(f"p.{x}") for x in names]
     base = mass.agg(F.sum("n_tokens").alias("n"), *[F.sum(F.col("n_tokens") * c).alias(f"m{k}") for k, c in enumerate(p)]).first()
     n, at_one = float(base["n"] or 0), [float(base[f"m{k}"] or 0) for k in range(len(names))]
     scale = sum(targets.get(x, 0.0) for x in names)
     goal = [n * targets.get(x, 0.0) / scale for x in names]
-    rates, rate, held, gradients, got = mass, F.lit(1.0), None, [], at_one
-    for step in range(steps):
-        gradient = [(g - t) / m if m > 0 else 0.0 for g, t, m in zip(got, goal, at_one, strict=True)]
-        if max(map(abs, gradient), default=0.0) <= CLOSE:
-            break
-        gradients.append(gradient)
-        rate = F.greatest(F.lit(0.0), rate - _dot(p, [F.lit(u) for u in gradient]))
-        if step % DEEP == DEEP - 1:
-            rates, path = write_table(rates.select("n_tokens", "p", rate.alias("rate")), "rates")
-            rate = F.col("rate")
+    pull = lambda totals: [(g - t) / m if m > 0 else 0.0 for g, t, m in zip(totals, goal, at_one, strict=True)]
+    rates, pair, held, taken, fresh, t = mass, _begin(), None, [], [], 1.0
+    got = before = at_one
+    while len(taken) < steps and max(map(abs, pull(got)), default=0.0) > CLOSE:
+        ahead = (1 + sqrt(1 + 4 * t * t)) / 2
+        beta, t = (t - 1) / ahead, ahead
+        step = [*pull([g + beta * (g - b) for g, b in zip(got, before, strict=True)]), beta]
+        taken.append(step)
+        fresh.append(step)
+        now = _after(F.col("p"), names, pair, fresh)
+        if len(fresh) == DEEP:
+            rates, path = write_table(rates.select("n_tokens", "p", now.alias("pair")), "rates")
+            now = pair = F.col("pair")
+            fresh = []
             if held:
                 drop_table(spark, held)
             held = path
-        sums = rates.agg(*[F.sum(F.col("n_tokens") * c * rate).alias(f"m{k}") for k, c in enumerate(p)]).first()
-        got = [float(sums[f"m{k}"] or 0) for k in range(len(names))]
+        sums = rates.select("n_tokens", "p", now["r"].alias("r")).agg(*[F.sum(F.col("n_tokens") * c * F.col("r")).alias(f"m{k}") for k, c in enumerate(p)]).first()
+        got, before = [float(sums[f"m{k}"] or 0) for k in range(len(names))], got
     if held:
         drop_table(spark, held)
-    return gradients, dict(zip(names, got, strict=True))
+    return taken, dict(zip(names, got, strict=True))
 
 
-def rate_of(p: Column, names: list[str], gradients: list[list[float]]) -> Column:
+def rate_of(p: Column, names: list[str], steps: list[list[float]]) -> Column:
     """The rate after all steps, from the struct of posteriors."""
-    told = F.split(F.lit(";".join(",".join(map(repr, g)) for g in gradients)), ";")
-    steps = F.transform(told, lambda s: F.split(s, ",").cast("array<double>")) if gradients else F.array().cast("array<array<double>>")
-    own = [p[x] for x in names]
-    return F.aggregate(steps, F.lit(1.0), lambda r, u: F.greatest(F.lit(0.0), r - _dot(own, [F.get(u, F.lit(k)) for k in range(len(names))])))
+    return _after(p, names, _begin(), steps)["r"]
 
 
 def copies_of(rate: Column, id_col: Column) -> Column:
@@ -167,9 +188,9 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], into: s
     rows = docs.select(*cols, F.struct(n.alias("n_tokens"), odds.alias("odds")).alias(into))
     rows = rows.withColumn(into, F.struct(F.col(f"{into}.n_tokens").alias("n_tokens"), _softmax(F.col(f"{into}.odds"), names).alias("p")))
     rows, _ = write_table(rows, "posteriors")
-    gradients, _ = solve(rows.select(f"{into}.n_tokens", f"{into}.p"), names, targets)
+    steps, _ = solve(rows.select(f"{into}.n_tokens", f"{into}.p"), names, targets)
     p = F.col(f"{into}.p")
-    rate = rate_of(p, names, gradients)
+    rate = rate_of(p, names, steps)
     own = F.struct(F.col(f"{into}.n_tokens").alias("n_tokens"), p.alias("p"), rate.alias("rate"),
                    copies_of(rate, F.col("doc_id").cast("bigint")).alias("copies"))
     return rows.withColumn(into, own)
