@@ -17,13 +17,13 @@ from listenkpi.operators.quality import (
     fill_unknown,
     null_profile,
     null_profile_long,
-    require_columns,
     validate,
 )
 from listenkpi.operators.rank import ranked_list, song_plays, top_genres, top_genres_list, top_songs, top_songs_list
-from listenkpi.session import checkpoint_root, ensure_defaults, local_session, scratch_path
+from listenkpi.session import checkpoint_root, ensure_defaults, local_session, scratch_path, scratch_scope
 from listenkpi.sources.csv import (
     file_headers,
+    folder_headers,
     load_inputs,
     missing_columns_by_file,
     missing_columns_report,
@@ -33,7 +33,8 @@ from listenkpi.sources.csv import (
     read_users,
 )
 from listenkpi.sources.records import expand_records
+from listenkpi.sources.months import MonthTable
 from listenkpi.sources.sinks import keyed_upsert, read_keyed, stage, write_csv
-from listenkpi.streaming.incremental import kpi_stream, read_kpis, recompute
+from listenkpi.streaming.incremental import compact, kpi_stream, read_kpis, read_rejects, recompute
 
 __all__ = [name for name in dir() if not name.startswith("_")]

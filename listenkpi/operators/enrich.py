@@ -33,18 +33,19 @@ def join_songs(plays: DataFrame, songs: DataFrame, salt_buckets: int | None = No
     """Left join on ``track_id``: plays without a song stay (NULL song fields); a track listed
     under several song rows yields one row per song row.
 
+    Plays without a track match no song, but would all meet in one join task: they get a second key, a
+    hash of their listener and time, which spreads them (the join keeps them as they are).
+
     ``salt_buckets``: for a song table too large to broadcast, spread every track over that many
-    join tasks. Each play row takes one salt (a hash of its listener and time, so a retried task
-    computes the same salt), each song row is repeated once per salt, and the join runs on
-    ``(track_id, salt)``: a track holding a third of the plays is split ``salt_buckets`` ways, the
-    result is unchanged. The song side grows by the same factor, so use it only where it is needed."""
-    if not salt_buckets or salt_buckets <= 1:
-        return plays.join(songs, "track_id", "left")
-    n = int(salt_buckets)
-    spread = [c for c in ("user_id", "date", "listen_time") if c in plays.columns]
-    salted_plays = plays.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(n)))
-    salted_songs = songs.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
-    return salted_plays.join(salted_songs, ["track_id", "_salt"], "left").drop("_salt")
+    join tasks. Each play row takes one salt (the same hash, so a retried task computes the same salt),
+    each song row is repeated once per salt, and the join runs on ``(track_id, salt)``: a track holding a
+    third of the plays is split ``salt_buckets`` ways, the result is unchanged. The song side grows by the
+    same factor, so use it only where it is needed."""
+    n = max(1, int(salt_buckets or 1))
+    spread = F.xxhash64(*[c for c in ("user_id", "date", "listen_time") if c in plays.columns])
+    salted_plays = plays.withColumn("_salt", F.when(F.col("track_id").isNull(), spread).otherwise(F.pmod(spread, F.lit(n))))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))) if n > 1 else F.lit(0).cast("long")
+    return salted_plays.join(songs.withColumn("_salt", every), ["track_id", "_salt"], "left").drop("_salt")
 
 
 def plays_with_songs(plays: DataFrame, songs: DataFrame) -> DataFrame:

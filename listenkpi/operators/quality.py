@@ -80,14 +80,6 @@ def missing_columns(df: DataFrame, required: Iterable[str]) -> list[str]:
     return [c for c in required if c not in have]
 
 
-def require_columns(df: DataFrame, required: Iterable[str], name: str = "table") -> DataFrame:
-    """Return ``df`` when it has every required column, else raise ``ValueError``."""
-    missing = missing_columns(df, required)
-    if missing:
-        raise ValueError(f"Missing columns in {name}: {missing}")
-    return df
-
-
 def column_report(spark: SparkSession, tables: Mapping[str, DataFrame],
                   required: Mapping[str, Iterable[str]] | None = None) -> DataFrame:
     """``(table, column, present)`` for every required column of every table (schema only)."""

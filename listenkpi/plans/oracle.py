@@ -37,6 +37,8 @@ PLAYS = {"orders": PLAYS_ORDERS, "events": PLAYS_EVENTS}
 
 # Ship date splitting the CSV test drops in two (both halves are used).
 SPLIT_DATE = "1998-01-01"
+# Date, inside a month, that parts the two writes of the keyed table.
+UPSERT_DATE = "1998-03-15"
 
 
 def r2(expr: str) -> str:
@@ -85,13 +87,33 @@ FROM k LEFT JOIN t3 ON k.date = t3.date AND k.track_genre = t3.track_genre
        LEFT JOIN t5 ON k.date = t5.date"""
 
 
-def with_ctes(body: str, view: str = "orders", kpis: bool = True) -> str:
-    ctes = base_ctes(view) + ("," + kpi_ctes() if kpis else "")
-    return f"WITH {ctes}\n{body}"
+def with_ctes(body: str, view: str = "orders", kpis: bool = True, plays: str = "true") -> str:
+    """``plays``: a condition on the raw plays that the query is about."""
+    ctes = base_ctes(view).replace(f"pv AS ({PLAYS[view]})", f"pv AS (SELECT * FROM ({PLAYS[view]}) WHERE {plays})")
+    return f"WITH {ctes}{',' + kpi_ctes() if kpis else ''}\n{body}"
 
 
-def daily_genre_kpis(view: str = "orders") -> str:
-    return with_ctes(KPI_SELECT, view)
+def daily_genre_kpis(view: str = "orders", plays: str = "true") -> str:
+    return with_ctes(KPI_SELECT, view, plays=plays)
+
+
+LATE = f"coalesce(listen_time >= TIMESTAMP '{UPSERT_DATE}', true)"
+
+
+def kpi_upsert() -> str:
+    """Days before the date as published first, later days as put last."""
+    return (f"SELECT * FROM ({daily_genre_kpis(plays=f'NOT ({LATE}) OR track_id % 2 = 0')}) WHERE date < DATE '{UPSERT_DATE}'\n"
+            f"UNION ALL\nSELECT * FROM ({daily_genre_kpis(plays=LATE)})")
+
+
+def kpi_put_items() -> str:
+    """The items of the second put, and those of the first that have no successor."""
+    return f"""
+SELECT * FROM ({daily_genre_kpis(plays='track_id % 2 = 0')})
+UNION ALL
+SELECT * FROM ({daily_genre_kpis()}) a WHERE NOT EXISTS (
+  SELECT 1 FROM ({daily_genre_kpis(plays='track_id % 2 = 0')}) b
+  WHERE a.date IS NOT DISTINCT FROM b.date AND a.track_genre IS NOT DISTINCT FROM b.track_genre)"""
 
 
 def daily_genre_kpis_per_play(view: str = "orders") -> str:
@@ -176,16 +198,27 @@ def oracle_queries() -> dict[str, str]:
         "csv_mixed_headers": _q("SELECT * FROM k"),
         "missing_columns_report": _q(f"""
 SELECT 'plays' AS "table", c AS "column", true AS present,
-       CAST(CASE WHEN c = 'listen_time' AND n > 0 THEN 1 ELSE 0 END AS BIGINT) AS files_missing,
        CAST(CASE WHEN c = 'listen_time' THEN n ELSE 0 END AS BIGINT) AS rows_missing
-FROM (SELECT count(*) FILTER (WHERE listen_time >= TIMESTAMP '{SPLIT_DATE}') AS n FROM pv) t,
+FROM (SELECT count(*) FILTER (WHERE coalesce(listen_time >= TIMESTAMP '{SPLIT_DATE}', true)) AS n FROM pv) t,
      (VALUES ('user_id'), ('track_id'), ('listen_time')) v(c)""", kpis=False),
+        "csv_blank_lines": daily_genre_kpis("orders"),
+        "csv_quoted_songs": _q("""
+SELECT track_id, CASE WHEN track_id % 7 = 0 THEN NULL WHEN track_id % 5 = 0 THEN 'He said "' || track_name || '", twice'
+         WHEN track_id % 3 = 0 THEN track_name || chr(10) || 'second line, ' || track_genre ELSE track_name END AS track_name,
+       artists, track_genre, duration_ms, popularity FROM sv""", kpis=False),
+        "column_gate": """
+SELECT * FROM (VALUES ('plays', 'user_id', true, true), ('plays', 'track_id', true, true), ('plays', 'listen_time', true, true),
+  ('songs', 'track_id', true, true), ('songs', 'track_name', true, true), ('songs', 'artists', true, true), ('songs', 'track_genre', true, true),
+  ('songs', 'duration_ms', true, true), ('songs', 'popularity', false, true), ('users', 'user_id', true, true), ('users', 'user_name', true, true),
+  ('users', 'user_country', false, true)) t("table", "column", present, refused)""",
         "load_and_stage": _q("""
 SELECT 'plays' AS "table", count(*) AS rows FROM pv
 UNION ALL SELECT 'songs', count(*) FROM sv
 UNION ALL SELECT 'users', count(*) FROM uv""", kpis=False),
-        "kpi_upsert": daily_genre_kpis("orders"),
+        "kpi_upsert": kpi_upsert(),
+        "kpi_put_items": kpi_put_items(),
         "kpi_incremental": daily_genre_kpis("orders"),
+        "incremental_extra_columns": daily_genre_kpis("orders", plays="track_id % 7 <> 0"),
         "expand_records": """
 SELECT CAST(1 AS BIGINT) AS number, n_name AS craft, c_name AS name,
        c_name || ' is currently in space flying on the ' || n_name || '! Hello! :)' AS message,

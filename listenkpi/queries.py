@@ -169,6 +169,13 @@ def plays_without_song(spark: SparkSession, sf_dir: str) -> DataFrame:
 # readers (or writers) under test over them; the result must equal the same query on the tables.
 
 SPLIT_DATE = "1998-01-01"
+#: Inside a month, so that a month of the keyed table is really merged.
+UPSERT_DATE = "1998-03-15"
+
+
+def _early(date: str = SPLIT_DATE):
+    """Plays before the date; those without a time are not early, so no play falls between the parts."""
+    return F.coalesce(F.col("listen_time") < F.lit(date).cast("timestamp"), F.lit(False))
 
 
 def _write_inputs(spark: SparkSession, sf_dir: str, root: str) -> None:
@@ -192,22 +199,66 @@ def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     the union by name must give the same KPIs as the table itself."""
     plays, songs, _ = _domain(spark, sf_dir)
     root = scratch_path(spark, "csv-mixed")
-    early = F.col("listen_time") < F.lit(SPLIT_DATE).cast("timestamp")
-    sinks.write_csv(plays.where(early).select("user_id", "track_id", "listen_time"), f"{root}/a")
-    sinks.write_csv(plays.where(~early).select("listen_time", "track_id", "user_id"), f"{root}/b")
+    sinks.write_csv(plays.where(_early()).select("user_id", "track_id", "listen_time"), f"{root}/a")
+    sinks.write_csv(plays.where(~_early()).select("listen_time", "track_id", "user_id"), f"{root}/b")
     return kpis.genre_kpis(enrich.listen_table(
         quality.clean_plays(csv_source.read_plays(spark, root)), quality.clean_songs(songs)))
 
 
+def csv_blank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Play files that begin with blank lines, half of them with another order of columns; the
+    header is the first line that isn't blank, and no play is lost."""
+    plays, songs, _ = _domain(spark, sf_dir)
+    root = scratch_path(spark, "csv-blank")
+    for name, cols, rows in (("a", ["user_id", "track_id", "listen_time"], plays.where(_early())),
+                             ("b", ["listen_time", "user_id", "track_id"], plays.where(~_early()))):
+        line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+        lines = rows.select(F.pmod(F.xxhash64(*cols), F.lit(4)).alias("file"), F.lit(3).alias("at"), line.alias("value"))
+        # every file: two blank lines, the header, then its lines
+        tops = F.array(*[F.struct(F.lit(k).alias("at"), F.lit(v).alias("value")) for k, v in enumerate(["", "  ", ",".join(cols)])])
+        first = spark.range(4).select(F.col("id").alias("file"), F.inline(tops))
+        text = first.unionByName(lines).repartitionByRange(4, "file").sortWithinPartitions("file", "at")
+        text = text.select("file", "value").write.partitionBy("file").option("sep", "\u0001").option("emptyValue", "")
+        text.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{root}/{name}")
+    return jobs.daily_kpis(csv_source.read_plays(spark, root), songs)
+
+
+def csv_quoted_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Songs whose names hold quotes, commas and line breaks, and some that are a missing-value token,
+    through the CSV round trip: values are kept, tokens become NULL."""
+    _, songs, _ = _domain(spark, sf_dir)
+    root = scratch_path(spark, "csv-quoted")
+    odd = (F.when(F.col("track_id") % 7 == 0, "NA").when(F.col("track_id") % 5 == 0, F.concat(F.lit('He said "'), F.col("track_name"), F.lit('", twice')))
+           .when(F.col("track_id") % 3 == 0, F.concat(F.col("track_name"), F.lit("\nsecond line, "), F.col("track_genre"))).otherwise(F.col("track_name")))
+    sinks.write_csv(songs.withColumn("track_name", odd), root)
+    return csv_source.read_songs(spark, root).withColumn("track_id", F.col("track_id").cast("bigint"))
+
+
 def missing_columns_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Play files from the ship year 1998 on lack ``listen_time``; report what is missing
-    where (the combined table still has the column, so the gate passes)."""
+    """Play files from the ship year 1998 on lack ``listen_time``; report what is missing where (the
+    combined table still has the column, so the gate passes). How many files lack it depends on how the
+    writer cut them, so that column is left out here."""
     plays, _, _ = _domain(spark, sf_dir)
     root = scratch_path(spark, "csv-missing")
-    early = F.col("listen_time") < F.lit(SPLIT_DATE).cast("timestamp")
-    sinks.write_csv(plays.where(early), f"{root}/a")
-    sinks.write_csv(plays.where(~early).drop("listen_time"), f"{root}/b")
-    return csv_source.missing_columns_report(spark, root, "plays")
+    sinks.write_csv(plays.where(_early()), f"{root}/a")
+    sinks.write_csv(plays.where(~_early()).drop("listen_time"), f"{root}/b")
+    return csv_source.missing_columns_report(spark, root, "plays").drop("files_missing")
+
+
+def column_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drops of which no song file has ``popularity`` and no user file ``user_country``: the gate
+    refuses them, and the report tells for each required column whether it is there."""
+    plays, songs, users = _domain(spark, sf_dir)
+    root = scratch_path(spark, "csv-gate")
+    for name, df in (("plays", plays), ("songs", songs.drop("popularity")), ("users", users.drop("user_country"))):
+        sinks.write_csv(df, f"{root}/{name}")
+    tables = {t: csv_source.read_table(spark, f"{root}/{t}", t, require=False) for t in ("plays", "songs", "users")}
+    try:
+        quality.validate(tables)
+        refused = False
+    except ValueError:
+        refused = True
+    return quality.column_report(spark, tables).withColumn("refused", F.lit(refused))
 
 
 def load_and_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,33 +276,58 @@ def load_and_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kpi_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish the KPIs of the plays shipped before 1998, then the KPIs of all plays; the
-    second write replaces every date it holds, so the table read back equals the full job."""
+    """Publish a first version of the days up to a date (their plays with an even track only) and all
+    earlier days, then put the days from that date on. The table read back holds the earlier days untouched
+    and the later ones as put last; the date lies inside a month."""
     plays, songs, _ = _domain(spark, sf_dir)
     path = scratch_path(spark, "kpi-table")
-    early = F.col("listen_time") < F.lit(SPLIT_DATE).cast("timestamp")
-    sinks.keyed_upsert(jobs.daily_kpis(plays.where(early), songs, ordered=False), path)
-    sinks.keyed_upsert(jobs.daily_kpis(plays, songs, ordered=False), path)
+    late = ~_early(UPSERT_DATE)
+    draft = plays.where(~late | (F.col("track_id") % 2 == 0))
+    sinks.keyed_upsert(jobs.daily_kpis(draft, songs, ordered=False), path)
+    sinks.keyed_upsert(jobs.daily_kpis(plays.where(late), songs, ordered=False), path)
     return sinks.read_keyed(spark, path, KPI_COLUMNS)
 
 
-def kpi_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The plays arrive as three CSV drops in time order (ship years before 1997, 1997-1998,
-    1999 on); a file stream takes one drop per micro-batch, archives processed files and keeps the
-    KPI table current by recomputing the dates each drop touches. The final table equals the daily
-    job over all plays. (Late files for published dates are covered by the tests.)"""
+def kpi_put_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9 with item keys: the KPIs of all days are put, then those of the plays with an even track are put
+    by (date, genre): items of both are replaced, genres of a day that have no such play stay."""
     plays, songs, _ = _domain(spark, sf_dir)
-    root = scratch_path(spark, "incremental")
-    t = F.col("listen_time")
-    cuts = [F.lit(d).cast("timestamp") for d in ("1997-01-01", "1999-01-01")]
-    drops = [t < cuts[0], (t >= cuts[0]) & (t < cuts[1]), t >= cuts[1]]
-    for i, cond in enumerate(drops):
-        sinks.write_csv(plays.where(cond), f"{root}/incoming/drop{i}")
-    q = incremental.kpi_stream(spark, f"{root}/incoming/*", songs, f"{root}/state",
-                               archive_dir=f"{root}/archive", max_files_per_trigger=1)
+    path = scratch_path(spark, "kpi-items")
+    keys = ["date", "track_genre"]
+    sinks.keyed_upsert(jobs.daily_kpis(plays, songs, ordered=False), path, keys=keys)
+    sinks.keyed_upsert(jobs.daily_kpis(plays.where(F.col("track_id") % 2 == 0), songs, ordered=False), path, keys=keys)
+    return sinks.read_keyed(spark, path, KPI_COLUMNS)
+
+
+def _streamed(spark: SparkSession, songs: DataFrame, root: str) -> None:
+    q = incremental.kpi_stream(spark, f"{root}/incoming/*", songs, f"{root}/state", archive_dir=f"{root}/archive")
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+
+
+def kpi_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plays arrive as two CSV drops, taken by two runs of the file stream: first all but a late tenth
+    (by listener and track) of the plays of 1998, then that tenth, for days already published. The second
+    run recomputes the days it touches; the final table equals the daily job over all plays."""
+    plays, songs, _ = _domain(spark, sf_dir)
+    root = scratch_path(spark, "incremental")
+    of_1998 = F.coalesce(F.year("listen_time") == 1998, F.lit(False))
+    late = of_1998 & F.coalesce((F.col("user_id") + F.col("track_id")) % 10 == 0, F.lit(False))
+    for name, rows in (("drop1", plays.where(~late)), ("drop2", plays.where(late))):
+        sinks.write_csv(rows, f"{root}/incoming/{name}")
+        _streamed(spark, songs, root)
+    return incremental.read_kpis(spark, f"{root}/state")
+
+
+def incremental_extra_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2 with a further column ``device`` in the play files, which some plays lack: like the batch job, the
+    stream drops plays that are incomplete in any column of their file."""
+    plays, songs, _ = _domain(spark, sf_dir)
+    root = scratch_path(spark, "incremental-extra")
+    device = F.when(F.col("track_id") % 7 != 0, F.concat(F.lit("d"), (F.col("user_id") % 3).cast("string")))
+    sinks.write_csv(plays.withColumn("device", device), f"{root}/incoming/drop1")
+    _streamed(spark, songs, root)
     return incremental.read_kpis(spark, f"{root}/state")
 
 
@@ -286,9 +362,14 @@ REGISTRY: dict[str, Query] = {
     "plays_without_song": plays_without_song,
     "csv_roundtrip_kpis": csv_roundtrip_kpis,
     "csv_mixed_headers": csv_mixed_headers,
+    "csv_blank_lines": csv_blank_lines,
+    "csv_quoted_songs": csv_quoted_songs,
     "missing_columns_report": missing_columns_report,
+    "column_gate": column_gate,
     "load_and_stage": load_and_stage,
     "kpi_upsert": kpi_upsert,
+    "kpi_put_items": kpi_put_items,
     "kpi_incremental": kpi_incremental,
+    "incremental_extra_columns": incremental_extra_columns,
     "expand_records": expand_records,
 }

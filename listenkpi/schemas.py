@@ -1,15 +1,12 @@
-"""Input schemas, required columns and fixed values of the KPI job.
+"""Required columns and fixed values of the KPI job.
 
-Every table is read with an explicit schema: no ``inferSchema`` pass over the data, and the
-types do not change when one file holds an odd value. Numeric song columns are read as text and
-converted after the read (see ``functions.columns.to_long``), so ``230000`` and ``230000.0`` both
-parse, and a malformed value becomes NULL instead of failing the job.
+CSV columns are read as text, named by their file's header (no ``inferSchema`` pass over the data);
+numeric song columns are converted after the read (see ``functions.columns.to_long``), so ``230000``
+and ``230000.0`` both parse, and a malformed value becomes NULL instead of failing the job.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # --- Fixed values (must equal the reference's behaviour) -----------------------------------------
 # Required columns per input table, in the reference's order.
 PLAYS_REQUIRED = ["user_id", "track_id", "listen_time"]
@@ -35,13 +32,6 @@ NA_TOKENS = (
 
 REQUIRED = {"plays": PLAYS_REQUIRED, "songs": SONGS_REQUIRED, "users": USERS_REQUIRED}
 
-# Types at read time. All CSV fields are text; typed columns are derived after the read.
-PLAYS = T.StructType([T.StructField(c, T.StringType(), True) for c in PLAYS_REQUIRED])
-SONGS = T.StructType([T.StructField(c, T.StringType(), True) for c in SONGS_REQUIRED])
-USERS = T.StructType([T.StructField(c, T.StringType(), True) for c in USERS_REQUIRED])
-
-SCHEMAS = {"plays": PLAYS, "songs": SONGS, "users": USERS}
-
 # Song columns converted to long after the read.
 SONGS_NUMERIC = ["duration_ms", "popularity"]
 

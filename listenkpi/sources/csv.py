@@ -6,31 +6,35 @@ folder maps fields by position using one header, silently swapping values betwee
 read goes in three distributed steps:
 
 1. list the ``.csv`` files (``binaryFile`` source: a distributed listing, file contents are not read);
-2. read each file's header row on the executors (``mapInPandas`` over the file list, each task opening
-   its files through ``pyarrow.fs`` and reading the first line only);
+2. read each file's header on the executors (``mapInPandas`` over the file list): lines are streamed through
+   ``pyarrow.fs`` until the first record that isn't blank has ended, however long it is. The function
+   travels by value, so executors need no copy of this package; they need the store's credentials in
+   their environment, as ``pyarrow.fs`` does not see those set for Spark;
 3. one CSV scan per distinct header (few), each with its header's column order, then
    ``unionByName(allowMissingColumns=True)``: a column absent from a file is NULL for its rows.
 
-Only the (path, header) pairs reach the driver; they are bounded by the number of files, not rows.
+Headers are grouped on the executors, so a folder whose files share one header gives the driver one row,
+and the folder itself is read. Only a folder of several headers gives one row for each file. Every scan
+checks the header of each file it opens against the columns it was given (``enforceSchema`` off), so a
+file that arrives in between under another header fails the read instead of swapping values.
+
 All fields are read as text (no ``inferSchema`` pass); typed columns are derived afterwards. Text
 cells equal to a pandas missing-value token become NULL when ``na_tokens`` is on (the reference's
-combine step round-trips every file through pandas, which does exactly that).
+combine step round-trips every file through pandas, which does exactly that). As pandas does, blank lines
+are skipped, a file without a header is an error, and a repeated column name gets a number. (Spark's
+file sources pass over files of zero bytes, so those are no error here.)
 """
 
 from __future__ import annotations
 
-import csv
-import io
-from collections.abc import Iterable, Iterator, Sequence
-from urllib.parse import urlparse
+from collections.abc import Iterable, Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listenkpi.functions.columns import null_if_token, to_long
-from listenkpi.operators.quality import missing_columns
+from listenkpi.functions.columns import named, null_if_token, to_long
+from listenkpi.operators.quality import validate
 from listenkpi.schemas import NA_TOKENS, REQUIRED, SONGS_NUMERIC
 
 HEADER_SCHEMA = "path string, header array<string>"
@@ -60,97 +64,125 @@ def list_files(spark: SparkSession, paths: str | Sequence[str], suffix: str = ".
     )
 
 
-def _open(path: str):
-    """Open a file for reading by URI with ``pyarrow.fs`` (local, HDFS, S3, GCS)."""
-    from pyarrow import fs
+def _probe():
+    """The function that reads headers in the tasks. Made here so that it is sent by value: it refers to
+    nothing of this package."""
 
-    parsed = urlparse(path)
-    if parsed.scheme in ("", "file"):
-        return fs.LocalFileSystem().open_input_stream(parsed.path or path)
-    uri = path.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1)
-    filesystem, inner = fs.FileSystem.from_uri(uri)
-    return filesystem.open_input_stream(inner)
+    def header_of(path: str) -> list[str]:
+        import csv
+        import io
+        from urllib.parse import unquote, urlparse
 
+        from pyarrow import fs
 
-def first_row(path: str, limit: int = 1 << 20) -> list[str]:
-    """The header row of a CSV file: the first record, parsed as CSV (quoted names allowed)."""
-    with _open(path) as f:
-        head = f.read(limit)
-    text = head.decode("utf-8-sig", errors="replace")
-    reader = csv.reader(io.StringIO(text))
-    for row in reader:
-        return row
-    return []
+        parsed = urlparse(path)
+        if parsed.scheme in ("", "file"):
+            store, inner = fs.LocalFileSystem(), unquote(parsed.path) if parsed.scheme else path
+        else:
+            store, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1))
+        with store.open_input_stream(inner, buffer_size=1 << 16) as f, io.TextIOWrapper(f, "utf-8-sig", errors="replace", newline="") as text:
+            csv.field_size_limit((1 << 31) - 1)
+            for row in csv.reader(text):
+                if any(cell.strip() for cell in row) or len(row) > 1:
+                    seen: dict[str, int] = {}
+                    names = []
+                    for cell in row:
+                        n = seen[cell] = seen.get(cell, -1) + 1
+                        names.append(f"{cell}.{n}" if n else cell)
+                    return names
+        return []
 
+    def run(batches):
+        import pandas as pd
 
-def _probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        yield pd.DataFrame({"path": pdf["path"], "header": [first_row(p) for p in pdf["path"]]})
+        for pdf in batches:
+            yield pd.DataFrame({"path": pdf["path"], "header": [header_of(p) for p in pdf["path"]]})
 
+    return run
 
-def file_headers(spark: SparkSession, paths: str | Sequence[str], suffix: str = ".csv") -> DataFrame:
-    """``path, header``: each file's column names, read on the executors."""
-    return list_files(spark, paths, suffix).select("path").mapInPandas(_probe, HEADER_SCHEMA)
 
+def file_headers(files: DataFrame) -> DataFrame:
+    """``path, header`` for each row of ``files`` (``path``): the column names of each file, read on the
+    executors; an empty list for a file without any record. Repeated names are numbered as pandas does."""
+    return files.select("path").mapInPandas(_probe(), HEADER_SCHEMA)
 
-def header_groups(headers: DataFrame) -> dict[tuple[str, ...], list[str]]:
-    """Distinct header -> its files. Collects one row per file (bounded by the file count)."""
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for row in headers.collect():
-        groups.setdefault(tuple(row["header"]), []).append(row["path"])
-    return groups
+
+def folder_headers(spark: SparkSession, paths: str | Sequence[str], suffix: str = ".csv") -> DataFrame:
+    return file_headers(list_files(spark, paths, suffix))
 
 
-def _read_group(spark: SparkSession, header: Sequence[str], files: list[str], multi_line: bool,
-                folders: list[str] | None = None) -> DataFrame:
-    """One CSV scan of files sharing ``header``. With ``folders`` (every file of the folders has this
-    header), the folders are read directly, so Spark lists them in parallel instead of receiving
-    one path per file from the driver."""
+def _read_group(spark: SparkSession, header: Sequence[str], files: list[str], multi_line: bool = False) -> DataFrame:
+    """One CSV scan of files (or folders) whose ``.csv`` files all have ``header``."""
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
+    numbered = any("." in c and c.rpartition(".")[0] in header for c in header)  # their files hold the bare name
     reader = (
         spark.read.schema(schema)
         .option("header", True)
+        .option("enforceSchema", numbered)
         .option("mode", "PERMISSIVE")
         .option("quote", '"')
         .option("escape", '"')
+        .option("pathGlobFilter", "*.csv")
+        .option("recursiveFileLookup", "true")
     )
     if multi_line:
         reader = reader.option("multiLine", True)
-    if folders:
-        reader = reader.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true")
-        return reader.csv([normalize_path(f) for f in folders])
     return reader.csv(files)
 
 
+def _grouped(headers: DataFrame) -> dict[tuple[str, ...], int]:
+    """Distinct header -> number of files; raises for files without a header."""
+    rows = headers.groupBy("header").agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("first")).collect()
+    empty = [r for r in rows if not r["header"]]
+    if empty:
+        raise ValueError(f"{empty[0]['n']} files without a header, such as {empty[0]['first']}")
+    return {tuple(r["header"]): r["n"] for r in rows}
+
+
+def read_files_by_header(spark: SparkSession, headers: DataFrame, multi_line: bool = False, na_tokens: bool = True,
+                         keep: bool = False) -> DataFrame:
+    """Union by column name of the files of ``headers`` (``path, header``), one scan for each header. The
+    driver sees one row for each file. ``keep`` adds each row's ``_path`` and ``_header``."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in headers.collect():
+        groups.setdefault(tuple(row["header"]), []).append(row["path"])
+    parts = []
+    for header, files in sorted(groups.items()):
+        part = _read_group(spark, header, files, multi_line)
+        if keep:
+            part = part.select("*", F.col("_metadata.file_path").alias("_path"), F.array(*[F.lit(c) for c in header]).alias("_header"))
+        parts.append(part)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return replace_na_tokens(out) if na_tokens else out
+
+
 def replace_na_tokens(df: DataFrame, tokens: Iterable[str] = NA_TOKENS) -> DataFrame:
     """Text cells equal to a missing-value token -> NULL, in every string column."""
     tokens = list(tokens)
     return df.select(*[
-        null_if_token(c, tokens).alias(c) if isinstance(df.schema[c].dataType, T.StringType) else F.col(c)
+        null_if_token(named(c), tokens).alias(c) if isinstance(df.schema[c].dataType, T.StringType) else named(c)
         for c in df.columns
     ])
 
 
 def read_csv_folder(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = False,
-                    na_tokens: bool = True, headers: DataFrame | None = None) -> DataFrame:
+                    na_tokens: bool = True) -> DataFrame:
     """Union by column name of every ``.csv`` file under ``paths``; all columns text.
 
-    Raises ``ValueError`` when there is no file at all, or no ``.csv`` file."""
+    Raises ``ValueError`` when there is no file at all, no ``.csv`` file, or a file without a header."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    headers = headers if headers is not None else file_headers(spark, paths)
-    groups = header_groups(headers)
+    headers = folder_headers(spark, paths)
+    groups = _grouped(headers)
     if not groups:
         if list_files(spark, paths, "").isEmpty():
             raise ValueError(f"No files found in {paths}")
         raise ValueError(f"No .csv files in {paths}")
-    if len(groups) == 1:  # the common case: one header for all files
-        ((header, files),) = groups.items()
-        parts = [_read_group(spark, header, files, multi_line, folders=paths)]
-    else:
-        parts = [_read_group(spark, h, files, multi_line) for h, files in sorted(groups.items())]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
+    if len(groups) > 1:
+        return read_files_by_header(spark, headers, multi_line, na_tokens)
+    ((header, _),) = groups.items()  # the common case: Spark lists the folders itself, in parallel
+    out = _read_group(spark, header, [normalize_path(p) for p in paths], multi_line)
     return replace_na_tokens(out) if na_tokens else out
 
 
@@ -158,7 +190,7 @@ def typed(df: DataFrame, table: str) -> DataFrame:
     """Typed columns after the text read: song numbers -> long. Ids and names stay text, play
     times stay text until after cleaning (a bad time must survive the NULL drop)."""
     if table == "songs":
-        return df.select(*[to_long(c).alias(c) if c in SONGS_NUMERIC else F.col(c) for c in df.columns])
+        return df.select(*[to_long(c).alias(c) if c in SONGS_NUMERIC else named(c) for c in df.columns])
     return df
 
 
@@ -171,9 +203,7 @@ def read_table(spark: SparkSession, paths: str | Sequence[str], table: str, na_t
     for their rows; ``missing_columns_by_file`` reports them)."""
     df = typed(read_csv_folder(spark, paths, multi_line=(table == "songs"), na_tokens=na_tokens), table)
     if require:
-        missing = missing_columns(df, REQUIRED[table])
-        if missing:
-            raise ValueError(f"Missing columns in {table} ({paths}): {missing}")
+        validate({table: df})
     return df
 
 
@@ -203,15 +233,17 @@ def missing_columns_report(spark: SparkSession, paths: str | Sequence[str], tabl
     whether the combined table has it, and how many files and rows lack it. Rows are counted with
     one scan per lacking header group that reads no column."""
     required = REQUIRED[table]
-    groups = header_groups(file_headers(spark, paths))
+    headers = folder_headers(spark, paths)
+    groups = _grouped(headers)
     if not groups:
         raise ValueError(f"No .csv files in {paths}")
     present = set().union(*[set(h) for h in groups])
+    lists: dict[tuple[str, ...], list[str]] = {}
+    for r in headers.where(F.size(F.array_except(F.array(*[F.lit(c) for c in required]), F.col("header"))) > 0).collect():
+        lists.setdefault(tuple(r["header"]), []).append(r["path"])
     counts = []
-    for header, files in sorted(groups.items()):
+    for header, files in sorted(lists.items()):
         lacking = [c for c in required if c not in header]
-        if not lacking:
-            continue
         rows = _read_group(spark, header, files, table == "songs").agg(F.count(F.lit(1)).alias("rows_missing"))
         counts.append(rows.select(
             F.explode(F.array(*[F.lit(c) for c in lacking])).alias("column"),
@@ -243,8 +275,5 @@ def load_inputs(spark: SparkSession, root: str, na_tokens: bool = True) -> dict[
     root = normalize_path(root)
     folders = {"plays": f"{root}/streams", "songs": f"{root}/songs", "users": f"{root}/users"}
     tables = {t: read_table(spark, p, t, na_tokens, require=False) for t, p in folders.items()}
-    problems = {t: missing_columns(df, REQUIRED[t]) for t, df in tables.items()}
-    problems = {t: m for t, m in problems.items() if m}
-    if problems:
-        raise ValueError(f"Missing columns: {problems}")
+    validate(tables)
     return tables

@@ -1,22 +1,25 @@
 """Sinks: CSV folders, staged Parquet tables, and the keyed KPI table.
 
 * ``write_csv``: header, multi-part output (one file per task; never funnelled into one task).
-* ``stage``: write a DataFrame as Parquet under the shared checkpoint folder and read it back. Used to
+* ``stage``: write a DataFrame as Parquet in the application's scratch folder and read it back. Used to
   cut lineage where one expensive intermediate feeds several branches: every branch then reads the
   stored table (with column pruning) instead of recomputing it, and a lost executor costs a re-read,
   not a recompute from the raw input.
-* ``keyed_upsert``: the KPI table keyed by ``(date, track_genre)``, stored as Parquet partitioned by
-  month: the dates present in the new data are replaced as a whole, other dates stay. This is the
-  put-replaces-item behaviour of a key-value sink, applied per date, which is the unit the job
-  recomputes (the top-genre list is per date).
+* ``keyed_upsert``: the KPI table, a ``MonthTable`` with keys: rows whose key is put are replaced, other
+  rows stay. Keyed by date it replaces whole days, the unit the job recomputes (the top-genre list is per
+  date); keyed by date and genre it replaces items, as a key-value sink does.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listenkpi.session import scratch_path
+from listenkpi.session import scratch_path, scratch_scope
+from listenkpi.sources.months import MonthTable, month_of
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -25,16 +28,13 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> str:
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+    df.write.mode(mode).parquet(path)
     return path
 
 
 def stage(df: DataFrame, name: str, spark: SparkSession | None = None) -> DataFrame:
-    """Materialize ``df`` as Parquet in a fresh folder under the checkpoint root; return the read-back."""
+    """Materialize ``df`` as Parquet in a fresh scratch folder; return the read-back."""
     spark = spark or df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
@@ -49,89 +49,37 @@ def stage_tables(tables: dict[str, DataFrame], root: str) -> dict[str, str]:
     return out
 
 
-def cluster_for_write(df: DataFrame, cols: list[str], spread: str | None = None,
-                      tasks: int | None = None) -> DataFrame:
-    """Co-locate the rows of each output partition so a write produces few files per partition.
-
-    With ``spread`` (tables where one partition value can hold any share of the rows, such as the
-    plays store): range partitioning on the partition columns plus ``spread``, so each task covers a
-    contiguous run of partition values and opens few files, and a value holding a large share of the
-    rows (a hot day) is cut into several tasks instead of landing in one. ``tasks`` fixes the number
-    of write tasks (default: the session's shuffle partitions).
-
-    Without ``spread`` (tables whose partitions are bounded by construction, such as the KPI table:
-    at most 31 days x genres rows per month): hash on the partition columns, one task per partition
-    value, with no sampling pass over the input."""
-    if not spread:
-        return df.repartition(*[F.col(c) for c in cols])
-    spark = df.sparkSession
-    n = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *[F.col(c) for c in cols], F.col(spread))
-
-
-def write_partitions(df: DataFrame, path: str, cols: list[str], spread: str | None = None) -> str:
-    """Overwrite only the partitions present in ``df`` (dynamic partition overwrite, set on this
-    write only, so concurrent writes of the same session are unaffected)."""
-    (
-        cluster_for_write(df, cols, spread)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*cols)
-        .parquet(path)
-    )
+def null_safe_equal(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """Equality of all ``keys``, where NULL equals NULL."""
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+
+
+def keyed_upsert(df: DataFrame, path: str, keys: Sequence[str] = ("date",), replaced: DataFrame | None = None) -> str:
+    """Put ``df`` into the keyed table at ``path``: stored rows with a key of ``df`` (NULL is a key like any
+    other) are replaced, others stay. ``keys`` begins with ``date``.
+
+    ``replaced``: keys whose stored rows go even where ``df`` has no row for them (a date recomputed to
+    nothing). Only the months of the change are read and written; the driver sees their names, no dates.
+    One writer at a time (see ``MonthTable``)."""
+    if not keys or keys[0] != "date":
+        raise ValueError("keys must begin with 'date', which the table is stored by")
+    spark, keys = df.sparkSession, list(keys)
+    table = MonthTable(spark, path)
+    with scratch_scope(spark):
+        new = stage(df, "upsert-new", spark)  # computed once, read for its keys and for the merge
+        put = new.select(*keys)
+        put = put.unionByName(replaced.select(*keys)) if replaced is not None else put
+        put = stage(put.distinct(), "upsert-keys", spark)
+        touched = [r["m"] for r in put.select(month_of(F.col("date")).alias("m")).distinct().collect()]
+        merged = new
+        if table.commit()["schema"] is not None:
+            old = table.read(touched)
+            merged = old.join(put, null_safe_equal(old, put, keys), "left_anti").unionByName(new, allowMissingColumns=True)
+        table.replace(merged, "date", touched)
     return path
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018  (schema resolution lists the folder only)
-        return True
-    except Exception:  # AnalysisException: path does not exist / no files
-        return False
-
-
-def null_safe_in(col: str, values: list):
-    known = [v for v in values if v is not None]
-    cond = F.col(col).isin(known) if known else F.lit(False)
-    if any(v is None for v in values):
-        cond = cond | F.col(col).isNull()
-    return cond
-
-
-def keyed_upsert(df: DataFrame, path: str, key: str = "date", granule: str = "month",
-                 dates: list | None = None) -> str:
-    """Upsert ``df`` into the keyed table at ``path``: every ``key`` value (date) present in ``df``
-    is replaced as a whole; other dates stay.
-
-    The table is partitioned by ``month`` of the date (a KPI day holds one row per genre, so daily
-    partitions would be a flood of tiny files). An upsert reads only the months it touches (partition
-    pruning), keeps their rows of untouched dates, adds the new rows, stages that (it cannot
-    overwrite what it reads) and overwrites those months. The touched dates are collected to the driver
-    unless the caller passes them (``dates``): bounded by the number of days in the update. A NULL
-    date is a key like any other."""
-    spark = df.sparkSession
-    part = F.date_format(F.col(key), "yyyy-MM") if granule == "month" else F.col(key)
-    new = df.withColumn(granule, part)
-    if dates is None:
-        new = stage(new, "upsert-new", spark)  # computed once, read by the key collection and the merge
-        dates = [r[0] for r in new.select(key).distinct().collect()]
-    if not dates:
-        return path
-    months = sorted({None if d is None else d.strftime("%Y-%m") for d in dates}, key=lambda m: (m is None, m))
-    if _exists(spark, path):
-        kept = (
-            spark.read.parquet(path)
-            .where(null_safe_in(granule, months))
-            .where(~null_safe_in(key, dates))
-            .select(*new.columns)
-        )
-        merged = stage(kept.unionByName(new), "upsert", spark)
-    else:
-        merged = stage(new, "upsert", spark)
-    return write_partitions(merged, path, [granule])
-
-
 def read_keyed(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """Read the keyed table back, columns in the given order (the partition column is dropped)."""
-    df = spark.read.parquet(path).drop("month")
+    """Read the keyed table back, columns in the given order."""
+    df = MonthTable(spark, path).read()
     return df.select(*columns) if columns else df

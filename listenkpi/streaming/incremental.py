@@ -2,52 +2,58 @@
 
 Layout under one shared ``root`` folder:
 
-* ``plays/``: every play received, Parquet partitioned by ``(month, batch_id)`` with a ``date``
-  column. Each micro-batch writes only its own partitions (dynamic overwrite), so a retried batch
-  replaces itself exactly. With daily drops this gives one folder per batch, as a date partition
-  would; a backfill spanning years still writes a few dozen folders instead of one per day. Files
-  are range-clustered on ``date``, so a read of some dates prunes by month and then by the
-  ``date`` statistics of the Parquet row groups.
-* ``kpis/``: the KPI table, Parquet partitioned by month (``keyed_upsert`` replaces whole dates).
+* ``plays/``: every play received, with all columns of its file, a ``MonthTable`` by the play's date. A
+  retried micro-batch finds its folder there and adds nothing.
+* ``headers/``: the column sets of the files of each drop (one small row for each batch, drop and header).
+* ``kpis/``: the KPI table (``keyed_upsert`` by date).
+* ``rejects/``: files that could not be taken (``path, reason, batch_id``): no header, or a required column
+  missing. A bad file is set aside and the stream goes on.
+* ``songs/``: the cleaned song table, written once when the stream starts.
 * ``_checkpoint/``: the stream's checkpoint (offsets, committed batches).
 
-Per micro-batch: store the batch, take the dates it touches (bounded by the number of days in it),
-read back all stored plays of those dates only (partition pruning), run the daily job on them and
-replace those dates in the KPI table. The distinct count of listeners and the ranking are not
-incremental aggregates (Spark rejects both on a stream), so the unit of recompute is the date; the
-cost of a batch is proportional to the days it touches, not to the history. A late file for a day
-already published adds to that day. ``replace=True`` reproduces the reference instead: the day's
-numbers are those of the batch alone.
+A *drop* is the folder that a play file lies in. Results depend on the drops, not on how the trigger cuts
+them into micro-batches: a play is complete if it has a value in every column of its drop, and each batch
+recomputes all dates of the drops that it adds files to. By default the drops of a day add up. With
+``replace=True`` a day's numbers are those of one drop alone, of the drops with plays of that day the one
+whose folder name sorts last.
+
+Per micro-batch: store the batch, take the dates of its drops, read back the stored plays of those dates
+(only their months are listed and read), run the daily job on them and replace those dates. The distinct
+count of listeners and the ranking are not incremental aggregates (Spark rejects both on a stream), so the
+unit of recompute is the date. Dates and paths stay in tables; the driver sees month names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from listenkpi.functions.columns import parse_time
-from listenkpi.operators.jobs import daily_kpis
+from listenkpi.functions.columns import named, parse_time
+from listenkpi.operators.enrich import SONG_FIELDS
+from listenkpi.operators.jobs import kpis_from_clean
+from listenkpi.operators.quality import clean_songs
 from listenkpi.schemas import KPI_COLUMNS, PLAYS_REQUIRED
-from listenkpi.session import ensure_defaults
-from listenkpi.sources.csv import normalize_path, read_table
-from listenkpi.sources.sinks import _exists as _stored
-from listenkpi.sources.sinks import keyed_upsert, null_safe_in, read_keyed, write_partitions
+from listenkpi.session import ensure_defaults, scratch_scope
+from listenkpi.sources.csv import file_headers, normalize_path, read_files_by_header
+from listenkpi.sources.months import MonthTable, month_of
+from listenkpi.sources.sinks import keyed_upsert, null_safe_equal, read_keyed, stage
+
+#: Columns of a stored play that are not part of it.
+_OWN = ["_date", "_drop", "_header"]
 
 
 def paths(root: str) -> dict[str, str]:
     root = normalize_path(root)
-    return {"plays": f"{root}/plays", "kpis": f"{root}/kpis", "checkpoint": f"{root}/_checkpoint"}
+    return {name: f"{root}/{name}" for name in ("plays", "headers", "kpis", "rejects", "songs")} | {"checkpoint": f"{root}/_checkpoint"}
 
 
 def play_files(spark: SparkSession, source_dir: str, archive_dir: str | None = None,
                max_files_per_trigger: int | None = None) -> DataFrame:
     """Stream of the paths of new ``.csv`` play files (``binaryFile`` source; only ``path`` is
     selected, so file contents are not read here). Each micro-batch then reads its files with the
-    batch reader (``sources.csv.read_csv_folder``): columns are matched by header name, so a late
-    file with its columns in another order, or lacking one, is read correctly, and missing-value
-    tokens are handled the same way as in the batch job. Processed files move to ``archive_dir``
-    when given."""
+    batch reader: columns are matched by header name, and missing-value tokens are handled the same way
+    as in the batch job. Processed files move to ``archive_dir`` when given."""
     reader = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")
@@ -60,80 +66,112 @@ def play_files(spark: SparkSession, source_dir: str, archive_dir: str | None = N
     return reader.load(normalize_path(source_dir)).select("path")
 
 
-def touched_dates(batch: DataFrame) -> list:
-    """Distinct dates of a batch (a handful per batch; at most the number of days it covers)."""
-    return [r["date"] for r in batch.select("date").distinct().collect()]
-
+def drop_of(path: Column) -> Column:
+    """The folder of a file, by its last name."""
+    return F.element_at(F.split(path, "/"), -2)
 
-def month_of(d) -> str | None:
-    return None if d is None else d.strftime("%Y-%m")
 
-
-def store_batch(batch: DataFrame, batch_id: int, plays_path: str) -> None:
-    """Write the batch's plays under ``(month, batch_id)``, replacing what a failed try left there."""
-    rows = batch.select(*PLAYS_REQUIRED)
-    ts = parse_time("listen_time", rows.schema["listen_time"].dataType)
-    rows = (
-        rows.withColumn("date", F.to_date(ts))
-        .withColumn("month", F.date_format(F.to_date(ts), "yyyy-MM"))
-        .withColumn("batch_id", F.lit(int(batch_id)))
-    )
-    write_partitions(rows, plays_path, ["month", "batch_id"], spread="date")
+def _checked(headers: DataFrame) -> DataFrame:
+    """``path, header, reason``: why a file is set aside (NULL: it is taken)."""
+    lacking = F.array_except(F.array(*[F.lit(c) for c in PLAYS_REQUIRED]), F.col("header"))
+    reason = F.when(F.size("header") == 0, "no header").when(F.size(lacking) > 0, F.concat(F.lit("missing: "), F.array_join(lacking, ", ")))
+    return headers.withColumn("reason", reason)
 
 
-def recompute(spark: SparkSession, root: str, songs: DataFrame, dates: list) -> None:
-    """Recompute the KPIs of ``dates`` from every stored play of those dates and replace them."""
+def store_batch(spark: SparkSession, files: DataFrame, batch_id: int, root: str, na_tokens: bool = True) -> tuple[DataFrame, list[str]] | None:
+    """Set bad files of the batch aside and store the plays of the others; returns the batch's drops and
+    the months of its plays, or None if no file was taken. Idempotent for a batch id."""
     p = paths(root)
-    months = sorted({month_of(d) for d in dates}, key=lambda m: (m is None, m))
-    stored = (
-        spark.read.parquet(p["plays"])
-        .where(null_safe_in("month", months))
-        .where(null_safe_in("date", dates))
-        .drop("date", "month", "batch_id")
-    )
-    keyed_upsert(daily_kpis(stored, songs, ordered=False), p["kpis"], dates=dates)
+    checked = stage(_checked(file_headers(files)), "headers", spark)
+    checked.where("reason IS NOT NULL").select("path", "reason").coalesce(1).write.mode("overwrite").parquet(f"{p['rejects']}/batch_id={batch_id}")
+    good = checked.where("reason IS NULL").select("path", "header", drop_of(F.col("path")).alias("_drop"))
+    told = good.select("_drop", F.array_sort("header").alias("header")).distinct()
+    told.coalesce(1).write.mode("overwrite").parquet(f"{p['headers']}/batch_id={batch_id}")
+    if good.isEmpty():
+        return None
+    plays = read_files_by_header(spark, good.select("path", "header"), na_tokens=na_tokens, keep=True)
+    ts = parse_time("listen_time", plays.schema["listen_time"].dataType)
+    rows = plays.withColumns({"_date": F.to_date(ts), "_drop": drop_of(F.col("_path")), "_header": F.array_sort("_header")}).drop("_path")
+    months = MonthTable(spark, p["plays"]).append(rows, "_date", f"b{batch_id:012d}")
+    return spark.read.parquet(f"{p['headers']}/batch_id={batch_id}").select("_drop").distinct(), months
+
+
+def _complete(plays: DataFrame, headers: DataFrame) -> DataFrame:
+    """Stored plays that have a value in every column of their drop. A file that lacks a column which
+    another file of its drop has gives no complete play."""
+    columns = [c for c in plays.columns if c not in _OWN]
+    own = F.lit(True)
+    for c in columns:
+        own = own & (named(c).isNotNull() | ~F.array_contains("_header", c))
+    of_drop = headers.groupBy("_drop").agg(F.array_distinct(F.flatten(F.collect_set("header"))).alias("all"))
+    short = headers.join(of_drop, "_drop").where(F.size(F.array_except("all", "header")) > 0).select("_drop", F.col("header").alias("_header"))
+    return plays.where(own).join(short.distinct(), ["_drop", "_header"], "left_anti")
+
+
+def recompute(spark: SparkSession, root: str, songs: DataFrame, dates: DataFrame, months: list[str], replace: bool = False) -> None:
+    """Recompute the KPIs of ``dates`` (one column ``date``), which lie in ``months``, from the stored
+    plays and replace them. ``songs`` is clean."""
+    p = paths(root)
+    stored = MonthTable(spark, p["plays"]).read(months)
+    stored = stored.join(dates, stored["_date"].eqNullSafe(dates["date"]), "left_semi")
+    if replace:
+        last = stored.groupBy(F.col("_date").alias("date")).agg(F.max("_drop").alias("last"))
+        stored = stored.join(last, stored["_date"].eqNullSafe(last["date"]) & (stored["_drop"] == last["last"]), "left_semi")
+    plays = _complete(stored, spark.read.parquet(p["headers"])).drop(*_OWN).dropDuplicates()
+    keyed_upsert(kpis_from_clean(plays, songs), p["kpis"], replaced=dates)
 
 
 def process_batch(spark: SparkSession, root: str, songs: DataFrame, replace: bool = False,
                   na_tokens: bool = True):
-    """The ``foreachBatch`` function of ``kpi_stream``."""
+    """The ``foreachBatch`` function of ``kpi_stream``. ``songs`` is clean."""
     def run(files: DataFrame, batch_id: int) -> None:
         ensure_defaults(spark)
-        new = [r["path"] for r in files.collect()]  # the batch's file paths (at most maxFilesPerTrigger)
-        if not new:
-            return
-        plays = read_table(spark, new, "plays", na_tokens)  # ValueError if a required column is absent
-        p = paths(root)
-        store_batch(plays, batch_id, p["plays"])
-        if not _stored(spark, p["plays"]):
-            return  # header-only files: nothing stored yet
-        mine = spark.read.parquet(p["plays"]).where(F.col("batch_id") == int(batch_id))
-        dates = touched_dates(mine)
-        if not dates:
-            return
-        if replace:
-            keyed_upsert(daily_kpis(mine.drop("date", "month", "batch_id"), songs, ordered=False), p["kpis"],
-                         dates=dates)
-        else:
-            recompute(spark, root, songs, dates)
+        with scratch_scope(spark):
+            stored = store_batch(spark, files.select("path"), batch_id, root, na_tokens)
+            if stored is None:
+                return
+            drops, own = stored
+            # files of one drop may have come in earlier batches: their dates may change with it
+            earlier = spark.read.parquet(paths(root)["headers"]).where(F.col("batch_id") != batch_id).join(drops, "_drop", "left_semi")
+            table = MonthTable(spark, paths(root)["plays"])
+            rows = table.read(own if earlier.isEmpty() else None)
+            dates = stage(rows.join(drops, "_drop", "left_semi").select(F.col("_date").alias("date")).distinct(), "dates", spark)
+            months = [r["m"] for r in dates.select(month_of(F.col("date")).alias("m")).distinct().collect()]
+            if months:
+                recompute(spark, root, songs, dates, months, replace)
     return run
 
 
 def kpi_stream(spark: SparkSession, source_dir: str, songs: DataFrame, root: str,
                archive_dir: str | None = None, max_files_per_trigger: int | None = None,
                available_now: bool = True, replace: bool = False, na_tokens: bool = True) -> StreamingQuery:
-    """Start the incremental KPI query; with ``available_now`` it processes what is there and stops."""
+    """Start the incremental KPI query; with ``available_now`` it processes what is there and stops.
+
+    ``max_files_per_trigger`` bounds the files of a micro-batch; left unset, each trigger takes all that
+    arrived as one batch, which recomputes each touched date once. ``songs`` is cleaned here, once."""
     ensure_defaults(spark)
     p = paths(root)
+    clean_songs(songs).select(*SONG_FIELDS).write.mode("overwrite").parquet(p["songs"])
     writer = (
         play_files(spark, source_dir, archive_dir, max_files_per_trigger)
-        .writeStream.foreachBatch(process_batch(spark, root, songs, replace, na_tokens))
+        .writeStream.foreachBatch(process_batch(spark, root, spark.read.parquet(p["songs"]), replace, na_tokens))
         .option("checkpointLocation", p["checkpoint"])
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
+def compact(spark: SparkSession, root: str, folders: int = 8) -> list[str]:
+    """Rewrite the stored plays of months that came in more than ``folders`` batches; run it between
+    streams (one writer at a time). Returns the months."""
+    return MonthTable(spark, paths(root)["plays"]).compact("_date", folders)
+
+
 def read_kpis(spark: SparkSession, root: str) -> DataFrame:
     """The KPI table maintained by ``kpi_stream``, in the job's column order."""
     return read_keyed(spark, paths(root)["kpis"], KPI_COLUMNS)
+
+
+def read_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """``path, reason, batch_id`` of the files set aside."""
+    return spark.read.parquet(paths(root)["rejects"])

@@ -5,9 +5,11 @@ from conftest import SF0001
 from oracle_harness import compare, duck
 
 import __spark_entry__ as E
+from listenkpi import queries as Q
+from listenkpi.plans import oracle as O
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = Q.REGISTRY
+SQL = O.oracle_queries()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +19,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

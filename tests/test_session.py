@@ -43,3 +43,8 @@ def test_configured_checkpoint_dir_is_used():
 
 def test_local_session_without_setting_gets_a_scratch_folder():
     assert checkpoint_root(_Session("local[2]"))
+
+
+def test_local_cluster_without_setting_is_refused():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(_Session("local-cluster[2,1,1024]"))

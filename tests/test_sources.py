@@ -4,12 +4,15 @@ import datetime as dt
 import os
 
 import pytest
-from conftest import rows
+from conftest import SF0001, rows
 
-from listenkpi import daily_kpis
-from listenkpi.session import scratch_path
+from listenkpi import clean_songs, daily_kpis
+from listenkpi.functions.columns import to_long
+from listenkpi.session import run_folder, scratch_path
 from listenkpi.sources import csv as C
 from listenkpi.sources import records, sinks
+from listenkpi.sources.months import MonthTable
+from listenkpi.sources.views import domain
 from listenkpi.streaming import incremental as I
 
 SONGS_HEADER = "track_id,track_name,artists,track_genre,duration_ms,popularity\n"
@@ -69,7 +72,7 @@ def test_missing_column_in_one_file(spark, tmp_path):
     rep = {r["column"]: r for r in C.missing_columns_report(spark, str(d), "plays").collect()}
     assert (rep["listen_time"]["files_missing"], rep["listen_time"]["rows_missing"]) == (1, 2)
     assert rep["user_id"]["files_missing"] == 0
-    by_file = C.missing_columns_by_file(C.file_headers(spark, str(d)), ["user_id", "track_id", "listen_time"])
+    by_file = C.missing_columns_by_file(C.folder_headers(spark, str(d)), ["user_id", "track_id", "listen_time"])
     (only,) = by_file.collect()
     assert only["path"].endswith("b.csv") and only["missing"] == ["listen_time"]
     # its plays are dropped by the job's NULL drop
@@ -148,7 +151,7 @@ def test_late_file_adds_to_the_day(spark, tmp_path):
     assert got == [(dt.date(2024, 1, 1), "pop", 2, 2), (dt.date(2024, 1, 2), "rock", 1, 1)]
 
 
-def test_parity_mode_replaces_the_day(spark, tmp_path):
+def test_replace_takes_the_day_of_the_last_drop(spark, tmp_path):
     root, _ = _run_stream(spark, tmp_path, replace=True)
     got = rows(I.read_kpis(spark, root), "date", "track_genre", "listen_count")
     assert got == [(dt.date(2024, 1, 1), "pop", 1), (dt.date(2024, 1, 2), "rock", 1)]
@@ -158,7 +161,7 @@ def test_retried_batch_gives_same_table(spark, tmp_path):
     root = scratch_path(spark, "t-retry")
     d = write(tmp_path / "in", "f.csv", "user_id,track_id,listen_time\nu1,t1,2024-01-01 10:00:00\n")
     batch = spark.createDataFrame([(f"file:{d}/f.csv",)], "path string")  # what the file stream hands over
-    run = I.process_batch(spark, root, _songs(spark))
+    run = I.process_batch(spark, root, clean_songs(_songs(spark)))
     run(batch, 0)
     first = rows(I.read_kpis(spark, root), "date", "track_genre", "listen_count")
     run(batch, 0)  # the same batch again, as after a failure before the commit
@@ -184,3 +187,191 @@ def test_stream_reads_late_file_with_other_column_order(spark, tmp_path):
     assert q.exception() is None
     got = rows(I.read_kpis(spark, root), "date", "track_genre", "listen_count", "unique_listeners")
     assert got == [(dt.date(2024, 1, 1), "pop", 2, 2)]
+
+
+HEAD = "user_id,track_id,listen_time\n"
+
+
+def stream(spark, src, root, songs=None, **options):
+    q = I.kpi_stream(spark, str(src) + "/*", songs or _songs(spark), root, **options)
+    q.awaitTermination()
+    assert q.exception() is None
+    return rows(I.read_kpis(spark, root), "date", "track_genre", "listen_count", "unique_listeners")
+
+
+@pytest.mark.parametrize("replace, expected", [(False, [(dt.date(2024, 1, 1), "pop", 3, 3), (dt.date(2024, 1, 2), "rock", 1, 1)]),
+                                               (True, [(dt.date(2024, 1, 1), "pop", 2, 2), (dt.date(2024, 1, 2), "rock", 1, 1)])])
+@pytest.mark.parametrize("most", [1, 2, None])
+def test_results_do_not_depend_on_the_trigger(spark, tmp_path, most, replace, expected):
+    src = tmp_path / "in"
+    write(src / "a", "1.csv", HEAD + "u0,t1,2024-01-01 09:00:00\nu0,t2,2024-01-02 09:00:00\n")
+    write(src / "b", "1.csv", HEAD + "u1,t1,2024-01-01 10:00:00\n")
+    write(src / "b", "2.csv", HEAD + "u2,t1,2024-01-01 11:00:00\n")
+    write(src / "b", "bad.csv", "user_id,track_id\nu9,t1\n")
+    write(src / "b", "empty.csv", "\n\n")
+    root = scratch_path(spark, "t-trigger")
+    assert stream(spark, src, root, max_files_per_trigger=most, replace=replace) == expected
+    told = sorted((r["path"].rsplit("/", 1)[1], r["reason"]) for r in I.read_rejects(spark, root).collect())
+    assert told == [("bad.csv", "missing: listen_time"), ("empty.csv", "no header")]
+
+
+@pytest.mark.parametrize("most", [1, None])
+def test_extra_columns_count_as_in_the_batch_job(spark, tmp_path, most):
+    src = tmp_path / "in"
+    write(src / "a", "1.csv", "user_id,track_id,listen_time,device\nu1,t1,2024-01-01 10:00:00,x\nu1,t1,2024-01-01 10:00:00,y\nu2,t1,2024-01-01 10:00:00,\n")
+    write(src / "a", "2.csv", HEAD + "u3,t1,2024-01-01 10:00:00\n")  # lacks a column of its drop: no complete play
+    batch = rows(daily_kpis(C.read_plays(spark, str(src)), _songs(spark)), "date", "track_genre", "listen_count", "unique_listeners")
+    assert batch == [(dt.date(2024, 1, 1), "pop", 2, 1)]
+    assert stream(spark, src, scratch_path(spark, "t-extra"), max_files_per_trigger=most) == batch
+
+
+def test_odd_years_stream_equals_batch(spark, tmp_path):
+    src = tmp_path / "in"
+    write(src / "a", "1.csv", HEAD + "u1,t1,0999-05-05 10:00:00\nu1,t1,12024-01-01 10:00:00\nu1,t1,2024-01-01 10:00:00\n")
+    batch = rows(daily_kpis(C.read_plays(spark, str(src)), _songs(spark)), "date", "track_genre", "listen_count", "unique_listeners")
+    assert batch == [(None, "pop", 1, 1), (dt.date(999, 5, 5), "pop", 1, 1), (dt.date(2024, 1, 1), "pop", 1, 1)]
+    assert stream(spark, src, scratch_path(spark, "t-years")) == batch
+
+
+def test_blank_lines_empty_files_long_and_repeated_headers(spark, tmp_path):
+    d = write(tmp_path / "p", "a.csv", HEAD + "u1,t1,2024-01-01 10:00:00\n")
+    write(tmp_path / "p", "b.csv", "\n  \n" + HEAD + "\nu2,t2,2024-01-01 10:00:00\n")
+    assert rows(C.read_plays(spark, d), "user_id") == [("u1",), ("u2",)]
+    write(tmp_path / "p", "c.csv", "")  # no bytes: Spark's file sources pass over it
+    assert C.read_plays(spark, d).count() == 2
+    write(tmp_path / "p", "c.csv", "\n \n")
+    with pytest.raises(ValueError, match="without a header"):
+        C.read_plays(spark, d)
+    wide = [f"column_{i:0100d}" for i in range(15_000)]  # 1.6 MB
+    long = write(tmp_path / "long", "a.csv", ",".join([*wide, "user_id"]) + "\n" + "x," * 15_000 + "u1\n")
+    (told,) = C.folder_headers(spark, long).collect()
+    assert told["header"] == [*wide, "user_id"]
+    twice = write(tmp_path / "twice", "a.csv", "user_id,track_id,listen_time,user_id\nu1,t1,2024-01-01 10:00:00,again\n")
+    read = C.read_plays(spark, twice)
+    assert read.columns == ["user_id", "track_id", "listen_time", "user_id.1"]
+    assert [tuple(r) for r in read.collect()] == [("u1", "t1", "2024-01-01 10:00:00", "again")]
+
+
+def test_a_folder_of_one_header_gives_the_driver_one_row(spark, tmp_path, monkeypatch):
+    for i in range(5):
+        d = write(tmp_path / "p", f"{i}.csv", HEAD + f"u{i},t1,2024-01-01 10:00:00\n")
+    monkeypatch.setattr(C, "read_files_by_header", lambda *a, **b: pytest.fail("paths were collected"))
+    assert len(C._grouped(C.folder_headers(spark, d))) == 1
+    assert C.read_plays(spark, d).count() == 5
+
+
+def test_a_file_under_another_header_fails_instead_of_swapping(spark, tmp_path, monkeypatch):
+    d = write(tmp_path / "p", "a.csv", HEAD + "u1,t1,2024-01-01 10:00:00\n")
+    probed = C.folder_headers(spark, d).collect()
+    write(tmp_path / "p", "b.csv", "listen_time,track_id,user_id\n2024-01-02 10:00:00,t2,u2\n")  # arrives after the probe
+    monkeypatch.setattr(C, "folder_headers", lambda *a: spark.createDataFrame(probed, C.HEADER_SCHEMA))
+    with pytest.raises(Exception, match="(?i)header"):
+        C.read_plays(spark, d).collect()
+
+
+def test_header_function_needs_no_package_on_executors():
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    told = cloudpickle.dumps(C._probe())
+    code = "import sys, pickle; f = pickle.loads(sys.stdin.buffer.read()); assert 'listenkpi' not in sys.modules; print(f.__name__)"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], input=told, capture_output=True, cwd="/", env=env)
+    assert done.stdout.strip() == b"run", done.stderr
+
+
+def _kpi(date, genre, n):
+    return (date, genre, n, 1, 1.0, 1.0, "a", "pop")
+
+
+def test_put_items_keeps_the_other_items_of_a_day(spark):
+    path, d = scratch_path(spark, "t-items"), dt.date(2024, 1, 2)
+    keys = ["date", "track_genre"]
+    sinks.keyed_upsert(spark.createDataFrame([_kpi(d, "pop", 1), _kpi(d, "rock", 2), _kpi(d, None, 3)], KPI_SCHEMA), path, keys)
+    sinks.keyed_upsert(spark.createDataFrame([_kpi(d, "pop", 9), _kpi(d, None, 8)], KPI_SCHEMA), path, keys)
+    assert rows(sinks.read_keyed(spark, path), "track_genre", "listen_count") == [(None, 8), ("pop", 9), ("rock", 2)]
+
+
+def test_a_date_recomputed_to_nothing_goes(spark):
+    path, d1, d2 = scratch_path(spark, "t-nothing"), dt.date(2024, 1, 2), dt.date(2024, 2, 2)
+    sinks.keyed_upsert(spark.createDataFrame([_kpi(d1, "pop", 1), _kpi(d2, "pop", 2)], KPI_SCHEMA), path)
+    gone = spark.createDataFrame([(d2,)], "date date")
+    sinks.keyed_upsert(spark.createDataFrame([], KPI_SCHEMA), path, replaced=gone)
+    assert rows(sinks.read_keyed(spark, path), "date") == [(d1,)]
+    sinks.keyed_upsert(spark.createDataFrame([], KPI_SCHEMA), path, replaced=spark.createDataFrame([(d1,)], "date date"))
+    assert sinks.read_keyed(spark, path).count() == 0 and sinks.read_keyed(spark, path).columns[0] == "date"
+
+
+def test_a_failing_read_or_write_leaves_the_table_as_it_was(spark, monkeypatch):
+    path, d1, d2 = scratch_path(spark, "t-crash"), dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    one, two = (spark.createDataFrame([_kpi(d, "pop", 1)], KPI_SCHEMA) for d in (d1, d2))
+    sinks.keyed_upsert(one, path)
+
+    def broken(*a, **b):
+        raise OSError("store unreachable")
+
+    for method in ("read", "commit", "_write", "_put"):
+        with monkeypatch.context() as m:
+            m.setattr(MonthTable, method, broken)
+            with pytest.raises(OSError):
+                sinks.keyed_upsert(two, path)
+        assert rows(sinks.read_keyed(spark, path), "date") == [(d1,)]
+    sinks.keyed_upsert(two, path)
+    assert rows(sinks.read_keyed(spark, path), "date") == [(d1,), (d2,)]
+
+
+def test_a_second_writer_fails(spark, monkeypatch):
+    path = scratch_path(spark, "t-writers")
+    df = spark.createDataFrame([_kpi(dt.date(2024, 1, 1), "pop", 1)], KPI_SCHEMA)
+    sinks.keyed_upsert(df, path)
+    stale = MonthTable(spark, path)
+    monkeypatch.setattr(stale, "_commits", lambda seen=stale._commits(): seen)
+    sinks.keyed_upsert(df, path)
+    with pytest.raises(Exception):  # noqa: B017  the commit it would follow is gone, or the next one is there
+        stale.replace(df, "date", ["2024-01"])
+    assert sinks.read_keyed(spark, path).count() == 1
+
+
+def test_a_hot_day_is_written_by_several_tasks(spark):
+    table = MonthTable(spark, scratch_path(spark, "t-hot"))
+    day = spark.range(200_000).selectExpr("cast('2024-01-01' as date) as _date", "uuid() as user_id", "id as track_id")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        table.append(day, "_date", "hot")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(table.read().inputFiles()) > 1 and table.read().count() == 200_000
+    assert table.append(day, "_date", "hot") == ["2024-01"] and table.read().count() == 200_000  # a retry adds nothing
+
+
+def test_compaction_keeps_rows(spark):
+    table = MonthTable(spark, scratch_path(spark, "t-compact"))
+    for i in range(4):
+        table.append(spark.createDataFrame([(dt.date(2024, 1 + i % 2, 1), i)], "d date, n int"), "d")
+    before = rows(table.read(), "d", "n")
+    assert table.compact("d", folders=1) == ["2024-01", "2024-02"] and table.compact("d", folders=1) == []
+    assert rows(table.read(), "d", "n") == before and {len(f) for f in table.commit()["months"].values()} == {1}
+
+
+def test_no_scratch_is_left_after_upsert_and_stream(spark, tmp_path):
+    made = lambda: set(os.listdir(run_folder(spark).removeprefix("file:")))
+    path, root = scratch_path(spark, "t-left"), scratch_path(spark, "t-left-stream")
+    sinks.keyed_upsert(spark.createDataFrame([_kpi(dt.date(2024, 1, 1), "pop", 1)], KPI_SCHEMA), path)
+    before = made()
+    sinks.keyed_upsert(spark.createDataFrame([_kpi(dt.date(2024, 1, 2), "pop", 1)], KPI_SCHEMA), path)
+    write(tmp_path / "in" / "a", "1.csv", HEAD + "u1,t1,2024-01-01 10:00:00\n")
+    stream(spark, tmp_path / "in", root)
+    assert made() - before == {root.rsplit("/", 1)[1]}
+
+
+@pytest.mark.parametrize("text, number", [("12", 12), ("12.0", 12), (" 7 ", 7), ("-3.000", -3), ("Infinity", None), ("NaN", None), ("1e30", None), ("12.7", None),
+                                          ("9007199254740993", 2**53 + 1), ("9223372036854775807", 2**63 - 1), ("9223372036854775808", None), ("abc", None), ("", None), (None, None)])
+def test_text_to_long(spark, text, number):
+    assert spark.createDataFrame([(text,)], "t string").select(to_long("t").alias("n")).first()["n"] == number
+
+
+def test_final_order(spark):
+    got = daily_kpis(*domain(spark, SF0001)[:2]).select("date", "listen_count", "track_genre").collect()
+    assert got == sorted(got, key=lambda r: (r["date"], -r["listen_count"], r["track_genre"] is not None, r["track_genre"] or ""))
