@@ -16,7 +16,7 @@ from listenkpi.llm.common import by_slices
 
 
 def labelled_bags(docs: DataFrame, sample: DataFrame, label: str, sizes: tuple[int, ...], bits: int,
-                  digits: bool) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+                  digits: bool, distinct: bool = False, neutral: int = 0) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
     """The n-gram bags and labels of the sampled rows, in the order of their ids. ``docs`` holds ``doc_id,
     text``; ``sample`` holds at most a stated number of ``doc_id`` and ``label`` rows, so it may be
     broadcast. Bags are made in the tasks and come to the driver packed; a bag is bounded by the buckets."""
@@ -24,7 +24,7 @@ def labelled_bags(docs: DataFrame, sample: DataFrame, label: str, sizes: tuple[i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in by_slices(batches, "text"):
-            bags = list(ngrams.bags(texts, sizes, bits, digits))
+            bags = list(ngrams.bags(texts, sizes, bits, digits, distinct, neutral))
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("label"),
                 pa.array([b.astype("<i4").tobytes() for b, _ in bags], pa.binary()),

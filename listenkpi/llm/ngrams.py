@@ -15,12 +15,14 @@ _LETTERS = bytes(b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(25
 _DIGITS_TOO = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 
 
-def folded(texts: list[str], digits: bool) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of all texts, one after the other, and where each begins (one more: the end)."""
+def folded(texts: list[str], digits: bool, distinct: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts, one after the other, and where each begins (one more: the end). With
+    ``distinct`` a word counts once in a text."""
     table = _DIGITS_TOO if digits else _LETTERS
     parts = []
     for t in texts:
         words = t.lower().encode("utf-8", "surrogatepass").translate(table).split()
+        words = list(dict.fromkeys(words)) if distinct else words
         parts.append(b" " + b" ".join(words) + b" " if words else b"")
     ends = np.concatenate([[0], np.cumsum([len(p) for p in parts], dtype=np.int64)]).astype(np.int64)
     return np.frombuffer(b"".join(parts), np.uint8), ends
@@ -52,23 +54,26 @@ def buckets(data: np.ndarray, sizes: tuple[int, ...], bits: int) -> Iterator[tup
         yield at, (own >> np.uint32(32 - bits)).astype(np.int64)
 
 
-def bags(texts: list[str], sizes: tuple[int, ...], bits: int, digits: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each text its distinct buckets and their shares of its n-grams (they add up to 1)."""
+def bags(texts: list[str], sizes: tuple[int, ...], bits: int, digits: bool, distinct: bool = False,
+         neutral: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each text its distinct buckets and their shares of its n-grams and of ``neutral`` ones more, which
+    no bucket has."""
     for t in texts:
-        data, _ = folded([t], digits)
+        data, _ = folded([t], digits, distinct)
         ids = [b for _, b in buckets(data, sizes, bits)] if len(data) else []
         if not ids or not sum(map(len, ids)):
             yield np.zeros(0, np.int64), np.zeros(0, np.float32)
             continue
         found, n = np.unique(np.concatenate(ids), return_counts=True)
-        yield found, (n / n.sum()).astype(np.float32)
+        yield found, (n / (n.sum() + neutral)).astype(np.float32)
 
 
-def means(texts: list[str], weights: np.ndarray, sizes: tuple[int, ...], digits: bool) -> tuple[np.ndarray, np.ndarray]:
-    """For each text the mean over its n-grams of the rows of ``weights`` (buckets x k), and whether it
-    has any n-gram."""
+def means(texts: list[str], weights: np.ndarray, sizes: tuple[int, ...], digits: bool, distinct: bool = False,
+          neutral: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """For each text the mean of the rows of ``weights`` (buckets x k) over its n-grams and ``neutral`` ones of
+    weight 0 more, and whether it has any n-gram."""
     bits = int(weights.shape[0]).bit_length() - 1
-    data, ends = folded(texts, digits)
+    data, ends = folded(texts, digits, distinct)
     total = np.zeros((len(texts), weights.shape[1]))
     count = np.zeros(len(texts), np.int64)
     have = np.flatnonzero(np.diff(ends))
@@ -82,4 +87,4 @@ def means(texts: list[str], weights: np.ndarray, sizes: tuple[int, ...], digits:
             for k in range(weights.shape[1]):
                 if len(some):
                     total[have[some], k] += np.add.reduceat(weights[ids, k], cut[some])
-    return total / np.maximum(count, 1)[:, None], count > 0
+    return total / np.maximum(count + neutral, 1)[:, None], count > 0

@@ -1,8 +1,9 @@
 """Toxicity: averaged subword embeddings under a linear softmax, trained jointly in numpy.
 
-A text is the bag of the character n-grams of its words (3 to 6 bytes, word ends marked), hashed into
-buckets. Each bucket has an embedding; a text is the mean of its n-grams' embeddings; a linear softmax
-reads that mean. Embeddings and softmax are trained together, so an unseen spelling of a word is scored
+A text is the bag of the character n-grams of its distinct words (3 to 6 bytes, word ends marked), hashed
+into buckets. Each bucket has an embedding; a text is the mean of its n-grams' embeddings, with ``NEUTRAL``
+n-grams of embedding zero added, so that the mean of a short text isn't ruled by one chance n-gram; a linear
+softmax reads that mean. Embeddings and softmax are trained together, so an unseen spelling of a word is scored
 by the n-grams it shares with known ones.
 
 Trained on the driver on a bounded sample of labelled rows, at most ``PER_CLASS`` of each class, the
@@ -33,6 +34,7 @@ WIDTH = 8
 PER_CLASS = {1: 1500, 0: 3000}
 MODULUS, REMAINDER = 5, 0
 THRESHOLD = 0.5
+NEUTRAL = 1000
 EPOCHS, BATCH, RATE, SCALE = 6, 128, 0.05, 30.0
 
 
@@ -80,7 +82,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
              .where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(fold("doc_id", MODULUS) != REMAINDER)
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     sample = bounded_sample(known, "doc_id", "toxic", PER_CLASS)
-    bags, y = labelled_bags(docs, sample, "toxic", SIZES, BITS, digits=True)
+    bags, y = labelled_bags(docs, sample, "toxic", SIZES, BITS, digits=True, distinct=True, neutral=NEUTRAL)
     if len(set(y.tolist())) < 2:
         return np.zeros(1 << BITS, np.float32), np.inf if len(y) and y[0] else -np.inf
     return train(bags, y.astype(np.int64))
@@ -91,7 +93,7 @@ def scorer(model: tuple[np.ndarray, float]):
     weights, bias = model[0].reshape(-1, 1), model[1]
 
     def score(texts: list[str]) -> np.ndarray:
-        mean, _ = ngrams.means(texts, weights, SIZES, digits=True)
+        mean, _ = ngrams.means(texts, weights, SIZES, digits=True, distinct=True, neutral=NEUTRAL)
         with np.errstate(over="ignore"):  # far below 0: exactly 0
             return 1 / (1 + np.exp(-(mean[:, 0] + bias)))
 
