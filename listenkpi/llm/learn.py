@@ -34,10 +34,24 @@ def labelled_bags(docs: DataFrame, sample: DataFrame, label: str, sizes: tuple[i
     chosen = sample.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).alias("label"))
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
     found = rows.mapInArrow(run, f"doc_id bigint, label {kind}, ids binary, shares binary").toArrow()
-    order = sorted(range(found.num_rows), key=lambda i: (found["doc_id"][i].as_py(), found["ids"][i].as_py()))
-    bags = [(np.frombuffer(found["ids"][i].as_py(), "<i4").astype(np.int64), np.frombuffer(found["shares"][i].as_py(), "<f4"))
-            for i in order]
-    return bags, np.array([found["label"][i].as_py() for i in order])
+    # views into the collected table, so that the bags are held once
+    ids, shares = _views(found["ids"], "<i4"), _views(found["shares"], "<f4")
+    keys = found["doc_id"].to_pylist()
+    order = sorted(range(found.num_rows), key=lambda i: (keys[i], ids[i].tobytes()))
+    labels = found["label"].to_pylist()
+    return [(ids[i], shares[i]) for i in order], np.array([labels[i] for i in order])
+
+
+def _views(column: pa.ChunkedArray, kind: str) -> list[np.ndarray]:
+    """The packed numbers of each row of a binary column, without a copy."""
+    out = []
+    for chunk in column.chunks:
+        _, places, data = chunk.buffers()
+        wide = np.int64 if pa.types.is_large_binary(chunk.type) else np.int32
+        ends = np.frombuffer(places, wide)[chunk.offset:chunk.offset + len(chunk) + 1]
+        flat = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+        out += [flat[a:b].view(kind) for a, b in zip(ends, ends[1:], strict=False)]
+    return out
 
 
 def text_column(score: Callable[[list[str]], pd.DataFrame | np.ndarray], returns, most: int = 1 << 20):

@@ -31,11 +31,11 @@ from listenkpi.llm.learn import labelled_bags, text_column
 SIZES = (3, 4, 5, 6)
 BITS = 18
 WIDTH = 8
-PER_CLASS = {1: 1500, 0: 3000}
+PER_CLASS = {1: 2500, 0: 4000}
 MODULUS, REMAINDER = 5, 0
 THRESHOLD = 0.5
 NEUTRAL = 1000
-EPOCHS, BATCH, RATE, SCALE = 6, 128, 0.05, 30.0
+EPOCHS, BATCH, RATE, SCALE = 6, 32, 0.05, 30.0
 
 
 def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: int = 0) -> tuple[np.ndarray, float]:
