@@ -161,41 +161,74 @@ def _iban(value: str, key: bytes, back: bool) -> str | None:
     return "".join(c if c == " " else next(own) for c in value)
 
 
+def _permuted_day(day: dt.date, key: bytes, back: bool, fits: Callable[[dt.date], bool] | None = None) -> dt.date | None:
+    if not FIRST_DAY <= day.toordinal() <= LAST_DAY:
+        return None
+    size = LAST_DAY - FIRST_DAY + 1
+    x = feistel(day.toordinal() - FIRST_DAY, size, key, "date", back, fits and (lambda v: fits(dt.date.fromordinal(FIRST_DAY + v))))
+    return dt.date.fromordinal(FIRST_DAY + x)
+
+
 def _date(value: str, key: bytes, back: bool) -> str | None:
-    parts = re.split(r"([-/.])", value)
-    first, sep, second, _, third = parts
+    first, sep, second, _, third = re.split(r"([-/.])", value)
     orders = ["ymd"] if len(first) == 4 else ["dmy"] if sep == "." else ["mdy", "dmy"]
-
-    def day(order: str) -> dt.date | None:
-        own = dict(zip(order, (int(first), int(second), int(third)), strict=True))
+    for order in orders:
+        own = dict(zip(order, (first, second, third), strict=True))
         try:
-            return dt.date(own["y"], own["m"], own["d"])
+            found = dt.date(int(own["y"]), int(own["m"]), int(own["d"]))
         except ValueError:
-            return None
+            continue
+        bare = min(len(own["m"]), len(own["d"])) == 1  # numbers below ten are written without a zero
 
-    for order in orders:
-        found = day(order)
-        if found is None or not FIRST_DAY <= found.toordinal() <= LAST_DAY:
+        def fits(day: dt.date, order: str = order, own: dict = own, bare: bool = bare) -> bool:
+            # the result must be read in the same order and written in the same widths
+            if order == "dmy" and sep != "." and day.day <= 12:
+                return False
+            return not bare or (len(str(day.month)), len(str(day.day))) == (len(own["m"]), len(own["d"]))
+
+        new = _permuted_day(found, key, back, fits)
+        if new is None:
             continue
-        # day-first is read only where month-first can't be, so the result must be read so again
-        late = order == "dmy" and sep != "."
-        fits = (lambda x: dt.date.fromordinal(FIRST_DAY + x).day > 12) if late else None
-        x = feistel(found.toordinal() - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "date", back, fits)
-        new = dt.date.fromordinal(FIRST_DAY + x)
-        told = {"y": f"{new.year:04d}", "m": f"{new.month:02d}", "d": f"{new.day:02d}"}
+        two = "" if bare else "02"
+        told = {"y": f"{new.year:04d}", "m": f"{new.month:{two}}", "d": f"{new.day:{two}}"}
         return sep.join(told[c] for c in order)
     return None
 
 
+#: English names of the months.
+MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
+
+
+def _named_date(value: str, key: bytes, back: bool) -> str | None:
+    """``March 7, 1987`` or ``7 March 1987``; a name shortened to three letters stays so."""
+    name, day, year = re.search(r"[A-Za-z]+", value)[0], *(re.findall(r"[0-9]+", value))
+    short = len(name) == 3
+    month = next((i for i, m in enumerate(MONTHS, 1) if name.lower() in (m.lower(), m[:3].lower())), None)
+    try:
+        found = dt.date(int(year), month, int(day))
+    except (TypeError, ValueError):
+        return None
+    # widths and the kind of name stay, so that the result is read the same way (May is short and long)
+    new = _permuted_day(found, key, back, lambda d: len(str(d.day)) == len(day.lstrip("0")) and (short or d.month != 5))
+    if new is None:
+        return None
+    told = MONTHS[new.month - 1][:3] if short else MONTHS[new.month - 1]
+    told = told.upper() if name.isupper() else told.lower() if name.islower() else told
+    out = value.replace(name, "\0", 1).replace(year, "\1", 1).replace(day, f"{new.day:0{len(day)}d}", 1)
+    return out.replace("\0", told).replace("\1", f"{new.year:04d}")
+
+
 def _email(value: str, key: bytes, back: bool) -> str | None:
     local, _, domain = value.rpartition("@")
     return f"{_alike(local, key, 'email@' + domain.lower(), back)}@{domain}" if any(c.isalnum() for c in local) else None
 
 
 _START, _END = r"(?<!\w)(?<!\d[.,/:-])", r"(?!\w)(?![.,/:-]\d)"
+_MONTH = "(?i:" + "|".join(f"{m}|{m[:3]}" for m in MONTHS) + ")"
 _SHAPES = re.compile(rf"""
     (?P<iban>(?<!\w)[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]{{11,30}}|(?:[ ][A-Z0-9]{{4}}){{2,7}}(?:[ ][A-Z0-9]{{1,4}})?)(?!\w))
-  | (?P<date>{_START}(?:[0-9]{{4}}(?P<s1>[-/.])[0-9]{{2}}(?P=s1)[0-9]{{2}}|[0-9]{{2}}(?P<s2>[-/.])[0-9]{{2}}(?P=s2)[0-9]{{4}}){_END})
+  | (?P<date>{_START}(?:[0-9]{{4}}(?P<s1>[-/.])[0-9]{{2}}(?P=s1)[0-9]{{2}}|[0-9]{{1,2}}(?P<s2>[-/.])[0-9]{{1,2}}(?P=s2)[0-9]{{4}}){_END})
+  | (?P<named>{_START}(?:(?:{_MONTH})\.?[ ][0-9]{{1,2}}(?:st|nd|rd|th)?,?[ ][0-9]{{4}}|[0-9]{{1,2}}[ ](?:{_MONTH})[ ][0-9]{{4}}){_END})
   | (?P<ip>{_START}[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}{_END})
   | (?P<ssn>{_START}[0-9]{{3}}(?P<s3>[- ])[0-9]{{2}}(?P=s3)[0-9]{{4}}{_END})
   | (?P<card>{_START}(?:[0-9]{{13,19}}|[0-9]{{4}}(?P<s4>[ -])[0-9]{{4}}(?P=s4)[0-9]{{4}}(?P=s4)[0-9]{{1,7}}|[0-9]{{4}}(?P<s5>[ -])[0-9]{{6}}(?P=s5)[0-9]{{5}}){_END})
@@ -205,7 +238,7 @@ _SHAPES = re.compile(rf"""
 """, re.VERBOSE | re.ASCII)
 _EMAIL = re.compile(r"(?<![\w.%+-])[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,63})@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?!\w)")
 _HINT = re.compile(r"[0-9]")
-_BY = {"card": _card, "phone": _phone, "ip": _ip, "ssn": _ssn, "iban": _iban, "date": _date}
+_BY = {"card": _card, "phone": _phone, "ip": _ip, "ssn": _ssn, "iban": _iban, "date": _date, "named": _named_date}
 
 
 @lru_cache(maxsize=1 << 14)
@@ -221,7 +254,7 @@ def rewrite(text: str, key: bytes = KEY, back: bool = False) -> tuple[str, Count
         new = _replacement(kind, value, key, back)
         if new is None:
             return value
-        counts[kind] += 1
+        counts["date" if kind == "named" else kind] += 1
         return new
 
     def shapes(part: str) -> str:

@@ -7,7 +7,7 @@ from listenkpi.llm import pii as P
 KEY = b"test key"
 VALID = ["4111 1111 1111 1111", "4785380592391139", "378282246310005", "5500-0000-0000-0004", "+1 (487) 555-7209", "(212) 555-0199", "212-555-0199",
          "+44 20 7946 0958", "97.51.17.173", "123-45-6789", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "1987-03-12", "31.12.1999",
-         "12/03/1987", "25/12/1990", "2020/02/29", "a.99@mail6.example.com", "First.Last+x@sub.example.org"]
+         "12/03/1987", "25/12/1990", "2020/02/29", "3/7/1987", "1.12.1990", "March 7, 1987", "12 Mar 1987", "SEPTEMBER 30 2001", "1 may 2020", "a.99@mail6.example.com", "First.Last+x@sub.example.org"]
 NOT_VALID = ["4111 1111 1111 1112", "0007687199101951", "+1 (187) 555-7209", "300.1.1.1", "1.2.3.4.5", "666-12-1234", "000-12-1234", "DE88 3704 0044 0532 0130 00",
              "1987-13-12", "30.02.2000", "31/31/1990", "12.5", "2024", "v1.22.33.444", "24be64439e49cf46b2d7c90f3602a3d0b907ff12", "no@host", "3.14159"]
 
@@ -31,7 +31,7 @@ def test_valid_values_keep_their_format(value):
     new, counts = P.rewrite(text, KEY)
     assert value not in new and sum(counts.values()) == 1
     shape = lambda s: "".join("9" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else c for c in s)
-    if "ip" not in counts:
+    if "ip" not in counts and not any(c.isalpha() and "date" in counts for c in value):
         assert shape(new) == shape(text)
     assert P.rewrite(new, KEY, back=True)[0] == text
     again, n = P.rewrite(new, KEY)
