@@ -287,12 +287,12 @@ def _with_next(docs: DataFrame) -> DataFrame:
     group = _group_of(edges)
     heads = {r["g"]: r["k"] for r in docs.groupBy(group("k").alias("g")).agg(F.min("k").alias("k")).collect()}
     order = sorted(heads)
-    before = {heads[g]: order[i - 1] for i, g in enumerate(order)}
-    placed = docs.withColumn("g", group("k"))
-    extra = F.create_map(*[F.lit(x) for kv in before.items() for x in kv])[F.col("k")] if before else F.lit(None).cast("int")
-    return placed.select("doc_id", "text", "k", F.explode(F.filter(F.array(
-        F.struct(F.col("g").alias("g"), F.lit(False).alias("extra")), F.struct(extra.cast("int").alias("g"), F.lit(True).alias("extra")),
-    ), lambda x: x["g"].isNotNull())).alias("to")).select("to.g", "to.extra", "doc_id", "k", "text")
+    heads = spark.createDataFrame([(heads[g], order[i - 1]) for i, g in enumerate(order)], "k bigint, before int")
+    # at most one row for each group, so it may be broadcast whatever the corpus
+    placed = docs.withColumn("g", group("k")).join(F.broadcast(heads), "k", "left")
+    to = F.array(F.struct(F.col("g").alias("g"), F.lit(False).alias("extra")), F.struct(F.col("before").alias("g"), F.lit(True).alias("extra")))
+    to = F.explode(F.filter(to, lambda x: x["g"].isNotNull()))
+    return placed.select("doc_id", "text", "k", to.alias("to")).select("to.g", "to.extra", "doc_id", "k", "text")
 
 
 def versions(docs: DataFrame) -> DataFrame:
