@@ -140,12 +140,15 @@ def _grouped(headers: DataFrame) -> dict[tuple[str, ...], int]:
 
 
 def read_files_by_header(spark: SparkSession, headers: DataFrame, multi_line: bool = False, na_tokens: bool = True,
-                         keep: bool = False) -> DataFrame:
-    """Union by column name of the files of ``headers`` (``path, header``), one scan for each header. The
-    driver sees one row for each file. ``keep`` adds each row's ``_path`` and ``_header``."""
+                         keep: bool = False) -> DataFrame | None:
+    """Union by column name of the files of ``headers`` (``path, header``), one scan for each header; None
+    without any file. The driver sees one row for each file. ``keep`` adds each row's ``_path`` and
+    ``_header``."""
     groups: dict[tuple[str, ...], list[str]] = {}
     for row in headers.collect():
         groups.setdefault(tuple(row["header"]), []).append(row["path"])
+    if not groups:
+        return None
     parts = []
     for header, files in sorted(groups.items()):
         part = _read_group(spark, header, files, multi_line)

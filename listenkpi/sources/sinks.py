@@ -58,18 +58,17 @@ def keyed_upsert(df: DataFrame, path: str, keys: Sequence[str] = ("date",), repl
     """Put ``df`` into the keyed table at ``path``: stored rows with a key of ``df`` (NULL is a key like any
     other) are replaced, others stay. ``keys`` begins with ``date``.
 
-    ``replaced``: keys whose stored rows go even where ``df`` has no row for them (a date recomputed to
-    nothing). Only the months of the change are read and written; the driver sees their names, no dates.
-    One writer at a time (see ``MonthTable``)."""
+    ``replaced``: the keys whose stored rows go, where the caller knows them: those of ``df``, and any for
+    which it has no row (a date recomputed to nothing). ``df`` is then computed once, in the write itself.
+    Only the months of the change are read and written; the driver sees their names, no dates. One writer at
+    a time (see ``MonthTable``)."""
     if not keys or keys[0] != "date":
         raise ValueError("keys must begin with 'date', which the table is stored by")
     spark, keys = df.sparkSession, list(keys)
     table = MonthTable(spark, path)
     with scratch_scope(spark):
-        new = stage(df, "upsert-new", spark)  # computed once, read for its keys and for the merge
-        put = new.select(*keys)
-        put = put.unionByName(replaced.select(*keys)) if replaced is not None else put
-        put = stage(put.distinct(), "upsert-keys", spark)
+        new = df if replaced is not None else stage(df, "upsert-new", spark)  # read for its keys and for the merge
+        put = (new if replaced is None else replaced).select(*keys).distinct()
         touched = [r["m"] for r in put.select(month_of(F.col("date")).alias("m")).distinct().collect()]
         merged = new
         if table.commit()["schema"] is not None:

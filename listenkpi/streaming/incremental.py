@@ -4,10 +4,9 @@ Layout under one shared ``root`` folder:
 
 * ``plays/``: every play received, with all columns of its file, a ``MonthTable`` by the play's date. A
   retried micro-batch finds its folder there and adds nothing.
-* ``headers/``: the column sets of the files of each drop (one small row for each batch, drop and header).
+* ``files/``: one row for each file that came (``path, header, reason, batch_id``). ``reason`` tells why a file
+  was set aside: no header, or a required column missing. A bad file does not stop the stream.
 * ``kpis/``: the KPI table (``keyed_upsert`` by date).
-* ``rejects/``: files that could not be taken (``path, reason, batch_id``): no header, or a required column
-  missing. A bad file is set aside and the stream goes on.
 * ``songs/``: the cleaned song table, written once when the stream starts.
 * ``_checkpoint/``: the stream's checkpoint (offsets, committed batches).
 
@@ -45,7 +44,7 @@ _OWN = ["_date", "_drop", "_header"]
 
 def paths(root: str) -> dict[str, str]:
     root = normalize_path(root)
-    return {name: f"{root}/{name}" for name in ("plays", "headers", "kpis", "rejects", "songs")} | {"checkpoint": f"{root}/_checkpoint"}
+    return {name: f"{root}/{name}" for name in ("plays", "files", "kpis", "songs")} | {"checkpoint": f"{root}/_checkpoint"}
 
 
 def play_files(spark: SparkSession, source_dir: str, archive_dir: str | None = None,
@@ -78,22 +77,24 @@ def _checked(headers: DataFrame) -> DataFrame:
     return headers.withColumn("reason", reason)
 
 
-def store_batch(spark: SparkSession, files: DataFrame, batch_id: int, root: str, na_tokens: bool = True) -> tuple[DataFrame, list[str]] | None:
-    """Set bad files of the batch aside and store the plays of the others; returns the batch's drops and
-    the months of its plays, or None if no file was taken. Idempotent for a batch id."""
+def store_batch(spark: SparkSession, files: DataFrame, batch_id: int, root: str, na_tokens: bool = True) -> list[str] | None:
+    """Note the files of the batch and store the plays of the good ones; returns the months of its plays, or
+    None if no file was taken. Idempotent for a batch id."""
     p = paths(root)
-    checked = stage(_checked(file_headers(files)), "headers", spark)
-    checked.where("reason IS NOT NULL").select("path", "reason").coalesce(1).write.mode("overwrite").parquet(f"{p['rejects']}/batch_id={batch_id}")
-    good = checked.where("reason IS NULL").select("path", "header", drop_of(F.col("path")).alias("_drop"))
-    told = good.select("_drop", F.array_sort("header").alias("header")).distinct()
-    told.coalesce(1).write.mode("overwrite").parquet(f"{p['headers']}/batch_id={batch_id}")
-    if good.isEmpty():
-        return None
+    _checked(file_headers(files)).write.mode("overwrite").parquet(f"{p['files']}/batch_id={batch_id}")
+    good = spark.read.parquet(f"{p['files']}/batch_id={batch_id}").where("reason IS NULL")
     plays = read_files_by_header(spark, good.select("path", "header"), na_tokens=na_tokens, keep=True)
+    if plays is None:
+        return None
     ts = parse_time("listen_time", plays.schema["listen_time"].dataType)
     rows = plays.withColumns({"_date": F.to_date(ts), "_drop": drop_of(F.col("_path")), "_header": F.array_sort("_header")}).drop("_path")
-    months = MonthTable(spark, p["plays"]).append(rows, "_date", f"b{batch_id:012d}")
-    return spark.read.parquet(f"{p['headers']}/batch_id={batch_id}").select("_drop").distinct(), months
+    return MonthTable(spark, p["plays"]).append(rows, "_date", f"b{batch_id:012d}")
+
+
+def drop_headers(spark: SparkSession, root: str) -> DataFrame:
+    """``_drop, header, batch_id`` of the files taken: the column sets of each drop."""
+    good = spark.read.parquet(paths(root)["files"]).where("reason IS NULL")
+    return good.select(drop_of(F.col("path")).alias("_drop"), F.array_sort("header").alias("header"), "batch_id").distinct()
 
 
 def _complete(plays: DataFrame, headers: DataFrame) -> DataFrame:
@@ -117,7 +118,7 @@ def recompute(spark: SparkSession, root: str, songs: DataFrame, dates: DataFrame
     if replace:
         last = stored.groupBy(F.col("_date").alias("date")).agg(F.max("_drop").alias("last"))
         stored = stored.join(last, stored["_date"].eqNullSafe(last["date"]) & (stored["_drop"] == last["last"]), "left_semi")
-    plays = _complete(stored, spark.read.parquet(p["headers"])).drop(*_OWN).dropDuplicates()
+    plays = _complete(stored, drop_headers(spark, root)).drop(*_OWN).dropDuplicates()
     keyed_upsert(kpis_from_clean(plays, songs), p["kpis"], replaced=dates)
 
 
@@ -127,18 +128,18 @@ def process_batch(spark: SparkSession, root: str, songs: DataFrame, replace: boo
     def run(files: DataFrame, batch_id: int) -> None:
         ensure_defaults(spark)
         with scratch_scope(spark):
-            stored = store_batch(spark, files.select("path"), batch_id, root, na_tokens)
-            if stored is None:
+            own = store_batch(spark, files.select("path"), batch_id, root, na_tokens)
+            if not own:
                 return
-            drops, own = stored
+            headers = drop_headers(spark, root)
+            drops = headers.where(F.col("batch_id") == batch_id).select("_drop").distinct()
             # files of one drop may have come in earlier batches: their dates may change with it
-            earlier = spark.read.parquet(paths(root)["headers"]).where(F.col("batch_id") != batch_id).join(drops, "_drop", "left_semi")
-            table = MonthTable(spark, paths(root)["plays"])
-            rows = table.read(own if earlier.isEmpty() else None)
+            earlier = headers.where(F.col("batch_id") != batch_id).join(drops, "_drop", "left_semi")
+            alone = earlier.isEmpty()
+            rows = MonthTable(spark, paths(root)["plays"]).read(own if alone else None)
             dates = stage(rows.join(drops, "_drop", "left_semi").select(F.col("_date").alias("date")).distinct(), "dates", spark)
-            months = [r["m"] for r in dates.select(month_of(F.col("date")).alias("m")).distinct().collect()]
-            if months:
-                recompute(spark, root, songs, dates, months, replace)
+            months = own if alone else [r["m"] for r in dates.select(month_of(F.col("date")).alias("m")).distinct().collect()]
+            recompute(spark, root, songs, dates, months, replace)
     return run
 
 
@@ -174,4 +175,4 @@ def read_kpis(spark: SparkSession, root: str) -> DataFrame:
 
 def read_rejects(spark: SparkSession, root: str) -> DataFrame:
     """``path, reason, batch_id`` of the files set aside."""
-    return spark.read.parquet(paths(root)["rejects"])
+    return spark.read.parquet(paths(root)["files"]).where("reason IS NOT NULL").select("path", "reason", "batch_id")
