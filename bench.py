@@ -24,6 +24,8 @@ HEADLINE = [
     "top_genres",
     "daily_genre_kpis_per_play",
     "daily_genre_kpis_events",
+    "csv_roundtrip_kpis",
+    "kpi_upsert",
     "kpi_incremental",
 ]
 

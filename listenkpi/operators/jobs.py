@@ -25,7 +25,7 @@ from listenkpi.operators.enrich import SONG_FIELDS, join_songs, listen_table, wi
 from listenkpi.operators.kpis import genre_kpis, genre_kpis_per_play
 from listenkpi.operators.quality import clean_plays, clean_songs, fill_unknown
 from listenkpi.operators.rank import song_plays, top_genres, top_genres_list, top_songs, top_songs_list
-from listenkpi.schemas import KPI_COLUMNS, TOP_GENRES, TOP_SONGS
+from listenkpi.schemas import GENRE_LIST, KPI_COLUMNS, SONG_LIST, TOP_GENRES, TOP_SONGS
 from listenkpi.sources.sinks import stage
 
 PER_PLAY_COLUMNS = [
@@ -35,8 +35,8 @@ PER_PLAY_COLUMNS = [
     "unique_listeners",
     "total_listening_time",
     "avg_play_duration_ms",
-    "top_3_songs_per_genre",
-    "top_5_genres_per_day",
+    SONG_LIST,
+    GENRE_LIST,
 ]
 
 

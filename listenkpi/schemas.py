@@ -19,6 +19,11 @@ LIST_SEPARATOR = "|"
 # List lengths: top songs per (date, genre) and top genres per date.
 TOP_SONGS = 3
 TOP_GENRES = 5
+# Names of the ranking's output columns: a top song, its plays, and the two lists.
+TOP_SONG = "top_3_songs"
+TOP_SONG_PLAYS = "song_play_count"
+SONG_LIST = "top_3_songs_per_genre"
+GENRE_LIST = "top_5_genres_per_day"
 # Milliseconds per minute, and decimals kept by the rounding.
 MS_PER_MINUTE = 60000
 ROUND_DIGITS = 2
@@ -43,6 +48,6 @@ KPI_COLUMNS = [
     "unique_listeners",
     "total_listening_time",
     "avg_listening_time_per_user",
-    "top_3_songs_per_genre",
-    "top_5_genres_per_day",
+    SONG_LIST,
+    GENRE_LIST,
 ]

@@ -41,11 +41,16 @@ def test_salted_song_join_gives_the_same_result(spark):
     assert rows(daily_kpis(plays, songs, salt_buckets=4), *COLS) == rows(daily_kpis(plays, songs), *COLS)
 
 
-def test_co_partitioned_song_ranking_gives_the_same_lists(spark):
-    from listenkpi.operators import enrich, rank
-    plays, songs, _ = views.domain(spark, SF0001)
-    listens = enrich.listen_table(quality.clean_plays(plays), quality.clean_songs(songs))
-    cols = ["date", "track_genre", "top_3_songs_per_genre"]
-    a = rank.top_songs_list(rank.top_songs(rank.song_plays(listens)))
-    b = rank.top_songs_list(rank.top_songs(rank.song_plays(listens, co_partition=True)))
-    assert rows(a, *cols) == rows(b, *cols)
+def test_plays_without_a_track_are_spread_and_kept(spark):
+    from listenkpi.operators import enrich
+    from listenkpi.plans import inspect
+    plays = spark.range(200).selectExpr("concat('u', id) as user_id", "case when id % 2 = 0 then null else 't1' end as track_id",
+                                        "'2024-01-01 10:00:00' as listen_time")
+    songs = spark.createDataFrame([("t1", "n", "pop", 1)], "track_id string, track_name string, track_genre string, duration_ms bigint")
+    got = enrich.join_songs(plays, songs)
+    assert sorted({(r["track_id"], r["track_genre"]) for r in got.collect()}, key=str) == [("t1", "pop"), (None, None)] and got.count() == 200
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "_salt" in inspect.plan_text(enrich.join_songs(plays, songs), "simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
