@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from listenkpi import queries as Q  # noqa: E402
-from listenkpi.session import local_session  # noqa: E402
+from listenkpi.session import drop_scratch, local_session  # noqa: E402
 
 HEADLINE = [
     "genre_kpis",
@@ -59,6 +59,7 @@ def main() -> None:
         "cpus": cpus,
         "runs": runs,
     }))
+    drop_scratch(spark)
     spark.stop()
 
 

@@ -61,15 +61,21 @@ def run_folder(spark: SparkSession) -> str:
         _RUN_FOLDERS.add(folder)
 
         def clean() -> None:
-            # a session that was stopped before leaves the folder under the application's name
-            with contextlib.suppress(Exception):
-                if spark.sparkContext._jsc is not None:
+            with contextlib.suppress(Exception):  # nothing can be done about it at exit
+                if spark.sparkContext._jsc is not None:  # a session stopped before should drop_scratch first
                     delete_path(spark, folder)
 
         atexit.register(clean)
     return folder
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the application's scratch folder: before a session is stopped by hand."""
+    folder = run_folder(spark)
+    delete_path(spark, folder)
+    _RUN_FOLDERS.discard(folder)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder path in the application's scratch folder (not created)."""
     path = f"{run_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from listenkpi.session import local_session  # noqa: E402
+from listenkpi.session import drop_scratch, local_session  # noqa: E402
 
 SF0001 = "/root/testdata/sf0.001"
 SF001 = "/root/testdata/sf0.01"
@@ -15,6 +15,7 @@ SF001 = "/root/testdata/sf0.01"
 def spark():
     s = local_session(4, 4, app="listenkpi-tests")
     yield s
+    drop_scratch(s)
     s.stop()
 
 
