@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import contextlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,41 +10,17 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listenkpi.session import checkpoint_root
+from listenkpi.session import delete_path, scratch_path
 
 #: Text bytes that numpy works on at once inside a task; one longer text is worked on alone.
 SLICE_BYTES = 1 << 20
 
-_FOLDERS: dict[str, str] = {}
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def _run_folder(spark: SparkSession) -> str:
-    """This application's folder under the cluster's checkpoint folder; it goes when the driver exits."""
-    app = spark.sparkContext.applicationId
-    if app not in _FOLDERS:
-        _FOLDERS[app] = f"{checkpoint_root(spark).rstrip('/')}/llm-{app}"
-
-        def clean() -> None:
-            # The session may be gone already; the folder then stays under the application's name.
-            with contextlib.suppress(Exception):
-                if spark.sparkContext._jsc is not None:
-                    _delete(spark, _FOLDERS[app])
-
-        atexit.register(clean)
-    return _FOLDERS[app]
-
 
 def write_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """Write ``df`` as Parquet in the shared scratch folder and read it back: lineage ends here, and a
+    """Write ``df`` as Parquet in the application's scratch folder and read it back: lineage ends here, and a
     lost executor means a re-read. Returns the table and its path (for ``drop_table``)."""
     spark = df.sparkSession
-    path = f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = scratch_path(spark, name)
     schema = df.schema
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path), path
@@ -55,7 +28,7 @@ def write_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
 
 def drop_table(spark: SparkSession, path: str) -> None:
     """Delete a scratch table whose readers have all been written."""
-    _delete(spark, path)
+    delete_path(spark, path)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
