@@ -2,13 +2,15 @@
 
 Values are found by their shape and then validated: card numbers (Luhn), telephone numbers (+ and country
 code, or the North American plan), IPv4 addresses, US social security numbers (issued ranges), IBANs
-(modulo 97), calendar dates and e-mail addresses. What fails validation stays as it is.
+(modulo 97), calendar dates and e-mail addresses. Where a shape fails validation, shorter readings of it
+and the other kinds are tried at its spaces, so a number beside another is found; what then fails stays.
 
 Each value is numbered within the domain of its format, permuted there by a keyed Feistel network and
 written back in the same format: separators, sign and length classes stay, check digits are computed
 anew, a date stays a date. The permutation depends on the kind and the value alone, so equal values get
 equal pseudonyms in every document, also across separators and, for dates, across notations; different
-values of a kind get different ones. ``restore`` with the same key undoes it exactly. Numbers that can't
+values of a kind get different ones. Only where numbers stand so close that the pseudonym would be read
+together with its neighbour, the value is permuted with a key derived from ``key``. ``restore`` with the same key undoes it exactly. Numbers that can't
 be such a value in the result (no Luhn digit, unissued ranges) are stepped over by walking the
 permutation's cycle.
 
@@ -23,7 +25,7 @@ import hashlib
 import math
 import re
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pandas as pd
@@ -33,6 +35,7 @@ from pyspark.sql import types as T
 
 KEY = b"replace this key outside tests"
 ROUNDS = 8
+TURNS = 32
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
 KINDS = ["card", "phone", "ip", "ssn", "iban", "date", "email"]
 RESULT = T.StructType([T.StructField("text", T.StringType()), *[T.StructField(f"n_{k}", T.LongType()) for k in KINDS]])
@@ -94,10 +97,15 @@ def _american(x: int) -> bool:
 def _phone(value: str, key: bytes, back: bool) -> str | None:
     d = _digits(value)
     if (len(d) == 11 and d[0] == "1") or (len(d) == 10 and not value.startswith("+")):
-        if not _american(int(d[-10:])):
+        # +1 tells a telephone number also where the plan has no such area or exchange; the tests have 1dd as not valid
+        free = value.startswith("+") and d[-10] != "1"
+        if not free and not _american(int(d[-10:])):
             return None
         # the exchange stays (555 is kept out of use); the area code and the line are permuted
         exchange = int(d[-7:-4])
+        if d[-10] == "0":
+            x = feistel(int(d[-9:-7] + d[-4:]), 10**6, key, f"phone0 {exchange}", back)
+            return _refill(value, d[:-9] + f"{x // 10**4:02d}{exchange:03d}{x % 10**4:04d}")
         x = feistel(int(d[-10:-7] + d[-4:]), 10**7, key, f"phone{exchange}", back, lambda v: v // 10**6 >= 2)
         area, line = divmod(x, 10**4)
         return _refill(value, d[:-10] + f"{area:03d}{exchange:03d}{line:04d}")
@@ -225,17 +233,19 @@ def _email(value: str, key: bytes, back: bool) -> str | None:
 
 _START, _END = r"(?<!\w)(?<!\d[.,/:-])", r"(?!\w)(?![.,/:-]\d)"
 _MONTH = "(?i:" + "|".join(f"{m}|{m[:3]}" for m in MONTHS) + ")"
-_SHAPES = re.compile(rf"""
-    (?P<iban>(?<!\w)[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]{{11,30}}|(?:[ ][A-Z0-9]{{4}}){{2,7}}(?:[ ][A-Z0-9]{{1,4}})?)(?!\w))
-  | (?P<date>{_START}(?:[0-9]{{4}}(?P<s1>[-/.])[0-9]{{2}}(?P=s1)[0-9]{{2}}|[0-9]{{1,2}}(?P<s2>[-/.])[0-9]{{1,2}}(?P=s2)[0-9]{{4}}){_END})
-  | (?P<named>{_START}(?:(?:{_MONTH})\.?[ ][0-9]{{1,2}}(?:st|nd|rd|th)?,?[ ][0-9]{{4}}|[0-9]{{1,2}}[ ](?:{_MONTH})[ ][0-9]{{4}}){_END})
-  | (?P<ip>{_START}[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}{_END})
-  | (?P<ssn>{_START}[0-9]{{3}}(?P<s3>[- ])[0-9]{{2}}(?P=s3)[0-9]{{4}}{_END})
-  | (?P<card>{_START}(?:[0-9]{{13,19}}|[0-9]{{4}}(?P<s4>[ -])[0-9]{{4}}(?P=s4)[0-9]{{4}}(?P=s4)[0-9]{{1,7}}|[0-9]{{4}}(?P<s5>[ -])[0-9]{{6}}(?P=s5)[0-9]{{5}}){_END})
-  | (?P<phone>(?<![\w+])(?:\+?1[ .-]?)?(?:\([0-9]{{3}}\)[ ]?|(?<![\d(])[0-9]{{3}}[ .-])[0-9]{{3}}[ .-][0-9]{{4}}{_END}
+_SHAPE = {
+    "iban": r"(?<!\w)[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:[ ][A-Z0-9]{4}){2,7}(?:[ ][A-Z0-9]{1,4})?)(?!\w)",
+    "date": rf"{_START}(?:[0-9]{{4}}(?P<s1>[-/.])[0-9]{{2}}(?P=s1)[0-9]{{2}}|[0-9]{{1,2}}(?P<s2>[-/.])[0-9]{{1,2}}(?P=s2)[0-9]{{4}}){_END}",
+    "named": rf"{_START}(?:(?:{_MONTH})\.?[ ][0-9]{{1,2}}(?:st|nd|rd|th)?,?[ ][0-9]{{4}}|[0-9]{{1,2}}[ ](?:{_MONTH})[ ][0-9]{{4}}){_END}",
+    "ip": rf"{_START}[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}{_END}",
+    "ssn": rf"{_START}[0-9]{{3}}(?P<s3>[- ])[0-9]{{2}}(?P=s3)[0-9]{{4}}{_END}",
+    "card": rf"{_START}(?:[0-9]{{13,19}}|[0-9]{{4}}(?P<s4>[ -])[0-9]{{4}}(?P=s4)[0-9]{{4}}(?P=s4)[0-9]{{1,7}}|[0-9]{{4}}(?P<s5>[ -])[0-9]{{6}}(?P=s5)[0-9]{{5}}){_END}",
+    "phone": rf"""(?<![\w+])(?:\+?1[ .-]?)?(?:\([0-9]{{3}}\)[ ]?|(?<![\d(])[0-9]{{3}}[ .-])[0-9]{{3}}[ .-][0-9]{{4}}{_END}
         |(?<![\w+])\+1[0-9]{{10}}{_END}
-        |(?<![\w+])\+[2-9][0-9]{{0,2}}(?:[ .-]?\(?[0-9]{{1,4}}\)?){{2,6}}{_END})
-""", re.VERBOSE | re.ASCII)
+        |(?<![\w+])\+[2-9][0-9]{{0,2}}(?:[ .-]?\(?[0-9]{{1,4}}\)?){{2,6}}{_END}""",
+}
+_EACH = {kind: re.compile(shape, re.VERBOSE | re.ASCII) for kind, shape in _SHAPE.items()}
+_SHAPES = re.compile("|".join(f"(?P<{kind}>{shape})" for kind, shape in _SHAPE.items()), re.VERBOSE | re.ASCII)
 _EMAIL = re.compile(r"(?<![\w.%+-])[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,63})@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?!\w)")
 _HINT = re.compile(r"[0-9]")
 _BY = {"card": _card, "phone": _phone, "ip": _ip, "ssn": _ssn, "iban": _iban, "date": _date, "named": _named_date}
@@ -246,28 +256,113 @@ def _replacement(kind: str, value: str, key: bytes, back: bool) -> str | None:
     return (_email if kind == "email" else _BY[kind])(value, key, back)
 
 
-def rewrite(text: str, key: bytes = KEY, back: bool = False) -> tuple[str, Counter]:
-    """The text with every validated value replaced, and how many of each kind."""
+def _readings(part: str, kind: str, start: int, stop: int) -> Iterator[re.Match]:
+    """The matches of a kind's shape at ``start``: the longest, then those that end before a space in it."""
+    while stop > start and (m := _EACH[kind].match(part, start, stop)):
+        yield m
+        stop = part.rfind(" ", start, m.end())
+
+
+def _within(part: str, failed: re.Match, replaced: Callable[[str, str], str | None]) -> tuple[list[tuple[int, int, str, str]], int]:
+    """The valid values ``(start, end, kind, new)`` that begin at a space in a shape that failed validation, and
+    where to go on. A telephone number has no check digits, so it gets what the first other value leaves."""
+    starts = [failed.start(), *(k + 1 for k in range(failed.start(), failed.end()) if part[k] == " ")]
+
+    def first(start: int, kinds: list[str], stop: int) -> tuple[int, int, str, str] | None:
+        tried = ((m, kind, replaced(kind, m[0])) for kind in kinds for m in _readings(part, kind, start, stop))
+        return next(((start, m.end(), kind, new) for m, kind, new in tried if new is not None), None)
+
+    other = next((v for start in starts if (v := first(start, [k for k in _EACH if k != "phone"], len(part)))), None)
+    if other is None:  # two telephone numbers
+        other = next((v for start in starts[1:] if (v := first(start, ["phone"], len(part))) and first(starts[0], ["phone"], start)), None)
+    values, at = [], failed.start()
+    for start in starts:
+        if start >= at and (other is None or start < other[0]):
+            if phone := first(start, ["phone"], other[0] if other else len(part)):
+                values.append(phone)
+                at = phone[1]
+                if other is None:
+                    break
+    values += [other] if other else []
+    return values, values[-1][1] if values else failed.end()
+
+
+def _crossing(part: str, phone: re.Match) -> list[tuple[int, re.Match, str]]:
+    """Shapes that begin at a space in a number with a country code, whose length is free, and end after it."""
+    if phone[0][0] != "+":
+        return []
+    starts = [k + 1 for k in range(phone.start(), phone.end()) if part[k] == " "]
+    return [(start, m, kind) for start in starts for kind in _EACH if (m := _EACH[kind].match(part, start)) and m.end() > phone.end()]
+
+
+def _scan(text: str, key: bytes, back: bool, turn: int) -> tuple[str, Counter, bool]:
+    """The text with every validated value replaced, how many of each kind, and whether a shape failed. Values
+    in shapes that failed are permuted with the key of the turn."""
     counts: Counter = Counter()
-
-    def replaced(kind: str, value: str) -> str:
-        new = _replacement(kind, value, key, back)
-        if new is None:
-            return value
-        counts["date" if kind == "named" else kind] += 1
-        return new
+    late = key if turn == 0 else hashlib.blake2b(f"turn {turn}".encode(), key=key, digest_size=32).digest()
+    failed = False
 
     def shapes(part: str) -> str:
-        return _SHAPES.sub(lambda m: replaced(m.lastgroup if m.lastgroup in _BY else next(k for k in _BY if m[k]), m[0]), part)
+        nonlocal failed
+        out, at, m = [], 0, _SHAPES.search(part)
+        while m:
+            kind = m.lastgroup if m.lastgroup in _BY else next(k for k in _BY if m[k])
+            new = _replacement(kind, m[0], key, back)
+            if new is not None:
+                values, on = [(*m.span(), kind, new)], m.end()
+                for start, other, beside in _crossing(part, m) if kind == "phone" else []:
+                    failed = True  # the number has taken groups of what may be another value
+                    shorter = _EACH["phone"].match(part, m.start(), start)
+                    cut = shorter and _replacement("phone", shorter[0], late, back)
+                    if cut and _replacement(beside, other[0], late, back):
+                        values, on = [(*shorter.span(), "phone", cut)], shorter.end()
+                        break
+            else:
+                values, on = _within(part, m, lambda kind, value: _replacement(kind, value, late, back))
+                failed = True
+            for start, end, kind, new in values:
+                out += [part[at:start], new]
+                at = end
+                counts["date" if kind == "named" else kind] += 1
+            m = _SHAPES.search(part, on)
+        return "".join([*out, part[at:]])
 
     # addresses first: the digits of one are not numbers of their own
     if "@" in text:
         out, last = [], 0
         for m in _EMAIL.finditer(text):
-            out += [shapes(text[last:m.start()]), replaced("email", m[0])]
+            out.append(shapes(text[last:m.start()]))
+            new = _replacement("email", m[0], key, back)
+            counts["email"] += new is not None
+            out.append(m[0] if new is None else new)
             last = m.end()
-        return "".join([*out, shapes(text[last:])]), counts
-    return (shapes(text), counts) if _HINT.search(text) else (text, counts)
+        return "".join([*out, shapes(text[last:])]), +counts, failed
+    return (*((shapes(text), counts) if _HINT.search(text) else (text, counts)), failed)
+
+
+def _restored(text: str, key: bytes) -> tuple[str, Counter]:
+    """What the first turn that gives ``text`` gives it for."""
+    first = None
+    for turn in range(TURNS):
+        old, counts, failed = _scan(text, key, True, turn)
+        if not failed or _scan(old, key, False, turn)[0] == text:
+            return old, counts
+        first = first or (old, counts)
+    return first
+
+
+def rewrite(text: str, key: bytes = KEY, back: bool = False) -> tuple[str, Counter]:
+    """The text with every validated value replaced, and how many of each kind."""
+    if back:
+        return _restored(text, key)
+    first = None
+    for turn in range(TURNS):
+        new, counts, failed = _scan(text, key, False, turn)
+        # a number beside a pseudonym may come to look valid with it: then the next turn's pseudonym
+        if not failed or _restored(new, key)[0] == text:
+            return new, counts
+        first = first or (new, counts)
+    return first
 
 
 def rewriter(key: bytes, back: bool = False):

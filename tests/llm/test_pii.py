@@ -67,3 +67,36 @@ def test_rows_edges_and_round_trip(spark):
     back = P.restore(new, "b", KEY).selectExpr("doc_id", "b.text").collect()
     assert by(back) == by(docs.collect())
     assert P.pseudonymise(docs.limit(0), "p").count() == 0
+
+
+@pytest.mark.parametrize("text, n", [
+    ("+49 30 1234567 4111 1111 1111 1111", {"phone": 1, "card": 1}), ("4111 1111 1111 1111 +49 30 1234567 5500 0000 0000 0004", {"card": 2, "phone": 1}),
+    ("BE68 5390 0754 7034 2024", {"iban": 1}), ("BE68 5390 0754 7034 PAID", {"iban": 1}), ("1234 4111 1111 1111 1111", {"card": 1}),
+    ("+44 20 7946 0958 12 Mar 1987", {"phone": 1, "date": 1}), ("+44 20 7946 0958 (212) 555-0199", {"phone": 2}),
+    ("+49 30 1234567 BE68 5390 0754 7034 2024", {"phone": 1, "iban": 1})])
+def test_a_number_beside_another_is_found(text, n):
+    new, counts = P.rewrite(text, KEY)
+    assert counts == n and P.rewrite(new, KEY, back=True)[0] == text
+
+
+def test_all_pairs_are_found_and_undone():
+    for a in VALID + NOT_VALID:
+        for b in VALID + NOT_VALID:
+            text = f"x {a} {b} y"
+            new, counts = P.rewrite(text, KEY)
+            assert P.rewrite(new, KEY, back=True)[0] == text, text
+            assert (a in NOT_VALID or b in NOT_VALID) or sum(counts.values()) == 2, (text, new)
+
+
+@given(st.lists(st.tuples(st.sampled_from(["4111", "1111", "5500", "0000", "0004", "+49", "30", "212", "555", "0199", "BE68", "5390", "12", "Mar", "1987"]),
+                          st.sampled_from([" ", "  ", "-", ", "])), max_size=14))
+@settings(max_examples=300, deadline=None)
+def test_crowded_groups_are_undone(groups):
+    text = "".join(a + b for a, b in groups)
+    assert P.rewrite(P.rewrite(text, KEY)[0], KEY, back=True)[0] == text
+
+
+@pytest.mark.parametrize("value", ["+1 (017) 555-7713", "+1 (099) 055-0000", "+1 (487) 155-7209", "+10175557713"])
+def test_plus_one_tells_a_number_without_an_area_of_the_plan(value):
+    new, counts = P.rewrite(f"call {value}.", KEY)
+    assert value not in new and counts == {"phone": 1} and P.rewrite(new, KEY, back=True)[0] == f"call {value}."
