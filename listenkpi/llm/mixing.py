@@ -13,7 +13,7 @@
 Columns and SQL functions only. Everything about documents stays in tables; the driver sees the word
 weights (bounded by ``BUCKETS``) and one total for each domain and step. The classifier learns from at most
 ``PER_DOMAIN`` labelled documents of each domain, the first by a hash of their id; shares of domains come
-from all labelled rows. Tokens are the words between single spaces.
+from all labelled rows. Tokens are the words between runs of white space.
 
 Defined results: a NULL, empty or blank text has 0 tokens, the domains' shares as posteriors, and a rate
 like any other. A domain without labelled rows has the smoothed share of none and no word evidence. A
@@ -53,9 +53,13 @@ def _sum(columns: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, columns)
 
 
+#: Fixed value: white space as Unicode and Python's ``split`` have it.
+SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+
+
 def words_of(text: Column) -> Column:
-    """The text's words in lower case: what stands between single spaces."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), " ", -1), lambda w: w != "")
+    """The text's words in lower case: what stands between runs of white space."""
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), SPACE, -1), lambda w: w != "")
 
 
 def _bucket(word: Column) -> Column:

@@ -69,3 +69,11 @@ def test_no_labels_and_empty_documents(spark):
     rows = M.mix(docs, M.domain_of_labels(none), M.TARGETS, "m").collect()
     assert {tuple(round(x, 6) for x in r["m"]["p"]) for r in rows} == {(round(1 / 3, 6),) * 3}
     assert M.mix(docs.limit(0), M.domain_of_labels(none), M.TARGETS, "m").count() == 0
+
+
+def test_words_end_at_any_white_space(spark):
+    texts = ["one\ntwo\tthree\r\nfour  five", "\n a\u00a0b\u2003c\u3000d\x0be\x0cf\x85g\x1ch\u2028i ", "line\n" * 500, "\t\n ", "", "x\u200by", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = {r["i"]: r["w"] for r in rows.select("i", M.words_of(rows["text"]).alias("w")).collect()}
+    assert got == {i: (t or "").split() for i, t in enumerate(texts)}
+    assert inspect.python_nodes(rows.select(M.words_of(rows["text"]))) == []
