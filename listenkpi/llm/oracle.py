@@ -70,4 +70,48 @@ SELECT record_id, url_key, status, CASE WHEN status = 'resolved' THEN found END
 FROM judged
 """
 
-ORACLE: dict[str, str] = {"op1_revisits": OP1, "op10_decontaminate": OP10}
+OP11 = r"""
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+      FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
+OP12 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+g AS (
+  SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (length(t) + 1) AS a,
+    CAST('0x' || substr(h, 9, 8) AS BIGINT) % (length(t) + 1) AS b, CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 AS p,
+    CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS q FROM d),
+f AS (
+  SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR p >= 90 THEN 'plain'
+    WHEN q < 20 THEN 'spm' ELSE 'psm' END AS form, least(a, b) AS i, greatest(a, b) AS j FROM g),
+c AS (SELECT *, substring(t, 1, i) AS x, substring(t, i + 1, j - i) AS y, substring(t, j + 1, n - j) AS z FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(i AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(j - i AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || x || '<S>' || z || '<M>' || y
+    ELSE '<S>' || z || '<P>' || x || '<M>' || y END) AS output_sha256, sha256(t) AS restored_sha256
+FROM c
+"""
+
+OP13 = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id AS other_id, a.label = c.label AS same, CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+      FROM v a JOIN v c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+  other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+ORACLE: dict[str, str] = {"op1_revisits": OP1, "op10_decontaminate": OP10, "op11_neighbours": OP11, "op12_middle": OP12, "op13_negatives": OP13}

@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from listenkpi.llm import ann as N
 from listenkpi.llm import decontaminate as D
 from listenkpi.llm import iblt as B
 from listenkpi.llm import langid as G
+from listenkpi.llm import middle as C
 from listenkpi.llm import mixing as M
+from listenkpi.llm import negatives as H
 from listenkpi.llm import pii as P
 from listenkpi.llm import quality as Y
 from listenkpi.llm import simhash as S
@@ -111,6 +114,27 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("found.lang").alias("lang_pred"), "found.score")
 
 
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each 20th vector's 20 nearest among all vectors."""
+    session(spark)
+    return N.nearest(read(spark, sf_dir, "embeddings"))
+
+
+def op12_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in fill-in-middle form."""
+    session(spark)
+    docs = C.fill_in_middle(id_text(read(spark, sf_dir, "documents")), "fim")
+    told = docs.select("doc_id", "fim.*")
+    return told.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(C.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of each 50th vector among all vectors."""
+    session(spark)
+    return H.hard_negatives(read(spark, sf_dir, "embeddings"), label=H.relabelled(F.col("label"), F.col("vec_id")))
+
+
 REGISTRY: dict[str, Query] = {
     "op1_revisits": op1_revisits,
     "op2_iblt": op2_iblt,
@@ -122,4 +146,7 @@ REGISTRY: dict[str, Query] = {
     "op8_pseudonyms": op8_pseudonyms,
     "op9_language": op9_language,
     "op10_decontaminate": op10_decontaminate,
+    "op11_neighbours": op11_neighbours,
+    "op12_middle": op12_middle,
+    "op13_negatives": op13_negatives,
 }

@@ -25,6 +25,9 @@ COLUMNS = {
     "op8_pseudonyms": ["doc_id", "text"],
     "op9_language": ["doc_id", "held_out", "lang_pred", "score"],
     "op10_decontaminate": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
+    "op11_neighbours": ["query_id", "rank", "vec_id", "score"],
+    "op12_middle": ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"],
+    "op13_negatives": ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"],
 }
 
 
