@@ -18,12 +18,14 @@ from all labelled rows. Tokens are the words between runs of white space.
 Defined results: a NULL, empty or blank text has 0 tokens, the domains' shares as posteriors, and a rate
 like any other. A domain without labelled rows has the smoothed share of none and no word evidence. A
 target of a domain that no document can belong to is left unmet. Targets are scaled to add up to the
-tokens of all documents. Labels that contradict each other for one id: the first domain that any
+tokens of all documents. Steps that end before the targets are met are told in ``missed`` and logged. Labels that contradict each other for one id: the first domain that any
 of its rows names (in order of name).
 """
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Callable
 from functools import reduce
 from math import log, sqrt
 
@@ -32,6 +34,8 @@ from pyspark.sql import functions as F
 
 from listenkpi.llm.common import bounded_sample, drop_table, write_table
 
+logger = logging.getLogger(__name__)
+
 BUCKETS = 8192
 PER_DOMAIN = 3000
 STRENGTH = 200.0
@@ -54,21 +58,23 @@ def _sum(columns: list[Column]) -> Column:
 
 
 #: Fixed value: white space as Unicode and Python's ``split`` have it.
-SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+SPACE = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def words_of(text: Column) -> Column:
     """The text's words in lower case: what stands between runs of white space."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), SPACE, -1), lambda w: w != "")
+    plain = F.translate(F.lower(F.coalesce(text, F.lit(""))), SPACE, " " * len(SPACE))
+    return F.filter(F.split(plain, " ", -1), lambda w: w != "")
 
 
 def _bucket(word: Column) -> Column:
     return F.pmod(F.hash(word), F.lit(BUCKETS))
 
 
-def _looked_up(words: Column, table: Column) -> Column:
-    """The sum of the words' entries in the table."""
-    return F.aggregate(words, F.lit(0.0), lambda total, w: total + F.get(table, _bucket(w)))
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is worked out once however often the body names it (Spark shares no common
+    parts of higher-order functions)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 class Classifier:
@@ -77,24 +83,32 @@ class Classifier:
     def __init__(self, names: list[str], priors: list[float], weights: list[list[float]]):
         self.names, self.priors, self.weights = names, priors, weights
 
-    def odds(self, text: Column) -> tuple[Column, Column]:
-        """The number of tokens, and the log odds of each domain against the last."""
-        words = words_of(text)
-        n = F.size(words)
-        odds = []
-        for prior, weights in zip(self.priors, self.weights, strict=True):
-            # one literal array, folded from a string: a column for each number would be a huge plan
-            table = F.split(F.lit(",".join(f"{w:.6g}" for w in weights)), ",").cast("array<double>")
-            odds.append(F.lit(prior) + _looked_up(words, table) * F.least(F.lit(1.0), F.lit(STRENGTH) / F.greatest(n, F.lit(1))))
-        odds.append(F.lit(0.0))
-        return n.cast("bigint"), F.array(*odds)
+    def posterior(self, text: Column) -> Column:
+        """``n_tokens``, and the struct ``p`` of the domains' posteriors. The text is split once, and one pass over
+        its words sums up the evidence for all domains."""
+        # one literal array a domain, folded from a string: a column for each number would be a huge plan
+        tables = [F.split(F.lit(",".join(f"{w:.6g}" for w in weights)), ",").cast("array<double>") for weights in self.weights]
+        sums = [f"s{k}" for k in range(len(tables))]
+        none = F.struct(F.lit(0).alias("n"), *[F.lit(0.0).alias(s) for s in sums])
+
+        def more(told: Column, b: Column) -> Column:
+            return F.struct((told["n"] + 1).alias("n"), *[(told[s] + F.get(t, b)).alias(s) for s, t in zip(sums, tables, strict=True)])
+
+        def odds(told: Column) -> Column:
+            weight = F.least(F.lit(1.0), F.lit(STRENGTH) / F.greatest(told["n"], F.lit(1)))
+            return F.array(*[F.lit(p) + told[s] * weight for p, s in zip(self.priors, sums, strict=True)], F.lit(0.0))
+
+        buckets = F.transform(words_of(text), _bucket)
+        return _bound(F.aggregate(buckets, none, more), lambda told: _bound(odds(told), lambda o: F.struct(
+            told["n"].cast("bigint").alias("n_tokens"), _softmax(o, self.names).alias("p"))))
 
 
 def _softmax(odds: Column, names: list[str]) -> Column:
-    top = F.array_max(odds)
-    each = [F.exp(F.get(odds, F.lit(k)) - top) for k in range(len(names))]
-    total = _sum(each)
-    return F.struct(*[(e / total).alias(name) for e, name in zip(each, names, strict=True)])
+    def shares(each: Column) -> Column:
+        total = _sum([F.get(each, F.lit(k)) for k in range(len(names))])
+        return F.struct(*[(F.get(each, F.lit(k)) / total).alias(name) for k, name in enumerate(names)])
+
+    return _bound(F.array_max(odds), lambda top: _bound(F.transform(odds, lambda x: F.exp(x - top)), shares))
 
 
 def fit(docs: DataFrame, labelled: DataFrame, names: list[str]) -> Classifier:
@@ -140,7 +154,13 @@ def _begin() -> Column:
 
 def solve(mass: DataFrame, names: list[str], targets: dict[str, float], steps: int = STEPS) -> tuple[list[list[float]], dict[str, float]]:
     """The steps of accelerated projected gradient, from ``n_tokens`` and a struct ``p`` of posteriors; and the
-    totals reached. Totals are linear in the rates, so those at the point ahead follow from the last two."""
+    totals reached."""
+    return _solve(mass, names, targets, steps)[:2]
+
+
+def _solve(mass: DataFrame, names: list[str], targets: dict[str, float], steps: int) -> tuple[list[list[float]], dict[str, float], float]:
+    """Also the largest difference left between a domain's total and its target, as a share of the domain's
+    tokens at rate 1 (up to ``CLOSE``: met). Totals are linear in the rates, so those at the point ahead follow from the last two."""
     spark = mass.sparkSession
     p = [F.col(f"p.{x}") for x in names]
     base = mass.agg(F.sum("n_tokens").alias("n"), *[F.sum(F.col("n_tokens") * c).alias(f"m{k}") for k, c in enumerate(p)]).first()
@@ -168,7 +188,7 @@ def solve(mass: DataFrame, names: list[str], targets: dict[str, float], steps: i
         got, before = [float(sums[f"m{k}"] or 0) for k in range(len(names))], got
     if held:
         drop_table(spark, held)
-    return taken, dict(zip(names, got, strict=True))
+    return taken, dict(zip(names, got, strict=True)), max(map(abs, pull(got)), default=0.0)
 
 
 def rate_of(p: Column, names: list[str], steps: list[list[float]]) -> Column:
@@ -184,17 +204,17 @@ def copies_of(rate: Column, id_col: Column) -> Column:
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], into: str, keep: list[str] | None = None) -> DataFrame:
     """``docs`` (``doc_id``, ``text``; of its columns those in ``keep``, or all) with a struct column ``into``:
-    ``n_tokens``, the struct ``p`` of posteriors, ``rate`` and ``copies``. The documents with their posteriors
-    are written once; each step then reads two small columns of that table."""
+    ``n_tokens``, the struct ``p`` of posteriors, ``rate``, ``copies``, and ``missed``, the same in each row: how far
+    the totals end from the targets (see ``_solve``). The documents with their posteriors are written once; each
+    step then reads two small columns of that table."""
     names = sorted(targets)
-    n, odds = fit(docs, labelled, names).odds(F.col("text").cast("string"))
+    text = F.col("text").cast("string")
     cols = docs.columns if keep is None else keep
-    rows = docs.select(*cols, F.struct(n.alias("n_tokens"), odds.alias("odds")).alias(into))
-    rows = rows.withColumn(into, F.struct(F.col(f"{into}.n_tokens").alias("n_tokens"), _softmax(F.col(f"{into}.odds"), names).alias("p")))
-    rows, _ = write_table(rows, "posteriors")
-    steps, _ = solve(rows.select(f"{into}.n_tokens", f"{into}.p"), names, targets)
-    p = F.col(f"{into}.p")
-    rate = rate_of(p, names, steps)
-    own = F.struct(F.col(f"{into}.n_tokens").alias("n_tokens"), p.alias("p"), rate.alias("rate"),
-                   copies_of(rate, F.col("doc_id").cast("bigint")).alias("copies"))
-    return rows.withColumn(into, own)
+    rows, _ = write_table(docs.select(*cols, fit(docs, labelled, names).posterior(text).alias(into)), "posteriors")
+    steps, _, missed = _solve(rows.select(f"{into}.n_tokens", f"{into}.p"), names, targets, STEPS)
+    if missed > CLOSE:
+        logger.warning("the domain totals miss their targets by up to %.3g of the domain's tokens", missed)
+    told = lambda rate: F.struct(
+        F.col(f"{into}.n_tokens").alias("n_tokens"), F.col(f"{into}.p").alias("p"), rate.alias("rate"),
+        copies_of(rate, F.col("doc_id").cast("bigint")).alias("copies"), F.lit(missed).alias("missed"))
+    return rows.withColumn(into, _bound(rate_of(F.col(f"{into}.p"), names, steps), told))

@@ -95,7 +95,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     session(spark)
     labelled = M.domain_of_labels(read(spark, sf_dir, "labels"))
     found = M.mix(id_text(read(spark, sf_dir, "documents")), labelled, M.TARGETS, "mix", keep=["doc_id"])
-    return found.select("doc_id", "mix.n_tokens", *[F.col(f"mix.p.{x}").alias(f"p_{x}") for x in sorted(M.TARGETS)], "mix.rate", "mix.copies")
+    return found.select("doc_id", "mix.n_tokens", *[F.col(f"mix.p.{x}").alias(f"p_{x}") for x in sorted(M.TARGETS)], "mix.rate", "mix.copies", "mix.missed")
 
 
 def op8_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -77,3 +77,23 @@ def test_words_end_at_any_white_space(spark):
     got = {r["i"]: r["w"] for r in rows.select("i", M.words_of(rows["text"]).alias("w")).collect()}
     assert got == {i: (t or "").split() for i, t in enumerate(texts)}
     assert inspect.python_nodes(rows.select(M.words_of(rows["text"]))) == []
+
+
+def test_a_text_is_split_once(spark):
+    docs = spark.createDataFrame([(1, "some words here")], "doc_id bigint, text string")
+    model = M.Classifier(NAMES, [0.1, 0.2], [[0.5] * M.BUCKETS, [-0.5] * M.BUCKETS])
+    got = docs.select(model.posterior(docs["text"]).alias("m"))
+    plan = inspect.plan_text(got.select("m.n_tokens", "m.p"), "simple")
+    assert plan.count("split(translate(") == 1
+    r = got.first()["m"]
+    odds = np.array([0.1 + 1.5, 0.2 - 1.5, 0.0])
+    assert r["n_tokens"] == 3 and np.allclose(r["p"], np.exp(odds) / np.exp(odds).sum())
+
+
+def test_missed_targets_are_told(spark):
+    """No document may be harsh at all, so that target can't be met."""
+    docs = spark.createDataFrame([(i, "same words") for i in range(50)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id bigint, quality int, toxic int")
+    far = M.mix(docs, M.domain_of_labels(labels), {"good": 0.1, "harsh": 0.8, "poor": 0.1}, "m").first()["m"]["missed"]
+    near = M.mix(docs, M.domain_of_labels(labels), {"good": 41 / 43, "harsh": 1 / 43, "poor": 1 / 43}, "m").first()["m"]["missed"]
+    assert far > 0.01 and near <= M.CLOSE
