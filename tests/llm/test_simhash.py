@@ -67,3 +67,42 @@ def test_groups_nulls_and_repeats(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert S.near_duplicates(docs).count() == 0 and S.keep_one(docs).count() == 0
+
+
+def test_one_id_with_different_texts_loses_none(spark):
+    a, b, c = "the first text has words of its own", "nothing in common with that other one at all", "a third body which is unlike both"
+    rows = [(3, a), (5, a), (5, b), (7, c), (7, b.upper()), (7, c), (9, None), (9, "")]
+    kept = S.keep_one(spark.createDataFrame([(*r, "x", 0) for r in rows], "doc_id bigint, text string, gone_id string, digest int"))
+    assert kept.columns == ["doc_id", "text", "gone_id", "digest"]
+    assert sorted((r["doc_id"], r["text"] or "") for r in kept.collect()) == [(3, a), (5, b), (7, c), (9, "")]
+
+
+def test_meetings_do_not_grow_with_the_square(spark):
+    """Random fingerprints: four times as many meet about as many others each."""
+    each = {}
+    for n in (20_000, 80_000):
+        fps = np.unique(np.random.default_rng(n).integers(-2**63, 2**63 - 1, n))
+        df = spark.createDataFrame(list(zip(fps.tolist())), "fp bigint")
+        assert len(S.plant(df, 2)) == 2
+        each[n] = S.meetings(df).count() / n
+    assert each[20_000] <= 2 * S.MEETS and each[80_000] <= 2 * S.MEETS
+
+
+def test_trees_are_trees():
+    """A child's vantage point depends on the ring above it, and paths of equal segments agree below a shared ring."""
+    sample = np.random.default_rng(0).integers(0, 2**63, 4096).astype(np.uint64)
+    tree = S.Tree(0, 32, sample, 50_000)
+    assert any(len(set(p.tolist())) > 1 for p in tree.points[1:])
+    near = sample ^ np.uint64(1 << 9)
+
+    def asks(fps, others):
+        """For each fingerprint whether one of its asked shards is the other's."""
+        theirs = tree.shards(tree.rings(others))
+        found = tree.shards(tree.rings(fps)) == theirs
+        for inner, shards in tree.asked(fps):
+            found[inner] |= shards == theirs[inner]
+        return found
+
+    assert (asks(sample, near) | asks(near, sample)).all()
+    deep = S.Tree(0, 32, sample, 10**9)
+    assert len(deep.levels) > len(tree.levels) and sum(w for _, w in deep.levels) == 32
