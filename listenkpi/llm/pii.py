@@ -9,10 +9,11 @@ Each value is numbered within the domain of its format, permuted there by a keye
 written back in the same format: separators, sign and length classes stay, check digits are computed
 anew, a date stays a date. The permutation depends on the kind and the value alone, so equal values get
 equal pseudonyms in every document, also across separators and, for dates, across notations; different
-values of a kind get different ones. Only where numbers stand so close that the pseudonym would be read
-together with its neighbour, the value is permuted with a key derived from ``key``. ``restore`` with the same key undoes it exactly. Numbers that can't
-be such a value in the result (no Luhn digit, unissued ranges) are stepped over by walking the
-permutation's cycle.
+values of a kind get different ones, whatever stands beside them. Numbers that can't be such a value in the
+result (no Luhn digit, unissued ranges) are stepped over by walking the permutation's cycle. The permutation of a
+value is undone exactly by ``restore`` with the same key. A text is undone exactly where its pseudonyms are
+read again as they were written; where further groups of digits stand beside a number with only spaces or signs between, a
+pseudonym may come to look valid together with a neighbour, and that place isn't undone (the README has the rate).
 
 The key is a secret of the caller (``key``); the default is for tests only. Defined results: NULL text
 stays NULL, empty text empty. Nothing is shuffled, whole texts are scanned once, each on its own.
@@ -35,7 +36,6 @@ from pyspark.sql import types as T
 
 KEY = b"replace this key outside tests"
 ROUNDS = 8
-TURNS = 32
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
 KINDS = ["card", "phone", "ip", "ssn", "iban", "date", "email"]
 RESULT = T.StructType([T.StructField("text", T.StringType()), *[T.StructField(f"n_{k}", T.LongType()) for k in KINDS]])
@@ -97,14 +97,13 @@ def _american(x: int) -> bool:
 def _phone(value: str, key: bytes, back: bool) -> str | None:
     d = _digits(value)
     if (len(d) == 11 and d[0] == "1") or (len(d) == 10 and not value.startswith("+")):
-        # +1 tells a telephone number also where the plan has no such area or exchange; the tests have 1dd as not valid
-        free = value.startswith("+") and d[-10] != "1"
-        if not free and not _american(int(d[-10:])):
+        # +1 tells a telephone number also where the plan has no such area or exchange
+        if not value.startswith("+") and not _american(int(d[-10:])):
             return None
         # the exchange stays (555 is kept out of use); the area code and the line are permuted
         exchange = int(d[-7:-4])
-        if d[-10] == "0":
-            x = feistel(int(d[-9:-7] + d[-4:]), 10**6, key, f"phone0 {exchange}", back)
+        if d[-10] in "01":  # an area outside the plan stays outside, with its first digit
+            x = feistel(int(d[-9:-7] + d[-4:]), 10**6, key, f"phone{d[-10]} {exchange}", back)
             return _refill(value, d[:-9] + f"{x // 10**4:02d}{exchange:03d}{x % 10**4:04d}")
         x = feistel(int(d[-10:-7] + d[-4:]), 10**7, key, f"phone{exchange}", back, lambda v: v // 10**6 >= 2)
         area, line = divmod(x, 10**4)
@@ -295,15 +294,11 @@ def _crossing(part: str, phone: re.Match) -> list[tuple[int, re.Match, str]]:
     return [(start, m, kind) for start in starts for kind in _EACH if (m := _EACH[kind].match(part, start)) and m.end() > phone.end()]
 
 
-def _scan(text: str, key: bytes, back: bool, turn: int) -> tuple[str, Counter, bool]:
-    """The text with every validated value replaced, how many of each kind, and whether a shape failed. Values
-    in shapes that failed are permuted with the key of the turn."""
+def rewrite(text: str, key: bytes = KEY, back: bool = False) -> tuple[str, Counter]:
+    """The text with every validated value replaced, and how many of each kind."""
     counts: Counter = Counter()
-    late = key if turn == 0 else hashlib.blake2b(f"turn {turn}".encode(), key=key, digest_size=32).digest()
-    failed = False
 
     def shapes(part: str) -> str:
-        nonlocal failed
         out, at, m = [], 0, _SHAPES.search(part)
         while m:
             kind = m.lastgroup if m.lastgroup in _BY else next(k for k in _BY if m[k])
@@ -311,15 +306,14 @@ def _scan(text: str, key: bytes, back: bool, turn: int) -> tuple[str, Counter, b
             if new is not None:
                 values, on = [(*m.span(), kind, new)], m.end()
                 for start, other, beside in _crossing(part, m) if kind == "phone" else []:
-                    failed = True  # the number has taken groups of what may be another value
+                    # the number has taken groups of what may be another value
                     shorter = _EACH["phone"].match(part, m.start(), start)
-                    cut = shorter and _replacement("phone", shorter[0], late, back)
-                    if cut and _replacement(beside, other[0], late, back):
+                    cut = shorter and _replacement("phone", shorter[0], key, back)
+                    if cut and _replacement(beside, other[0], key, back):
                         values, on = [(*shorter.span(), "phone", cut)], shorter.end()
                         break
             else:
-                values, on = _within(part, m, lambda kind, value: _replacement(kind, value, late, back))
-                failed = True
+                values, on = _within(part, m, lambda kind, value: _replacement(kind, value, key, back))
             for start, end, kind, new in values:
                 out += [part[at:start], new]
                 at = end
@@ -336,33 +330,8 @@ def _scan(text: str, key: bytes, back: bool, turn: int) -> tuple[str, Counter, b
             counts["email"] += new is not None
             out.append(m[0] if new is None else new)
             last = m.end()
-        return "".join([*out, shapes(text[last:])]), +counts, failed
-    return (*((shapes(text), counts) if _HINT.search(text) else (text, counts)), failed)
-
-
-def _restored(text: str, key: bytes) -> tuple[str, Counter]:
-    """What the first turn that gives ``text`` gives it for."""
-    first = None
-    for turn in range(TURNS):
-        old, counts, failed = _scan(text, key, True, turn)
-        if not failed or _scan(old, key, False, turn)[0] == text:
-            return old, counts
-        first = first or (old, counts)
-    return first
-
-
-def rewrite(text: str, key: bytes = KEY, back: bool = False) -> tuple[str, Counter]:
-    """The text with every validated value replaced, and how many of each kind."""
-    if back:
-        return _restored(text, key)
-    first = None
-    for turn in range(TURNS):
-        new, counts, failed = _scan(text, key, False, turn)
-        # a number beside a pseudonym may come to look valid with it: then the next turn's pseudonym
-        if not failed or _restored(new, key)[0] == text:
-            return new, counts
-        first = first or (new, counts)
-    return first
+        return "".join([*out, shapes(text[last:])]), +counts
+    return (shapes(text), counts) if _HINT.search(text) else (text, counts)
 
 
 def rewriter(key: bytes, back: bool = False):
@@ -385,7 +354,8 @@ def pseudonymise(docs: DataFrame, into: str, key: bytes = KEY, text_col: str = "
 
 
 def restore(docs: DataFrame, into: str, key: bytes = KEY, text_col: str = "text") -> DataFrame:
-    """The inverse: ``into.text`` is the text that ``pseudonymise`` with the same key was given."""
+    """The inverse: ``into.text`` is the text that ``pseudonymise`` with the same key was given, wherever its
+    pseudonyms are read as they were written (see above)."""
     return docs.withColumn(into, rewriter(key, back=True)(F.col(text_col).cast("string")))
 
 
