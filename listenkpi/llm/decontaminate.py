@@ -101,6 +101,13 @@ def _spans(text: str, hit: np.ndarray) -> tuple[list[int], list[int]]:
     return starts, ends
 
 
+@F.pandas_udf(T.StructType([T.StructField("starts", _INTS), T.StructField("ends", _INTS)]))
+def spans_of(texts: pd.Series, words: pd.Series) -> pd.DataFrame:
+    """The character offsets of the runs of hit ``words`` of each text."""
+    found = [_spans(t or "", np.asarray(w)) if w is not None and len(w) else ([], []) for t, w in zip(texts, words, strict=True)]
+    return pd.DataFrame(found, columns=["starts", "ends"])
+
+
 def _scan(text: str | None, found, spans: bool) -> tuple:
     norm = normalise(text)
     matches = list(found.iter(norm)) if norm and len(found) else ()
@@ -146,27 +153,32 @@ def blocks_of(items: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_C
 def with_hits(docs: DataFrame, items: DataFrame, into: str, window: int = WINDOW, text_col: str = "text",
               spans: bool = True, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` with a struct column ``into``: ``n_words``, ``n_hit``, ``items``, the character spans
-    ``starts``/``ends`` of the hit runs (with several blocks: the runs of each) and the numbers of the
-    hit ``words``. With one block the texts aren't shuffled. With several, each block is a scan of its
-    own, and its hits, which depend on the text alone, come back by the text's digest."""
+    ``starts``/``ends`` of the runs of hit words and the numbers of the hit ``words``. With one block the
+    texts aren't shuffled. With several, each block is a scan of its own, and its hits, which depend on the
+    text alone, come back by the text's digest; the runs are those of all blocks' hits together."""
     blocks = blocks_of(items, window, block_chars)
     text = F.col(text_col).cast("string")
     if len(blocks) == 1:
         return docs.withColumn(into, scanner(blocks[0], spans)(text))
-    key, n_words = f"{into}__key", F.regexp_count(text, F.lit(WORD_ANY_CASE))
+    key = "text_key"
+    while any(c.startswith(key) for c in [into, *docs.columns]):
+        key += "_"
+    told, runs = f"{key}_hits", f"{key}_runs"
     digest = F.sha2(F.coalesce(text, F.lit("")), 256)
-    parts = [docs.select(digest.alias(key), scanner(b, spans)(text).alias("h")).where("h.n_hit > 0") for b in blocks]
+    parts = [docs.select(digest.alias(key), scanner(b, False)(text).alias("h")).where("h.n_hit > 0") for b in blocks]
     found = parts[0]
     for p in parts[1:]:
         found = found.unionByName(p)
     flat = lambda f: F.array_sort(F.array_distinct(F.flatten(F.collect_set(f"h.{f}")))).alias(f)
-    found = found.groupBy(key).agg(*[flat(f) for f in ("items", "starts", "ends", "words")])
-    none = lambda f, kind: F.coalesce(f, F.array().cast(f"array<{kind}>")).alias(f)
-    hits = F.struct(F.coalesce(n_words, F.lit(0)).cast("bigint").alias("n_words"),
-                    F.size(none("words", "int")).cast("bigint").alias("n_hit"), none("items", "bigint"),
-                    none("starts", "int"), none("ends", "int"), none("words", "int"))
-    own = docs.columns
-    return docs.withColumn(key, digest).join(found, key, "left").select(*own, hits.alias(into))
+    found = found.groupBy(key).agg(F.struct(flat("items"), flat("words")).alias(told))
+    of = lambda c, kind: F.coalesce(F.col(c), F.array().cast(f"array<{kind}>"))
+    words = of(f"{told}.words", "int")
+    joined = docs.withColumn(key, digest).join(found, key, "left")
+    joined = joined.withColumn(runs, spans_of(text, words) if spans else F.lit(None).cast("struct<starts:array<int>,ends:array<int>>"))
+    hits = F.struct(F.coalesce(F.regexp_count(text, F.lit(WORD_ANY_CASE)), F.lit(0)).cast("bigint").alias("n_words"),
+                    F.size(words).cast("bigint").alias("n_hit"), of(f"{told}.items", "bigint").alias("items"),
+                    of(f"{runs}.starts", "int").alias("starts"), of(f"{runs}.ends", "int").alias("ends"), words.alias("words"))
+    return joined.select(*[c for c in docs.columns if c != into], hits.alias(into))
 
 
 def is_contaminated(hits: str) -> Column:

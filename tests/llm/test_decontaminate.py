@@ -53,6 +53,18 @@ def test_spans_are_offsets_of_the_original(spark):
     assert [text[a:b] for a, b in zip(hits["starts"], hits["ends"], strict=True)] == ["  ".join(WORDS[:13]).upper()]
 
 
+def test_spans_are_the_same_in_one_block_or_many(spark, tables):
+    docs, items = tables
+    docs = docs.withColumn("text_key", docs["doc_id"]).withColumn("hits__key", docs["text"])
+    whole, cut = (sorted((str(r) for r in D.with_hits(docs, items, "hits", block_chars=n).collect())) for n in (D.BLOCK_CHARS, 100))
+    assert whole == cut
+    three = spark.createDataFrame([(1, "a b c"), (2, "c d e f g"), (3, "x y z")], "item_id bigint, text string")
+    one = spark.createDataFrame([(1, "a b, c d. e f g and then x  y z")], "doc_id bigint, text string")
+    for n in (D.BLOCK_CHARS, 5):
+        hits = D.with_hits(one, three, "hits", window=3, block_chars=n).first()["hits"]
+        assert (hits["starts"], hits["ends"]) == ([0, 25], [15, 31])
+
+
 def test_rule_and_columns_kept(spark, tables):
     docs, items = tables
     docs = docs.withColumnRenamed("doc_id", "hits").selectExpr("hits as doc_id", "text", "'x' as hits", "1 as n_words")
