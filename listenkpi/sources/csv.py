@@ -3,33 +3,33 @@
 The input of the job is a folder (or several) of CSV files with a header row. Files may list their
 columns in different orders, and some may lack a column. A single ``spark.read.csv`` over such a
 folder maps fields by position using one header, silently swapping values between columns. So the
-read goes in three distributed steps:
+read goes in two distributed steps, both through Spark's own file system (its credentials, its listing):
 
-1. list the ``.csv`` files (``binaryFile`` source: a distributed listing, file contents are not read);
-2. read each file's header on the executors (``mapInPandas`` over the file list): lines are streamed through
-   ``pyarrow.fs`` until the first record that isn't blank has ended, however long it is. The function
-   travels by value, so executors need no copy of this package; they need the store's credentials in
-   their environment, as ``pyarrow.fs`` does not see those set for Spark;
-3. one CSV scan per distinct header (few), each with its header's column order, then
-   ``unionByName(allowMissingColumns=True)``: a column absent from a file is NULL for its rows.
+1. the headers: one text scan of the folders keeps, for each file, the first line of its first block
+   that isn't blank (``path, header``, a partial aggregate in each task);
+2. the rows. Files of one header are one CSV scan, with the columns that header names, and each file opened
+   is checked against it (``enforceSchema`` off), so a file that arrives in between under another header
+   fails the read instead of swapping values. Files of several headers are one CSV scan too, by position:
+   its rows meet their file's header by ``_metadata.file_path``, and each column is picked at the place
+   that header gives it. A column absent from a file is NULL for its rows; a file without a known header
+   fails the read.
 
-Headers are grouped on the executors, so a folder whose files share one header gives the driver one row,
-and the folder itself is read. Only a folder of several headers gives one row for each file. Every scan
-checks the header of each file it opens against the columns it was given (``enforceSchema`` off), so a
-file that arrives in between under another header fails the read instead of swapping values.
+The driver sees the distinct headers, never the files: the table of files and headers is joined like any
+other (Spark broadcasts it if it is small). Where a step takes single files (a micro-batch), it scans the
+folders they lie in, whose names come to the driver, and keeps the rows of those files.
 
 All fields are read as text (no ``inferSchema`` pass); typed columns are derived afterwards. Text
 cells equal to a pandas missing-value token become NULL when ``na_tokens`` is on (the reference's
 combine step round-trips every file through pandas, which does exactly that). As pandas does, blank lines
-are skipped, a file without a header is an error, and a repeated column name gets a number. (Spark's
-file sources pass over files of zero bytes, so those are no error here.)
+are skipped, a file without a header is an error, and a repeated column name gets a number. A header is one
+line. (Spark's file sources pass over files of zero bytes, so those are no error here.)
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,6 +52,11 @@ def normalize_path(path: str) -> str:
     return path.rstrip("/") or "/"
 
 
+def file_path() -> Column:
+    """The row's file, as the file sources' ``path`` column names it (``_metadata`` has it percent-encoded)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def list_files(spark: SparkSession, paths: str | Sequence[str], suffix: str = ".csv") -> DataFrame:
     """``path, length`` of every file under ``paths`` (recursively) whose name ends in ``suffix``."""
     paths = [paths] if isinstance(paths, str) else list(paths)
@@ -64,61 +69,58 @@ def list_files(spark: SparkSession, paths: str | Sequence[str], suffix: str = ".
     )
 
 
-def _probe():
-    """The function that reads headers in the tasks. Made here so that it is sent by value: it refers to
-    nothing of this package."""
+def _names(line: Column) -> Column:
+    """The cells of a header line; repeated names are numbered as pandas does."""
+    plain = F.split(line, ",", -1)
+    quoted = F.transform(
+        F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]|"")*+"[^,]*|[^,]*)'), F.lit(1)),
+        lambda c: F.when(c.startswith('"'), F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(c),
+    )
+    names = F.when(line.contains('"'), quoted).otherwise(plain)
+    seen = lambda x, i: F.size(F.filter(F.slice(names, 1, i), lambda y: y == x))
+    numbered = F.transform(names, lambda x, i: F.when(seen(x, i) > 0, F.concat(x, F.lit("."), seen(x, i).cast("string"))).otherwise(x))
+    return F.when(F.size(F.array_distinct(names)) < F.size(names), numbered).otherwise(names)
 
-    def header_of(path: str) -> list[str]:
-        import csv
-        import io
-        from urllib.parse import unquote, urlparse
 
-        from pyarrow import fs
+def _headers(spark: SparkSession, paths: Sequence[str], deep: bool) -> DataFrame:
+    lines = (
+        spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", str(deep).lower()).text(list(paths))
+        .where("_metadata.file_block_start = 0")
+        .select(file_path().alias("path"), F.regexp_replace("value", "^\ufeff", "").alias("line"), F.monotonically_increasing_id().alias("at"))
+    )
+    blank = F.col("line").rlike(r'^\s*(?:"")?\s*$')
+    first = lines.groupBy("path").agg(F.min_by("line", F.when(~blank, F.col("at"))).alias("line"))
+    return first.select("path", F.coalesce(_names(F.col("line")), F.array().cast("array<string>")).alias("header"))
 
-        parsed = urlparse(path)
-        if parsed.scheme in ("", "file"):
-            store, inner = fs.LocalFileSystem(), unquote(parsed.path) if parsed.scheme else path
-        else:
-            store, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1))
-        with store.open_input_stream(inner, buffer_size=1 << 16) as f, io.TextIOWrapper(f, "utf-8-sig", errors="replace", newline="") as text:
-            csv.field_size_limit((1 << 31) - 1)
-            for row in csv.reader(text):
-                if any(cell.strip() for cell in row) or len(row) > 1:
-                    seen: dict[str, int] = {}
-                    names = []
-                    for cell in row:
-                        n = seen[cell] = seen.get(cell, -1) + 1
-                        names.append(f"{cell}.{n}" if n else cell)
-                    return names
-        return []
 
-    def run(batches):
-        import pandas as pd
+def folder_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``path, header`` of each ``.csv`` file under ``paths`` (recursively): its column names; an empty list for a
+    file of blank lines only."""
+    return _headers(spark, [normalize_path(p) for p in ([paths] if isinstance(paths, str) else paths)], True)
 
-        for pdf in batches:
-            yield pd.DataFrame({"path": pdf["path"], "header": [header_of(p) for p in pdf["path"]]})
 
-    return run
+def _folders(files: DataFrame) -> list[str]:
+    """The folders of ``files`` (``path``)."""
+    return sorted(r["folder"] for r in files.select(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).distinct().collect())
 
 
 def file_headers(files: DataFrame) -> DataFrame:
-    """``path, header`` for each row of ``files`` (``path``): the column names of each file, read on the
-    executors; an empty list for a file without any record. Repeated names are numbered as pandas does."""
-    return files.select("path").mapInPandas(_probe(), HEADER_SCHEMA)
-
+    """``path, header`` for each row of ``files`` (``path``), found by a scan of their folders."""
+    folders = _folders(files)
+    spark = files.sparkSession
+    if not folders:
+        return spark.createDataFrame([], HEADER_SCHEMA)
+    return _headers(spark, folders, False).join(files.select("path").distinct(), "path", "left_semi")
 
-def folder_headers(spark: SparkSession, paths: str | Sequence[str], suffix: str = ".csv") -> DataFrame:
-    return file_headers(list_files(spark, paths, suffix))
 
-
-def _read_group(spark: SparkSession, header: Sequence[str], files: list[str], multi_line: bool = False) -> DataFrame:
-    """One CSV scan of files (or folders) whose ``.csv`` files all have ``header``."""
+def _read_group(spark: SparkSession, header: Sequence[str], files: list[str], multi_line: bool = False, check: bool = True) -> DataFrame:
+    """One CSV scan of files (or folders) whose ``.csv`` files all have ``header``; with ``check`` each is held to it."""
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
     numbered = any("." in c and c.rpartition(".")[0] in header for c in header)  # their files hold the bare name
     reader = (
         spark.read.schema(schema)
         .option("header", True)
-        .option("enforceSchema", numbered)
+        .option("enforceSchema", numbered or not check)
         .option("mode", "PERMISSIVE")
         .option("quote", '"')
         .option("escape", '"')
@@ -139,25 +141,47 @@ def _grouped(headers: DataFrame) -> dict[tuple[str, ...], int]:
     return {tuple(r["header"]): r["n"] for r in rows}
 
 
+def _by_position(spark: SparkSession, headers: DataFrame, known: Sequence[Sequence[str]], scanned: Sequence[str], deep: bool,
+                 multi_line: bool = False, only: bool = False, keep: bool = False) -> DataFrame:
+    """One CSV scan of the folders ``scanned``, whose files have the headers that ``headers`` (``path, header``) tells, all of
+    them in ``known``. ``only``: files that ``headers`` doesn't name are left out; otherwise they are an error."""
+    names = list(dict.fromkeys(c for header in sorted(known) for c in header))
+    width = max(map(len, known))
+    cells = [f"_{i}" for i in range(width)]
+    reader = (
+        spark.read.schema(T.StructType([T.StructField(c, T.StringType(), True) for c in cells]))
+        .option("header", True)  # each file's first line goes, whatever its names (enforceSchema)
+        .option("enforceSchema", True)
+        .option("mode", "PERMISSIVE")
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multi_line)
+        .option("pathGlobFilter", "*.csv")
+        .option("recursiveFileLookup", str(deep).lower())
+    )
+    rows = reader.csv(list(scanned)).select(F.array(*cells).alias("_cells"), file_path().alias("_path"))
+    # where each column stands under a header: worked out once for each file, not for each row
+    wanted = F.array(*[F.lit(c) for c in names])
+    places = F.transform(wanted, lambda c: (F.array_position(F.col("header"), c) - 1).cast("int"))
+    told = headers.where(F.size("header") > 0).select(F.col("path").alias("_path"), places.alias("_places"), *([F.col("header").alias("_header")] if keep else []))
+    rows = rows.join(told, "_path", "inner" if only else "left")
+    if not only:
+        unknown = F.raise_error(F.concat(F.lit("no header was read for "), F.col("_path"))).cast("array<int>")
+        rows = rows.withColumn("_places", F.coalesce("_places", unknown))
+    place = lambda k: F.get("_places", F.lit(k))
+    picked = [F.when(place(k) >= 0, F.get("_cells", place(k))).alias(c) for k, c in enumerate(names)]
+    return rows.select(*picked, *(["_path", "_header"] if keep else []))
+
+
 def read_files_by_header(spark: SparkSession, headers: DataFrame, multi_line: bool = False, na_tokens: bool = True,
                          keep: bool = False) -> DataFrame | None:
-    """Union by column name of the files of ``headers`` (``path, header``), one scan for each header; None
-    without any file. The driver sees one row for each file. ``keep`` adds each row's ``_path`` and
-    ``_header``."""
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for row in headers.collect():
-        groups.setdefault(tuple(row["header"]), []).append(row["path"])
-    if not groups:
+    """Union by column name of the files of ``headers`` (``path, header``), by one scan of their folders; None
+    without any file. The driver sees the folders and the distinct headers. ``keep`` adds each row's ``_path``
+    and ``_header``."""
+    known = [r["header"] for r in headers.where(F.size("header") > 0).select("header").distinct().collect()]
+    if not known:
         return None
-    parts = []
-    for header, files in sorted(groups.items()):
-        part = _read_group(spark, header, files, multi_line)
-        if keep:
-            part = part.select("*", F.col("_metadata.file_path").alias("_path"), F.array(*[F.lit(c) for c in header]).alias("_header"))
-        parts.append(part)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
+    out = _by_position(spark, headers, known, _folders(headers), False, multi_line, only=True, keep=keep)
     return replace_na_tokens(out) if na_tokens else out
 
 
@@ -183,7 +207,8 @@ def read_csv_folder(spark: SparkSession, paths: str | Sequence[str], multi_line:
             raise ValueError(f"No files found in {paths}")
         raise ValueError(f"No .csv files in {paths}")
     if len(groups) > 1:
-        return read_files_by_header(spark, headers, multi_line, na_tokens)
+        out = _by_position(spark, headers, list(groups), [normalize_path(p) for p in paths], True, multi_line)
+        return replace_na_tokens(out) if na_tokens else out
     ((header, _),) = groups.items()  # the common case: Spark lists the folders itself, in parallel
     out = _read_group(spark, header, [normalize_path(p) for p in paths], multi_line)
     return replace_na_tokens(out) if na_tokens else out
@@ -233,43 +258,23 @@ def missing_columns_by_file(headers: DataFrame, required: Sequence[str]) -> Data
 
 def missing_columns_report(spark: SparkSession, paths: str | Sequence[str], table: str) -> DataFrame:
     """``table, column, present, files_missing, rows_missing`` for every required column of ``table``:
-    whether the combined table has it, and how many files and rows lack it. Rows are counted with
-    one scan per lacking header group that reads no column."""
+    whether the combined table has it, and how many files and rows lack it. Rows are counted by one scan that
+    reads no column; their counts meet the lacking files by path."""
     required = REQUIRED[table]
+    paths = [paths] if isinstance(paths, str) else list(paths)
     headers = folder_headers(spark, paths)
     groups = _grouped(headers)
     if not groups:
         raise ValueError(f"No .csv files in {paths}")
     present = set().union(*[set(h) for h in groups])
-    lists: dict[tuple[str, ...], list[str]] = {}
-    for r in headers.where(F.size(F.array_except(F.array(*[F.lit(c) for c in required]), F.col("header"))) > 0).collect():
-        lists.setdefault(tuple(r["header"]), []).append(r["path"])
-    counts = []
-    for header, files in sorted(lists.items()):
-        lacking = [c for c in required if c not in header]
-        rows = _read_group(spark, header, files, table == "songs").agg(F.count(F.lit(1)).alias("rows_missing"))
-        counts.append(rows.select(
-            F.explode(F.array(*[F.lit(c) for c in lacking])).alias("column"),
-            F.lit(len(files)).cast("bigint").alias("files_missing"),
-            "rows_missing",
-        ))
-    cols = spark.createDataFrame([(table, c, c in present) for c in required],
-                                 "table string, column string, present boolean")
-    if not counts:
-        return cols.select("table", "column", "present", F.lit(0).cast("bigint").alias("files_missing"),
-                           F.lit(0).cast("bigint").alias("rows_missing"))
-    allc = counts[0]
-    for c in counts[1:]:
-        allc = allc.unionByName(c)
-    allc = allc.groupBy("column").agg(F.sum("files_missing").alias("files_missing"),
-                                      F.sum("rows_missing").alias("rows_missing"))
-    return cols.join(allc, "column", "left").select(
-        "table",
-        "column",
-        "present",
-        F.coalesce("files_missing", F.lit(0)).cast("bigint").alias("files_missing"),
-        F.coalesce("rows_missing", F.lit(0)).cast("bigint").alias("rows_missing"),
-    )
+    lacking = missing_columns_by_file(headers, required)
+    rows = _read_group(spark, required, [normalize_path(p) for p in paths], table == "songs", check=False)
+    rows = rows.select(file_path().alias("path")).groupBy("path").agg(F.count(F.lit(1)).alias("rows"))
+    counts = lacking.join(rows, "path", "left").select(F.explode("missing").alias("column"), "rows").groupBy("column").agg(
+        F.count(F.lit(1)).alias("files_missing"), F.sum("rows").alias("rows_missing"))
+    cols = spark.createDataFrame([(table, c, c in present) for c in required], "table string, column string, present boolean")
+    none = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+    return cols.join(counts, "column", "left").select("table", "column", "present", none("files_missing"), none("rows_missing"))
 
 
 def load_inputs(spark: SparkSession, root: str, na_tokens: bool = True) -> dict[str, DataFrame]:

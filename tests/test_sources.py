@@ -5,6 +5,7 @@ import os
 
 import pytest
 from conftest import SF0001, rows
+from pyspark.sql import functions as F
 
 from listenkpi import clean_songs, daily_kpis
 from listenkpi.functions.columns import to_long
@@ -269,17 +270,50 @@ def test_a_file_under_another_header_fails_instead_of_swapping(spark, tmp_path,
         C.read_plays(spark, d).collect()
 
 
-def test_header_function_needs_no_package_on_executors():
-    import subprocess
-    import sys
-
-    from pyspark import cloudpickle
-
-    told = cloudpickle.dumps(C._probe())
-    code = "import sys, pickle; f = pickle.loads(sys.stdin.buffer.read()); assert 'listenkpi' not in sys.modules; print(f.__name__)"
-    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
-    done = subprocess.run([sys.executable, "-c", code], input=told, capture_output=True, cwd="/", env=env)
-    assert done.stdout.strip() == b"run", done.stderr
+def test_many_files_give_the_driver_their_headers_only(spark, tmp_path, monkeypatch):
+    """500 files of 2 headers: no list of files comes to the driver."""
+    for i in range(500):
+        head, row = ("user_id,track_id,listen_time", f"u{i},t1,2024-01-01 10:00:00") if i % 3 else ("listen_time,user_id,track_id", f"2024-01-01 10:00:00,u{i},t1")
+        write(tmp_path / "p" / f"d{i % 2}", f"{i}.csv", f"{head}\n{row}\n")
+    seen, collect = [], type(spark.range(1)).collect
+    monkeypatch.setattr(type(spark.range(1)), "collect", lambda df: seen.append(collect(df)) or seen[-1])
+    plays = C.read_plays(spark, str(tmp_path / "p"))
+    assert [len(x) for x in seen] == [2]
+    only = C.read_files_by_header(spark, C.folder_headers(spark, str(tmp_path / "p")))
+    assert [len(x) for x in seen] == [2, 2, 2]  # and the two folders
+    monkeypatch.undo()
+    for df in (plays, only):
+        assert sorted(tuple(r) for r in df.select("user_id", "track_id", "listen_time").collect()) == sorted((f"u{i}", "t1", "2024-01-01 10:00:00") for i in range(500))
+
+
+def test_several_headers_with_odd_names_and_values(spark, tmp_path):
+    d = tmp_path / "p q+r%41é"  # a path that the metadata column encodes
+    write(d, "a.csv", "\ufeffuser_id,track_id,listen_time\nu1,t1,2024-01-01 10:00:00\nuser_id,track_id,listen_time\n")
+    write(d, "b.csv", '"listen_time","a ""q"", name",track_id,user_id\n2024-01-02 10:00:00,"x, ""y""",t2,u2\n')
+    write(d, "c.csv", "track_id,track_id,user_id,listen_time\nt3,again,u3\nt4,again,u4,2024-01-02 10:00:00,more\n")
+    write(d, "skip.txt", "not read\n")
+    got = C.read_plays(spark, str(d))
+    assert set(got.columns) == {"user_id", "track_id", "listen_time", 'a "q", name', "track_id.1"}
+    told = [(r["user_id"], r["track_id"], r["listen_time"], r['a "q", name'], r["track_id.1"]) for r in got.collect()]
+    assert sorted(told, key=str) == sorted([
+        ("u1", "t1", "2024-01-01 10:00:00", None, None), ("user_id", "track_id", "listen_time", None, None), ("u2", "t2", "2024-01-02 10:00:00", 'x, "y"', None),
+        ("u3", "t3", None, None, "again"), ("u4", "t4", "2024-01-02 10:00:00", None, "again")], key=str)
+
+
+def test_several_headers_and_line_breaks_in_values(spark, tmp_path):
+    d = tmp_path / "s"
+    write(d, "a.csv", SONGS_HEADER + 't1,"one\ntwo",A,pop,1000,1\n')
+    write(d, "b.csv", "popularity,track_id,track_name,artists,track_genre,duration_ms\n7,t2,\"x\n\ny\",B,rock,2000\n")
+    assert rows(C.read_songs(spark, str(d)), "track_id", "track_name", "duration_ms", "popularity") == [("t1", "one\ntwo", 1000, 1), ("t2", "x\n\ny", 2000, 7)]
+
+
+def test_a_file_that_comes_after_the_headers_fails(spark, tmp_path):
+    d = write(tmp_path / "p", "a.csv", HEAD + "u1,t1,2024-01-01 10:00:00\n")
+    write(tmp_path / "p", "b.csv", "listen_time,track_id,user_id\n2024-01-02 10:00:00,t2,u2\n")
+    headers = C.folder_headers(spark, d).where(F.col("path").endswith("a.csv"))
+    read = C._by_position(spark, headers, [["user_id", "track_id", "listen_time"]], [d], True)
+    with pytest.raises(Exception, match="no header was read"):
+        read.collect()
 
 
 def _kpi(date, genre, n):
