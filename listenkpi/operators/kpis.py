@@ -30,7 +30,11 @@ def genre_kpis(listens: DataFrame) -> DataFrame:
     avg_listening_time_per_user``: times in minutes, 2 decimals; the average is the total divided
     by the distinct listeners (divided first, rounded once). Times are NULL when no play of the
     group has a duration (the NULL-genre group of plays without a song)."""
-    raw = _raw(listens)
+    return kpis_from_totals(_raw(listens))
+
+
+def kpis_from_totals(raw: DataFrame) -> DataFrame:
+    """The same from counts, distinct listeners and total ms of each group."""
     total = F.col("total_listening_time_ms")
     return raw.select(
         *KEYS,

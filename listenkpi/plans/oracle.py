@@ -218,6 +218,8 @@ UNION ALL SELECT 'users', count(*) FROM uv""", kpis=False),
         "kpi_upsert": kpi_upsert(),
         "kpi_put_items": kpi_put_items(),
         "kpi_incremental": daily_genre_kpis("orders"),
+        "kpi_delta": daily_genre_kpis("orders"),
+        "kpi_merged_listeners": _q("SELECT date, track_genre, unique_listeners FROM k"),
         "incremental_extra_columns": daily_genre_kpis("orders", plays="track_id % 7 <> 0"),
         "expand_records": """
 SELECT CAST(1 AS BIGINT) AS number, n_name AS craft, c_name AS name,

@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from listenkpi.operators import diagnostics, enrich, jobs, kpis, quality, rank
+from listenkpi.operators import diagnostics, enrich, jobs, kpis, listeners, quality, rank
 from listenkpi.schemas import KPI_COLUMNS
 from listenkpi.session import ensure_defaults, scratch_path
 from listenkpi.sources import csv as csv_source
 from listenkpi.sources import records, sinks, views
-from listenkpi.streaming import incremental
+from listenkpi.streaming import deltas, incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -320,6 +320,33 @@ def kpi_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.read_kpis(spark, f"{root}/state")
 
 
+def kpi_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2 by deltas: a first drop comes as a draft (its plays with an even track), then a late tenth of the plays
+    of 1998 as a second drop, then the first drop again, whole, in place of the draft. No play of another drop is read
+    again; the table equals the daily job over all plays."""
+    plays, songs, _ = _domain(spark, sf_dir)
+    root, songs = scratch_path(spark, "deltas"), quality.clean_songs(songs)
+    of_1998 = F.coalesce(F.year("listen_time") == 1998, F.lit(False))
+    late = of_1998 & F.coalesce((F.col("user_id") + F.col("track_id")) % 10 == 0, F.lit(False))
+    deltas.put_drop(spark, root, "main", plays.where(~late & (F.col("track_id") % 2 == 0)), songs)
+    deltas.put_drop(spark, root, "late", plays.where(late), songs)
+    deltas.put_drop(spark, root, "main", plays.where(~late), songs, version=1)
+    return deltas.read_delta_kpis(spark, root)
+
+
+def kpi_merged_listeners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 from mergeable parts: the listeners of two drops (by listener and track, so each day is in both) are
+    bitmaps made apart, which are then merged and counted."""
+    plays, songs, _ = _domain(spark, sf_dir)
+    path = scratch_path(spark, "listener-numbers")
+    half = F.coalesce((F.col("user_id") + F.col("track_id")) % 2 == 0, F.lit(False))
+    parts = []
+    for rows in (plays.where(half), plays.where(~half)):
+        listens = sinks.stage(enrich.listen_table(quality.clean_plays(rows), quality.clean_songs(songs)), "listens")
+        parts.append(sinks.stage(listeners.listener_bitmaps(listens, listeners.number_listeners(listens, path)), "bitmaps"))
+    return listeners.count_listeners(listeners.merge_bitmaps(parts[0].unionByName(parts[1])))
+
+
 def incremental_extra_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2 with a further column ``device`` in the play files, which some plays lack: like the batch job, the
     stream drops plays that are incomplete in any column of their file."""
@@ -371,5 +398,7 @@ REGISTRY: dict[str, Query] = {
     "kpi_put_items": kpi_put_items,
     "kpi_incremental": kpi_incremental,
     "incremental_extra_columns": incremental_extra_columns,
+    "kpi_delta": kpi_delta,
+    "kpi_merged_listeners": kpi_merged_listeners,
     "expand_records": expand_records,
 }

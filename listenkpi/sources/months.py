@@ -1,26 +1,23 @@
-"""A table stored by month whose changes are committed as a whole.
-
-Layout under its path: ``data/<folder>/month=YYYY-MM/*.parquet`` (a folder for each write) and
-``commits/<number>.json``, which names, for each month, the data folders that are current. A change writes
-its data folder first and then the next commit, so a reader sees the table before or after it, and a write
-that dies half-way leaves the table as it was. Data folders that the new commit no longer names are deleted
-after it, but for those of the commit before (readers that began there may finish).
-
-Single writer: two writers at a time would both build on the same commit; the second fails, as the commit
-file exists already. The commit grows with the number of months, not with rows or writes.
+"""A table stored by month: one write of the touched months into a folder of their own, then one pointer file.
+
+Layout under its path: ``data/<folder>/month=YYYY-MM/*.parquet`` (a folder for each write, written by Spark
+with ``partitionBy``) and ``current.json``, which names, for each month, the folders that are current, and the
+columns. A change writes its folder first and then replaces the pointer, so a reader sees the table before or after it,
+and a write that dies half-way leaves the table as it was. One writer at a time. Folders that the pointer
+no longer names are not read; they go as the store's owner sees fit. The pointer grows with the number of months,
+not with rows.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listenkpi.session import delete_path
-
 NO_DATE = "none"
 
 
@@ -34,51 +31,23 @@ class MonthTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    # --- commits -----------------------------------------------------------------------------------
-
-    def _fs(self, path: str):
-        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
-
-    def _commits(self) -> list[int]:
-        fs, p = self._fs(f"{self.path}/commits")
-        if not fs.exists(p):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(p)]
-        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
-
-    def _read_commit(self, number: int) -> dict:
-        told = self.spark.read.option("wholetext", True).text(f"{self.path}/commits/{number:012d}.json").first()
-        return json.loads(told["value"])
-
     def commit(self) -> dict:
-        """The current commit: ``months`` (month -> folders) and ``schema``; empty before the first write."""
-        numbers = self._commits()
-        return self._read_commit(numbers[-1]) if numbers else {"months": {}, "schema": None}
-
-    def _put(self, number: int, told: dict) -> None:
-        fs, target = self._fs(f"{self.path}/commits/{number:012d}.json")
-        _, draft = self._fs(f"{self.path}/commits/.draft-{uuid.uuid4().hex}")
-        out = fs.create(draft, False)
-        out.write(bytearray(json.dumps(told).encode()))
+        """The pointer: ``months`` (month -> folders) and ``schema``; empty before the first write."""
+        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/current.json")
+        if not at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+            return {"months": {}, "schema": None}
+        return json.loads(self.spark.read.option("wholetext", True).text(at.toString()).first()["value"])
+
+    def _put(self, months: dict[str, list[str]], schema: T.StructType) -> None:
+        """Replace the pointer: a draft, renamed over it."""
+        hadoop, conf = self.spark.sparkContext._jvm.org.apache.hadoop.fs, self.spark.sparkContext._jsc.hadoopConfiguration()
+        draft, target = hadoop.Path(f"{self.path}/.draft-{uuid.uuid4().hex}"), hadoop.Path(f"{self.path}/current.json")
+        out = draft.getFileSystem(conf).create(draft)
+        out.write(bytearray(json.dumps({"months": months, "schema": schema.json()}).encode()))
         out.close()
-        if fs.exists(target) or not fs.rename(draft, target):
-            fs.delete(draft, False)
-            raise RuntimeError(f"another writer has committed to {self.path}")
-
-    def _commit(self, months: dict[str, list[str]], schema: T.StructType) -> None:
-        numbers = self._commits()
-        old = self._read_commit(numbers[-1]) if numbers else {"months": {}}
-        self._put(numbers[-1] + 1 if numbers else 0, {"months": months, "schema": schema.json()})
-        named = {f for m in (months, old["months"]) for folders in m.values() for f in folders}
-        fs, data = self._fs(f"{self.path}/data")
-        for s in fs.listStatus(data) if fs.exists(data) else []:
-            if s.getPath().getName() not in named:
-                delete_path(self.spark, s.getPath().toString())
-        for n in numbers[:-1]:
-            delete_path(self.spark, f"{self.path}/commits/{n:012d}.json")
-
-    # --- rows --------------------------------------------------------------------------------------
+        over = self.spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+        over[0] = hadoop.Options.Rename.OVERWRITE
+        hadoop.FileContext.getFileContext(draft.getFileSystem(conf).getUri(), conf).rename(draft, target, over)
 
     def read(self, months: list[str] | None = None) -> DataFrame:
         """The rows of ``months`` (all, if not given); only their folders are listed and read."""
@@ -90,18 +59,32 @@ class MonthTable:
                  for f in told["months"][m]]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
+    def folders(self, prefix: str) -> list[str]:
+        """The current folders whose name begins with ``prefix``."""
+        return sorted({f for told in self.commit()["months"].values() for f in told if f.startswith(prefix)})
+
+    def holds(self, folder: str) -> bool:
+        return folder in self.folders(folder)
+
+    def read_folder(self, folder: str) -> DataFrame | None:
+        """The rows of one write, while the pointer names it; None if it has none."""
+        told = self.commit()
+        paths = [f"{self.path}/data/{folder}/month={m}" for m in sorted(told["months"]) if folder in told["months"][m]]
+        return self.spark.read.schema(T.StructType.fromJson(json.loads(told["schema"]))).parquet(*paths) if paths else None
+
     def months(self) -> list[str]:
         return sorted(self.commit()["months"])
 
     def _write(self, df: DataFrame, date: str, folder: str) -> list[str]:
-        """Write ``df`` into a new folder; returns its months. ``rebalance`` gathers a month's rows in few
+        """Write ``df`` into a folder; returns its months. ``rebalance`` gathers a month's rows in few
         tasks and lets AQE cut what is over the advisory size, so a hot day is written by several tasks, with
         no sampling pass over the input."""
         path = f"{self.path}/data/{folder}"
         rows = df.withColumn("month", month_of(F.col(date)))
         rows.hint("rebalance", F.col("month")).sortWithinPartitions("month", date).write.mode("overwrite").partitionBy("month").parquet(path)
-        fs, p = self._fs(path)
-        return sorted(s.getPath().getName().removeprefix("month=") for s in fs.listStatus(p) if s.isDirectory() and "=" in s.getPath().getName())
+        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        found = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).listStatus(at)
+        return sorted(s.getPath().getName().removeprefix("month=") for s in found if s.isDirectory() and "=" in s.getPath().getName())
 
     def _schema(self, old: dict, df: DataFrame) -> T.StructType:
         """The table's columns, then those that only ``df`` has (NULL in earlier rows)."""
@@ -109,27 +92,26 @@ class MonthTable:
         names = {f.name for f in known}
         return T.StructType([*known, *[T.StructField(f.name, f.dataType, True) for f in df.schema.fields if f.name not in names]])
 
-    def append(self, df: DataFrame, date: str, folder: str | None = None) -> list[str]:
-        """Add rows, as ``folder``; adding under a name that is current already changes nothing (a retry).
-        Returns the months of that folder."""
-        folder = folder or f"w{uuid.uuid4().hex[:12]}"
-        old = self.commit()
-        months = {m: list(f) for m, f in old["months"].items()}
+    def append(self, df: DataFrame, date: str, folder: str | None = None, instead: Sequence[str] = ()) -> list[str]:
+        """Add rows, as ``folder``, and leave out the folders ``instead``; adding under a name that is current
+        already changes nothing (a retry). Returns the months of that folder."""
+        folder, old = folder or f"w{uuid.uuid4().hex[:12]}", self.commit()
+        months = {m: [x for x in f if x not in instead] for m, f in old["months"].items()}
         if not (own := [m for m, f in months.items() if folder in f]):
             own = self._write(df, date, folder)
             for m in own:
                 months.setdefault(m, []).append(folder)
-            self._commit(months, self._schema(old, df))
+            self._put({m: f for m, f in months.items() if f}, self._schema(old, df))
         return own
 
     def replace(self, df: DataFrame, date: str, touched: list[str]) -> None:
         """Make ``df`` all rows of the months ``touched``; a month it has no row of goes."""
         folder, old = f"w{uuid.uuid4().hex[:12]}", self.commit()
-        months = {m: f for m, f in old["months"].items() if m not in touched}
         own = self._write(df, date, folder)
         if extra := [m for m in own if m not in touched]:
             raise ValueError(f"rows of months outside the change: {extra}")
-        self._commit({**months, **{m: [folder] for m in own}}, self._schema(old, df))
+        months = {m: f for m, f in old["months"].items() if m not in touched}
+        self._put({**months, **{m: [folder] for m in own}}, self._schema(old, df))
 
     def compact(self, date: str, folders: int = 8) -> list[str]:
         """Rewrite the months that are spread over more than ``folders`` folders as one; returns them."""

@@ -4,8 +4,9 @@ Layout under one shared ``root`` folder:
 
 * ``plays/``: every play received, with all columns of its file, a ``MonthTable`` by the play's date. A
   retried micro-batch finds its folder there and adds nothing.
-* ``files/``: one row for each file that came (``path, header, reason, batch_id``). ``reason`` tells why a file
-  was set aside: no header, or a required column missing. A bad file does not stop the stream.
+* ``files/``: one row for each file that came (``path, header, reason, batch_id``), stored by a digest of its drop's
+  name, then by batch. ``reason`` tells why a file was set aside: no header, or a required column missing. A bad file
+  does not stop the stream.
 * ``kpis/``: the KPI table (``keyed_upsert`` by date).
 * ``songs/``: the cleaned song table, written once when the stream starts.
 * ``_checkpoint/``: the stream's checkpoint (offsets, committed batches).
@@ -19,11 +20,16 @@ whose folder name sorts last.
 Per micro-batch: store the batch, take the dates of its drops, read back the stored plays of those dates
 (only their months are listed and read), run the daily job on them and replace those dates. The distinct
 count of listeners and the ranking are not incremental aggregates (Spark rejects both on a stream), so the
-unit of recompute is the date. Dates and paths stay in tables; the driver sees month names.
+unit of recompute is the date (``deltas`` keeps counts and bitmaps in place of plays, where a drop's cost may not
+follow the days it touches). Dates and paths stay in tables. The driver sees the folders of the batch's files and their
+distinct headers, one digest for each drop that has plays of the touched dates, and month names; of
+``files/`` only those drops' folders are read, whatever came before.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -77,13 +83,20 @@ def _checked(headers: DataFrame) -> DataFrame:
     return headers.withColumn("reason", reason)
 
 
+def _digest(drop: Column) -> Column:
+    """A drop's name as a folder name."""
+    return F.md5(drop)
+
+
 def store_batch(spark: SparkSession, files: DataFrame, batch_id: int, root: str, na_tokens: bool = True) -> list[str] | None:
     """Note the files of the batch and store the plays of the good ones; returns the months of its plays, or
     None if no file was taken. Idempotent for a batch id."""
     p = paths(root)
-    _checked(file_headers(files)).write.mode("overwrite").parquet(f"{p['files']}/batch_id={batch_id}")
-    good = spark.read.parquet(f"{p['files']}/batch_id={batch_id}").where("reason IS NULL")
-    plays = read_files_by_header(spark, good.select("path", "header"), na_tokens=na_tokens, keep=True)
+    noted = _checked(file_headers(files)).withColumns({"drop": _digest(drop_of(F.col("path"))), "batch_id": F.lit(batch_id).cast("bigint")})
+    noted = stage(noted, "headers", spark)
+    # a retried batch replaces its own folders
+    noted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("drop", "batch_id").parquet(p["files"])
+    plays = read_files_by_header(spark, noted.where("reason IS NULL").select("path", "header"), na_tokens=na_tokens, keep=True)
     if plays is None:
         return None
     ts = parse_time("listen_time", plays.schema["listen_time"].dataType)
@@ -91,9 +104,17 @@ def store_batch(spark: SparkSession, files: DataFrame, batch_id: int, root: str,
     return MonthTable(spark, p["plays"]).append(rows, "_date", f"b{batch_id:012d}")
 
 
-def drop_headers(spark: SparkSession, root: str) -> DataFrame:
-    """``_drop, header, batch_id`` of the files taken: the column sets of each drop."""
-    good = spark.read.parquet(paths(root)["files"]).where("reason IS NULL")
+_FILES = "path string, header array<string>, reason string, drop string, batch_id bigint"
+
+
+def drop_headers(spark: SparkSession, root: str, drops: DataFrame) -> DataFrame:
+    """``_drop, header, batch_id`` of the files taken of ``drops`` (``_drop``): their column sets. Only those drops' folders
+    are listed and read."""
+    at = paths(root)["files"]
+    own = [f"{at}/drop={r['d']}" for r in drops.select(_digest(F.col("_drop")).alias("d")).distinct().collect()]
+    if not own:
+        return spark.createDataFrame([], "_drop string, header array<string>, batch_id bigint")
+    good = spark.read.schema(_FILES).option("basePath", at).parquet(*own).where("reason IS NULL")
     return good.select(drop_of(F.col("path")).alias("_drop"), F.array_sort("header").alias("header"), "batch_id").distinct()
 
 
@@ -118,7 +139,7 @@ def recompute(spark: SparkSession, root: str, songs: DataFrame, dates: DataFrame
     if replace:
         last = stored.groupBy(F.col("_date").alias("date")).agg(F.max("_drop").alias("last"))
         stored = stored.join(last, stored["_date"].eqNullSafe(last["date"]) & (stored["_drop"] == last["last"]), "left_semi")
-    plays = _complete(stored, drop_headers(spark, root)).drop(*_OWN).dropDuplicates()
+    plays = _complete(stored, drop_headers(spark, root, stored.select("_drop").distinct())).drop(*_OWN).dropDuplicates()
     keyed_upsert(kpis_from_clean(plays, songs), p["kpis"], replaced=dates)
 
 
@@ -131,12 +152,16 @@ def process_batch(spark: SparkSession, root: str, songs: DataFrame, replace: boo
             own = store_batch(spark, files.select("path"), batch_id, root, na_tokens)
             if not own:
                 return
-            headers = drop_headers(spark, root)
-            drops = headers.where(F.col("batch_id") == batch_id).select("_drop").distinct()
+            plays = MonthTable(spark, paths(root)["plays"])
+            name = f"b{batch_id:012d}"
+            drops = stage(plays.read_folder(name).select("_drop").distinct(), "drops", spark)
             # files of one drop may have come in earlier batches: their dates may change with it
-            earlier = headers.where(F.col("batch_id") != batch_id).join(drops, "_drop", "left_semi")
-            alone = earlier.isEmpty()
-            rows = MonthTable(spark, paths(root)["plays"]).read(own if alone else None)
+            batches = [r["batch_id"] for r in drop_headers(spark, root, drops).select("batch_id").distinct().collect()]
+            folders = [plays.read_folder(f"b{b:012d}") for b in batches]
+            alone = batches == [batch_id]
+            rows = plays.read()  # of a compacted table
+            if all(f is not None for f in folders):
+                rows = reduce(DataFrame.unionByName, folders)
             dates = stage(rows.join(drops, "_drop", "left_semi").select(F.col("_date").alias("date")).distinct(), "dates", spark)
             months = own if alone else [r["m"] for r in dates.select(month_of(F.col("date")).alias("m")).distinct().collect()]
             recompute(spark, root, songs, dates, months, replace)

@@ -356,18 +356,6 @@ def test_a_failing_read_or_write_leaves_the_table_as_it_was(spark, monkeypatch):
     assert rows(sinks.read_keyed(spark, path), "date") == [(d1,), (d2,)]
 
 
-def test_a_second_writer_fails(spark, monkeypatch):
-    path = scratch_path(spark, "t-writers")
-    df = spark.createDataFrame([_kpi(dt.date(2024, 1, 1), "pop", 1)], KPI_SCHEMA)
-    sinks.keyed_upsert(df, path)
-    stale = MonthTable(spark, path)
-    monkeypatch.setattr(stale, "_commits", lambda seen=stale._commits(): seen)
-    sinks.keyed_upsert(df, path)
-    with pytest.raises(Exception):  # noqa: B017  the commit it would follow is gone, or the next one is there
-        stale.replace(df, "date", ["2024-01"])
-    assert sinks.read_keyed(spark, path).count() == 1
-
-
 def test_a_hot_day_is_written_by_several_tasks(spark):
     table = MonthTable(spark, scratch_path(spark, "t-hot"))
     day = spark.range(200_000).selectExpr("cast('2024-01-01' as date) as _date", "uuid() as user_id", "id as track_id")
