@@ -18,7 +18,7 @@ folder (``stage``), which also cuts the lineage: a lost executor re-reads it ins
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listenkpi.operators.enrich import SONG_FIELDS, join_songs, listen_table, with_date
@@ -28,6 +28,9 @@ from listenkpi.operators.rank import song_plays, top_genres, top_genres_list, to
 from listenkpi.schemas import GENRE_LIST, KPI_COLUMNS, SONG_LIST, TOP_GENRES, TOP_SONGS
 from listenkpi.sources.sinks import stage
 
+#: Sort keys of the job's result, by name: any table of KPI columns can be put in this order.
+_ORDER = [("date", True), ("listen_count", False), ("track_genre", True)]
+
 PER_PLAY_COLUMNS = [
     "date",
     "track_genre",
@@ -48,9 +51,13 @@ def assemble(kpis: DataFrame, songs_by_name: DataFrame, k_songs: int, k_genres:
     return kpis.join(t3, ["date", "track_genre"], "left").join(t5, "date", "left")
 
 
+def final_order() -> list[Column]:
+    return [F.col(c).asc() if up else F.col(c).desc() for c, up in _ORDER]
+
+
 def order_kpis(df: DataFrame) -> DataFrame:
     """Final order: date ascending, most plays first, genre name as tie-break."""
-    return df.orderBy(F.col("date").asc(), F.col("listen_count").desc(), F.col("track_genre").asc())
+    return df.orderBy(*final_order())
 
 
 def kpis_from_clean(plays: DataFrame, songs: DataFrame, k_songs: int = TOP_SONGS,

@@ -14,14 +14,15 @@ large, is collapsed inside each map task before anything is shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listenkpi.functions.columns import is_null_count
 from listenkpi.schemas import FILL_VALUE, REQUIRED
+from listenkpi.sources.sinks import stage
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -45,6 +46,26 @@ def null_profile_long(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
+def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df``, and an observation of its NULL profile: filled by whatever action runs over ``df`` first, so the profile
+    costs no pass of its own."""
+    seen = Observation()
+    return df.observe(seen, *[is_null_count(c) for c in df.columns]), seen
+
+
+def stage_clean(tables: Mapping[str, DataFrame], clean: Mapping[str, Callable[[DataFrame], DataFrame]]) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Each table cleaned and staged, and ``table, column, loaded, cleaned``: its NULL counts before and after the
+    cleaning, both observed by the write itself (one scan of each table)."""
+    out, rows = {}, []
+    for name, df in tables.items():
+        raw, before = observed(df)
+        done, after = observed(clean[name](raw))
+        out[name] = stage(done, f"clean-{name}")
+        rows += [(name, c, int(before.get[c]), int(after.get[c])) for c in df.columns]
+    spark = next(iter(tables.values())).sparkSession
+    return out, spark.createDataFrame(rows, "table string, column string, loaded bigint, cleaned bigint")
+
+
 def fill_unknown(df: DataFrame, value: str = FILL_VALUE) -> DataFrame:
     """NULL strings -> ``value``; other types untouched (``na.fill`` with a string)."""
     return df.na.fill(value)

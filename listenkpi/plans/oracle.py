@@ -218,6 +218,19 @@ UNION ALL SELECT 'users', count(*) FROM uv""", kpis=False),
         "kpi_upsert": kpi_upsert(),
         "kpi_put_items": kpi_put_items(),
         "kpi_incremental": daily_genre_kpis("orders"),
+        "plays_with_songs_skewed": _q("SELECT * FROM m", kpis=False).replace(
+            f"({PLAYS['orders']})", f"(SELECT user_id, CASE WHEN (user_id + track_id) % 3 = 0 THEN 1 ELSE track_id END AS track_id, listen_time FROM ({PLAYS['orders']}))"),
+        "observed_profile": f"""
+SELECT "table", "column", a.null_count AS loaded, b.null_count AS cleaned
+FROM ({_q(_profiles("pv", "sv", "uv"), "events", kpis=False)}) a
+JOIN ({_q(_profiles("s", "g", "cu").replace("FROM cu", f"FROM ({CLEAN_USERS}) cu"), "events", kpis=False)}) b USING ("table", "column")""",
+        "csv_malformed_rows": _q(f"""
+SELECT CASE WHEN listen_time < TIMESTAMP '{SPLIT_DATE}' THEN 'a' ELSE 'b' END AS drop, count(*) AS rows,
+       count(*) FILTER (WHERE track_id % 7 = 0) AS short_rows, count(*) FILTER (WHERE track_id % 7 <> 0 AND track_id % 11 = 0) AS long_rows,
+       count(*) FILTER (WHERE track_id % 7 <> 0 AND track_id % 13 = 0) AS bad_values
+FROM pv GROUP BY 1""", kpis=False),
+        "ordered_kpi_export": f"""
+SELECT *, row_number() OVER (ORDER BY date NULLS FIRST, listen_count DESC, track_genre NULLS FIRST) AS row FROM ({daily_genre_kpis("orders")})""",
         "kpi_delta": daily_genre_kpis("orders"),
         "kpi_merged_listeners": _q("SELECT date, track_genre, unique_listeners FROM k"),
         "incremental_extra_columns": daily_genre_kpis("orders", plays="track_id % 7 <> 0"),

@@ -16,7 +16,7 @@ from listenkpi.operators import diagnostics, enrich, jobs, kpis, listeners, qual
 from listenkpi.schemas import KPI_COLUMNS
 from listenkpi.session import ensure_defaults, scratch_path
 from listenkpi.sources import csv as csv_source
-from listenkpi.sources import records, sinks, views
+from listenkpi.sources import export, records, sinks, views
 from listenkpi.streaming import deltas, incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -164,6 +164,23 @@ def plays_without_song(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diagnostics.plays_without_song(quality.clean_plays(plays), quality.clean_songs(songs))
 
 
+def plays_with_songs_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 with a heavy hitter: a third of the plays (by listener and track) are of track 1, whose song rows are broadcast;
+    the other tracks are joined by key."""
+    plays, songs, _ = _domain(spark, sf_dir)
+    hot = F.when((F.col("user_id") + F.col("track_id")) % 3 == 0, F.lit(1).cast("bigint")).otherwise(F.col("track_id"))
+    plays = sinks.stage(quality.clean_plays(plays.withColumn("track_id", hot)), "plays")
+    return enrich.with_date(enrich.join_songs_hot(plays, quality.clean_songs(songs)))
+
+
+def observed_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 / Q6 inside the job: the NULL counts of plays (view A), songs and users as loaded and as cleaned, observed by the
+    one write that stages each cleaned table."""
+    tables = dict(zip(("plays", "songs", "users"), _domain(spark, sf_dir, "events"), strict=True))
+    _, profile = quality.stage_clean(tables, {"plays": quality.clean_plays, "songs": quality.clean_songs, "users": quality.clean_users})
+    return profile
+
+
 # --- sources and sinks (S1-S9, C5-C7, Q7) ---------------------------------------------------------
 # These queries write the view's tables as CSV folders under the shared scratch folder, then run the
 # readers (or writers) under test over them; the result must equal the same query on the tables.
@@ -245,6 +262,32 @@ def missing_columns_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_source.missing_columns_report(spark, root, "plays").drop("files_missing")
 
 
+def csv_malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Play files with short rows (no time), long rows (a cell more) and times that don't parse, in two drops
+    with other orders of columns; how many of each a drop has. (Files are cut by the writer, so their counts are added up.)"""
+    plays, _, _ = _domain(spark, sf_dir)
+    root = scratch_path(spark, "csv-malformed")
+    t, u, at = F.col("track_id"), F.col("user_id"), F.date_format("listen_time", "yyyy-MM-dd HH:mm:ss")
+    at = F.when(t % 13 == 0, F.lit("no time")).otherwise(at)
+    for name, header, cells, part in (("a", "user_id,track_id,listen_time", [u, t, at], _early()), ("b", "track_id,user_id,note,listen_time", [t, u, F.lit('"one, two"'), at], ~_early())):
+        line = F.concat_ws(",", *[c.cast("string") for c in cells])
+        line = F.when(t % 7 == 0, F.concat_ws(",", *[c.cast("string") for c in cells[:-1]])).when(t % 11 == 0, F.concat(line, F.lit(",more"))).otherwise(line)
+        sinks.write_lines(plays.where(part).select(line.alias("value")), f"{root}/{name}", header)
+    found = csv_source.malformed_rows(spark, root, "plays")
+    drop = F.regexp_extract("path", "/([ab])/[^/]*$", 1).alias("drop")
+    return found.groupBy(drop).agg(*[F.sum(c).alias(c) for c in ("rows", "short_rows", "long_rows", "bad_values")])
+
+
+def ordered_kpi_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily job's rows in their final order as CSV files, each row with its number through all files."""
+    plays, songs, _ = _domain(spark, sf_dir)
+    path = scratch_path(spark, "ordered")
+    kpis_ = jobs.daily_kpis(plays, songs, ordered=False)
+    export.write_ordered_csv(kpis_, path, jobs.final_order())
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kpis_.schema.fields)
+    return spark.read.schema(f"{schema}, row bigint").option("header", True).option("escape", '"').csv(path)
+
+
 def column_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drops of which no song file has ``popularity`` and no user file ``user_country``: the gate
     refuses them, and the report tells for each required column whether it is there."""
@@ -398,6 +441,10 @@ REGISTRY: dict[str, Query] = {
     "kpi_put_items": kpi_put_items,
     "kpi_incremental": kpi_incremental,
     "incremental_extra_columns": incremental_extra_columns,
+    "plays_with_songs_skewed": plays_with_songs_skewed,
+    "observed_profile": observed_profile,
+    "csv_malformed_rows": csv_malformed_rows,
+    "ordered_kpi_export": ordered_kpi_export,
     "kpi_delta": kpi_delta,
     "kpi_merged_listeners": kpi_merged_listeners,
     "expand_records": expand_records,

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listenkpi.functions.columns import named, null_if_token, to_long
+from listenkpi.functions.columns import named, null_if_token, parse_time, to_long
 from listenkpi.operators.quality import validate
 from listenkpi.schemas import NA_TOKENS, REQUIRED, SONGS_NUMERIC
 
@@ -69,14 +69,19 @@ def list_files(spark: SparkSession, paths: str | Sequence[str], suffix: str = ".
     )
 
 
-def _names(line: Column) -> Column:
-    """The cells of a header line; repeated names are numbered as pandas does."""
-    plain = F.split(line, ",", -1)
+def _cells_of(record: Column) -> Column:
+    """The cells of a record of CSV."""
+    plain = F.split(record, ",", -1)
     quoted = F.transform(
-        F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]|"")*+"[^,]*|[^,]*)'), F.lit(1)),
+        F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(r',("(?:[^"]|"")*+"[^,]*|[^,]*)'), F.lit(1)),
         lambda c: F.when(c.startswith('"'), F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(c),
     )
-    names = F.when(line.contains('"'), quoted).otherwise(plain)
+    return F.when(record.contains('"'), quoted).otherwise(plain)
+
+
+def _names(line: Column) -> Column:
+    """The cells of a header line; repeated names are numbered as pandas does."""
+    names = _cells_of(line)
     seen = lambda x, i: F.size(F.filter(F.slice(names, 1, i), lambda y: y == x))
     numbered = F.transform(names, lambda x, i: F.when(seen(x, i) > 0, F.concat(x, F.lit("."), seen(x, i).cast("string"))).otherwise(x))
     return F.when(F.size(F.array_distinct(names)) < F.size(names), numbered).otherwise(names)
@@ -256,6 +261,40 @@ def missing_columns_by_file(headers: DataFrame, required: Sequence[str]) -> Data
     )
 
 
+def malformed_rows(spark: SparkSession, paths: str | Sequence[str], table: str) -> DataFrame:
+    """``path, rows, short_rows, long_rows, bad_values`` for each file with rows: how many have fewer or more cells than the
+    file's header, and how many have a cell in a typed column (song numbers, play times) that doesn't parse. The
+    read keeps such rows (padded, cut, NULL); this tells where they come from. One scan with Spark's corrupt-record
+    column, which holds the record wherever its cells don't fit the schema."""
+    paths = [normalize_path(p) for p in ([paths] if isinstance(paths, str) else paths)]
+    headers = folder_headers(spark, paths)
+    groups = _grouped(headers)
+    if not groups:
+        raise ValueError(f"No .csv files in {paths}")
+    names = list(dict.fromkeys(c for header in sorted(groups) for c in header))
+    width = max(map(len, groups))
+    cells = [f"_{i}" for i in range(width)]
+    rows = (
+        spark.read.schema(T.StructType([T.StructField(c, T.StringType(), True) for c in [*cells, "_corrupt"]]))
+        .option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
+        .option("quote", '"').option("escape", '"').option("multiLine", table == "songs")
+        .option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true").csv(paths)
+        .select(F.array(*cells).alias("_cells"), F.col("_corrupt"), file_path().alias("path"))
+        .join(headers, "path")
+    )
+    size = F.when(F.col("_corrupt").isNull(), F.lit(width)).otherwise(F.size(_cells_of(F.col("_corrupt"))))
+    value = lambda c: null_if_token(F.get("_cells", (F.array_position("header", F.lit(c)) - 1).cast("int")), NA_TOKENS)
+    parses = {**{c: to_long for c in SONGS_NUMERIC}, "listen_time": lambda x: parse_time(x, T.StringType())}
+    typed_columns = [c for c in names if c in (SONGS_NUMERIC if table == "songs" else ["listen_time"] if table == "plays" else [])]
+    bad = F.lit(False)
+    for c in typed_columns:
+        there = F.array_contains("header", c) & value(c).isNotNull()
+        bad = bad | F.coalesce(there & parses[c](value(c)).isNull(), F.lit(False))
+    return rows.groupBy("path").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(size < F.size("header")).alias("short_rows"),
+        F.count_if(size > F.size("header")).alias("long_rows"), F.count_if(bad).alias("bad_values"))
+
+
 def missing_columns_report(spark: SparkSession, paths: str | Sequence[str], table: str) -> DataFrame:
     """``table, column, present, files_missing, rows_missing`` for every required column of ``table``:
     whether the combined table has it, and how many files and rows lack it. Rows are counted by one scan that

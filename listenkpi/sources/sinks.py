@@ -28,6 +28,15 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def write_lines(lines: DataFrame, path: str, header: str) -> str:
+    """Write ready CSV lines (one text column) under a header line in each file."""
+    (name,) = lines.columns
+    rows = lines.withColumnRenamed(name, header)
+    # quoting is off: a line is one cell, written as it is
+    rows.write.mode("overwrite").option("header", True).option("sep", "\u0001").option("quote", "\u0000").option("emptyValue", "").csv(path)
+    return path
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     df.write.mode(mode).parquet(path)
     return path
