@@ -1,39 +1,43 @@
 """Language identification in two steps: the language's family, then the languages within it.
 
 A text is the bag of the character n-grams of its words (1 to 4 bytes, word ends marked), hashed into
-buckets. First one-versus-one linear support vector machines tell the families apart, then, within the
-predicted family, one for each pair of its languages does. Each machine votes; ties go to the larger sum
-of margins, then to the first name. Machines read the same mean over the n-grams, so a text is scored by
+buckets. A linear support vector machine for each family tells it from all others, and the largest margin wins.
+Then, within the predicted family, one-versus-one machines for each pair of its languages vote; ties go to the larger sum
+of margins, then to the first name. All machines read the same mean over the n-grams, so a text is scored by
 all of them in one pass without a shuffle.
 
-Trained on the driver on a bounded sample: at most ``PER_LANGUAGE`` documents of each language, the first
-by a hash of their id, outside the held-out fold. The languages are those that documents are marked with,
-at most ``LANGUAGES`` of them (the most frequent, then by name); the model grows with their pairs.
+Trained on a sample: about ``PER_LANGUAGE`` documents of each language that documents are marked with, however many
+there are; of more than ``ROWS / PER_LANGUAGE`` languages about ``ROWS`` documents in all, evenly, but ``LEAST`` of each. They are
+those outside the held-out fold whose id has the smallest hashes (an id counts once). A training bag
+keeps its ``BAG`` largest shares. So what the driver gathers is bounded, and so is what each machine learns
+from. Machines are trained in tasks, one a row. The model grows with the families and the pairs within one.
 
-Defined results: a text that is NULL, empty or without a letter is ``und`` with score 0.0, whatever is
+Defined results: a text that is NULL, empty or without a letter (Unicode's letter categories) is ``und`` with score 0.0, whatever is
 known. A language whose code the family table lacks is a family by itself. With no labelled document
 every text is ``und``; with one language every text with a letter is that one, with score 1.0.
 """
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listenkpi.llm import ngrams
-from listenkpi.llm.common import bounded_sample, fold
-from listenkpi.llm.learn import labelled_bags, text_column
+from listenkpi.llm.common import fold
+from listenkpi.llm.learn import bags_of, collected, text_column
 
 SIZES = (1, 2, 3, 4)
 BITS = 16
-PER_LANGUAGE = 600
-LANGUAGES = 200
+PER_LANGUAGE, ROWS, LEAST = 600, 16_000, 4
+BAG = 2048
 MODULUS, REMAINDER = 4, 2
 EPOCHS, RATE, PENALTY, SCALE = 12, 0.05, 1e-5, 30.0
 UNKNOWN = "und"
@@ -52,7 +56,7 @@ FAMILIES = {
     "baltic": ["lt", "lv"],
 }
 _FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes}
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def family_of(lang: str) -> str:
@@ -68,7 +72,7 @@ def machine(bags: list[tuple[np.ndarray, np.ndarray]], signs: np.ndarray, seed:
     each = len(signs) / (2 * np.array([max(1, (signs < 0).sum()), max(1, (signs > 0).sum())]))
     filled = np.array([i for i, (ids, _) in enumerate(bags) if len(ids)], dtype=np.int64)
     for _ in range(EPOCHS):
-        for rows in np.array_split(rng.permutation(filled), max(1, len(filled) // 16)):
+        for rows in np.array_split(rng.permutation(filled), max(1, min(75, len(filled) // 16))):
             if not len(rows):
                 continue
             ids = np.concatenate([bags[i][0] for i in rows])
@@ -87,7 +91,8 @@ def machine(bags: list[tuple[np.ndarray, np.ndarray]], signs: np.ndarray, seed:
 
 class Model:
     """``groups``: the families' names under ``None``, the languages under each family's name. A column of
-    ``weights`` for each pair of one group, listed in ``pairs``; positive for the pair's first."""
+    ``weights`` for each machine, listed in ``pairs``: ``(None, f, -1)`` for family ``f`` against the others, ``(family, a, b)``
+    for a pair of its languages; positive for the first. Two families need one machine."""
 
     def __init__(self, groups: dict[str | None, list[str]], pairs: list[tuple[str | None, int, int]], weights: np.ndarray,
                  biases: np.ndarray):
@@ -96,6 +101,12 @@ class Model:
     def choose(self, group: str | None, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each row the winner's number within the group, and its smallest margin over the others."""
         n = len(self.groups[group])
+        own = [c for c, (g, _, b) in enumerate(self.pairs) if g is None and b < 0]
+        if group is None and own:
+            each = margins[:, own]
+            best = each.argmax(1)
+            second = np.partition(each, -2, axis=1)[:, -2]
+            return best, (each.max(1) - second) / 2
         votes, total = np.zeros((len(margins), n)), np.zeros((len(margins), n))
         least = np.full((len(margins), n), np.inf)
         for c, (g, a, b) in enumerate(self.pairs):
@@ -104,9 +115,9 @@ class Model:
             m = margins[:, c]
             votes[:, a] += m >= 0
             votes[:, b] += m < 0
-            for k, own in ((a, m), (b, -m)):
-                total[:, k] += own
-                least[:, k] = np.minimum(least[:, k], own)
+            for k, towards in ((a, m), (b, -m)):
+                total[:, k] += towards
+                least[:, k] = np.minimum(least[:, k], towards)
         best = (votes == votes.max(1, keepdims=True))
         best = np.where(best, total, -np.inf).argmax(1)
         return best, least[np.arange(len(margins)), best]
@@ -132,29 +143,58 @@ class Model:
         return pd.DataFrame({"lang": langs, "score": scores})
 
 
+def _sample(docs: DataFrame) -> DataFrame:
+    """``doc_id, label, text`` of the training documents. A language's share of documents is kept by a bound on the
+    hash of their ids, so one scan finds them; only the languages and their counts come to the driver."""
+    known = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("label"), F.col("text").cast("string").alias("text"))
+             .where("label IS NOT NULL AND doc_id IS NOT NULL").where(fold("doc_id", MODULUS) != REMAINDER))
+    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    each = min(PER_LANGUAGE, max(LEAST, ROWS // max(1, len(counts))))
+    bounds = [(lang, min(1.0, each / n)) for lang, n in sorted(counts.items())]
+    told = known.sparkSession.createDataFrame(bounds, "label string, most double")  # a row for each language
+    place = (F.xxhash64(F.col("doc_id").cast("string")).cast("double") + 2.0**63) / 2.0**64
+    return known.join(F.broadcast(told), "label").where((place < F.col("most")) | (F.col("most") == 1)).select("doc_id", "label", "text")
+
+
+def _trained(docs: DataFrame, bags: list, y: np.ndarray, families: np.ndarray, groups: dict, pairs: list) -> np.ndarray:
+    """The machines' weights and biases, a column for each pair, each trained in a task."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast((bags, y, families))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for c in batch.column("id").to_pylist():
+                bags, y, families = shared.value
+                group, a, b = pairs[c]
+                of, names = (families, groups[None]) if group is None else (y, groups[group])
+                rows = np.flatnonzero((of == names[a]) | (of == names[b])) if b >= 0 else np.arange(len(of))
+                found = machine([bags[i] for i in rows], np.where(of[rows] == names[a], 1.0, -1.0))
+                yield pa.RecordBatch.from_pydict({"id": pa.array([c], pa.int64()), "w": pa.array([found.astype("<f4").tobytes()], pa.binary())})
+
+    rows = spark.range(len(pairs)).repartitionById(max(1, len(pairs)), F.col("id").cast("int"))
+    columns = {r["id"]: np.frombuffer(r["w"], "<f4") for r in rows.mapInArrow(run, "id bigint, w binary").collect()}
+    shared.unpersist()
+    return np.stack([columns[c] for c in range(len(pairs))], 1) if pairs else np.zeros(((1 << BITS) + 1, 0), np.float32)
+
+
 def fit(docs: DataFrame) -> Model:
     """The model, learned from ``doc_id, text, lang`` outside the held-out fold."""
-    known = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
-             .where("lang IS NOT NULL AND doc_id IS NOT NULL").where(fold("doc_id", MODULUS) != REMAINDER))
-    langs = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
+    packed = bags_of(_sample(docs), SIZES, BITS, digits=False, most=BAG)
+    # rows that repeat an id and its language count once, whatever the number of copies
+    once = packed.groupBy("doc_id", "label").agg(F.min(F.struct("ids", "shares")).alias("bag")).select("doc_id", "label", "bag.ids", "bag.shares")
+    bags, y = collected(once)
+    langs = sorted(set(y.tolist()))
     if not langs:
         return Model({}, [], np.zeros((0, 0)), np.zeros(0))
-    sample = bounded_sample(known, "doc_id", "lang", dict.fromkeys(sorted(langs), PER_LANGUAGE))
-    text = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    bags, y = labelled_bags(text, sample, "lang", SIZES, BITS, digits=False)
     groups: dict[str | None, list[str]] = {None: sorted({family_of(x) for x in langs})}
     for name in groups[None]:
-        groups[name] = sorted(x for x in langs if family_of(x) == name)
+        groups[name] = [x for x in langs if family_of(x) == name]
     families = np.array([family_of(x) for x in y], dtype=object)
-    pairs, columns = [], []
-    for group, names in groups.items():
-        of = families if group is None else y
-        for a, b in combinations(range(len(names)), 2):
-            rows = np.flatnonzero((of == names[a]) | (of == names[b]))
-            pairs.append((group, a, b))
-            columns.append(machine([bags[i] for i in rows], np.where(of[rows] == names[a], 1.0, -1.0)))
-    stacked = np.stack(columns, 1) if columns else np.zeros(((1 << BITS) + 1, 0))
-    return Model(groups, pairs, stacked[:-1].astype(np.float32), stacked[-1])
+    pairs = [(name, a, b) for name in groups[None] for a, b in combinations(range(len(groups[name])), 2)]
+    n = len(groups[None])
+    pairs = ([(None, 0, 1)] if n == 2 else [(None, f, -1) for f in range(n)] if n > 2 else []) + pairs
+    found = _trained(docs, bags, y.astype(object), families, groups, pairs)
+    return Model(groups, pairs, found[:-1], found[-1].astype(np.float64))
 
 
 def predicted(docs: DataFrame, into: str) -> DataFrame:

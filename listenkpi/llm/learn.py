@@ -20,20 +20,38 @@ def labelled_bags(docs: DataFrame, sample: DataFrame, label: str, sizes: tuple[i
     """The n-gram bags and labels of the sampled rows, in the order of their ids. ``docs`` holds ``doc_id,
     text``; ``sample`` holds at most a stated number of ``doc_id`` and ``label`` rows, so it may be
     broadcast. Bags are made in the tasks and come to the driver packed; a bag is bounded by the buckets."""
-    kind = dict(sample.dtypes)[label]
+    chosen = sample.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).alias("label"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
+    return collected(bags_of(rows, sizes, bits, digits, distinct, neutral))
+
+
+def bags_of(rows: DataFrame, sizes: tuple[int, ...], bits: int, digits: bool, distinct: bool = False, neutral: int = 0,
+            most: int | None = None) -> DataFrame:
+    """``doc_id, label, ids, shares`` of each row of ``doc_id, label, text``: its n-gram bag, packed. ``most``: a bag
+    keeps its largest shares only, so many (then the smaller numbers)."""
+    kind = dict(rows.dtypes)["label"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in by_slices(batches, "text"):
-            bags = list(ngrams.bags(texts, sizes, bits, digits, distinct, neutral))
+            bags = [cut(*b) for b in ngrams.bags(texts, sizes, bits, digits, distinct, neutral)]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("label"),
                 pa.array([b.astype("<i4").tobytes() for b, _ in bags], pa.binary()),
                 pa.array([s.astype("<f4").tobytes() for _, s in bags], pa.binary()),
             ], names=["doc_id", "label", "ids", "shares"])
 
-    chosen = sample.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).alias("label"))
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
-    found = rows.mapInArrow(run, f"doc_id bigint, label {kind}, ids binary, shares binary").toArrow()
+    def cut(ids: np.ndarray, shares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if most is None or len(ids) <= most:
+            return ids, shares
+        keep = np.sort(np.argsort(-shares, kind="stable")[:most])
+        return ids[keep], shares[keep]
+
+    return rows.mapInArrow(run, f"doc_id bigint, label {kind}, ids binary, shares binary")
+
+
+def collected(packed: DataFrame) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """The bags and labels of a bounded number of rows, in the order of their ids."""
+    found = packed.toArrow()
     # views into the collected table, so that the bags are held once
     ids, shares = _views(found["ids"], "<i4"), _views(found["shares"], "<f4")
     keys = found["doc_id"].to_pylist()
