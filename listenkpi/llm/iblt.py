@@ -12,7 +12,9 @@ cells frees more (peeling), until all differing digests of either side are recov
 sketch was too small, and both versions are sketched again four times as large. Sizes go up to where peeling
 is all but sure (``LAST`` cells a digest); if it still fails, the digests themselves are compared.
 
-The fingerprint of a text is its sketch at the first size, with its number of paragraphs, in hex. The
+The fingerprint of a text is its sketch at the first size, with its number of paragraphs, in hex. It keeps 16
+bits of each cell's count and checks, which tells texts apart; differences are peeled from whole cells, made anew from
+the texts. White space of any kind counts the same: texts that differ in a tab for a space have equal fingerprints. The
 likeness of two texts is the share of paragraphs they hold in common, ``2 c / (a + b)``, from the recovered
 differences; two texts without paragraphs have likeness 1, one without and one with have 0.
 
@@ -22,6 +24,7 @@ All texts of an Arrow slice are sketched, subtracted and peeled together in nump
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -264,35 +267,76 @@ def _results(ids: list, texts: list[str], firsts: np.ndarray) -> pa.RecordBatch:
     })
 
 
-def _group_of(edges: np.ndarray):
-    @F.pandas_udf(T.IntegerType())
-    def group(k: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(edges, k.to_numpy(), "right").astype(np.int32))
+PREFIX = 64  # characters by which rows of a hot id are ordered first
+_KEYS = 50  # sampled rows of hot ids for each group
 
-    return group
+
+def _place_of(edges: np.ndarray, cuts: dict[int, list[tuple]]):
+    """A column function: a row's group. ``cuts``: for each hot id the (prefix, digest) where its further groups begin; rows
+    equal to several cuts are alike and may stand in any of the groups between them."""
+    wide = max(map(len, cuts.values()), default=0) + 2
+
+    @F.pandas_udf(T.LongType())
+    def place(k: pd.Series, prefix: pd.Series, digest: pd.Series, tie: pd.Series) -> pd.Series:
+        ids = k.to_numpy()
+        found = np.searchsorted(edges, ids, "right").astype(np.int64) * wide
+        for hot, own in cuts.items():
+            # what comes after the hot id in its group comes after its last part
+            group = np.searchsorted(edges, hot, "right") * wide
+            found[(found == group) & (ids > hot)] += len(own) + 1
+            for i in np.flatnonzero(ids == hot).tolist():
+                key = (prefix[i], digest[i])
+                lo, hi = bisect_left(own, key), bisect_right(own, key)
+                found[i] += lo + tie[i] % (hi - lo + 1)
+        return pd.Series(found)
+
+    return place
+
+
+def _parts(docs: DataFrame, hot: dict[int, int]) -> dict[int, list[tuple]]:
+    """For each hot id the (prefix, digest) that part its rows evenly, from a sample of them."""
+    if not hot:
+        return {}
+    rows = docs.where(F.col("k").isin(list(hot))).select("k", "prefix", "digest")
+    many = rows.count()
+    share = min(1.0, _KEYS * sum(hot.values()) / many)
+    keys: dict[int, list[tuple]] = {k: [] for k in hot}
+    for r in rows.sample(share, 1).collect():
+        keys[r["k"]].append((r["prefix"], r["digest"]))
+    return {k: [own[len(own) * i // parts] for i in range(1, parts)] if (own := sorted(keys[k])) else [] for k, parts in hot.items()}
 
 
 def _with_next(docs: DataFrame) -> DataFrame:
     """The documents in groups of consecutive ids, each group followed by the first document of the next
     one (marked ``extra``; after the last group: of the first), so that a task which reads a group in order
-    knows each document's successor. One shuffle; only the groups' bounds and first ids, a few for each
-    shuffle partition, pass through the driver. NULL ids come first; equal ids are ordered by text."""
+    knows each document's successor. One shuffle; only the groups' bounds and first keys, a few for each
+    shuffle partition, pass through the driver. NULL ids come first; equal ids are ordered by text. An id with more
+    rows than a group's share is parted into several groups, its rows ordered by the first characters of their texts,
+    then by digest; of those only rows like a group's first go to the group before."""
     spark = docs.sparkSession
     least = -(1 << 63)
     docs = docs.withColumn("k", F.coalesce("doc_id", F.lit(least)))
     n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     bounds = docs.agg(F.percentile_approx("k", [i / n for i in range(1, n)], 10 * n).alias("b")).first()["b"] or []
-    edges = np.unique(np.array(bounds, np.int64))
-
-    group = _group_of(edges)
-    heads = {r["g"]: r["k"] for r in docs.groupBy(group("k").alias("g")).agg(F.min("k").alias("k")).collect()}
-    order = sorted(heads)
-    heads = spark.createDataFrame([(heads[g], order[i - 1]) for i, g in enumerate(order)], "k bigint, before int")
+    edges, counts = np.unique(np.array(bounds, np.int64), return_counts=True)
+    hot = {k: c for k, c in zip(edges.tolist(), counts.tolist(), strict=True) if c > 1}  # fewer than n
+    is_hot = F.col("k").isin(list(hot)) if hot else F.lit(False)
+    text = F.coalesce("text", F.lit(""))
+    docs = docs.withColumns({"prefix": F.when(is_hot, F.substring(text, 1, PREFIX)), "digest": F.when(is_hot, F.xxhash64(text))})
+
+    # rows that are alike are told apart by their place in the input
+    tie = F.when(is_hot, F.abs(F.xxhash64(F.monotonically_increasing_id()) % (1 << 31)))
+    placed = docs.withColumn("g", _place_of(edges, _parts(docs, hot))("k", "prefix", "digest", F.coalesce(tie, F.lit(0))))
+    firsts = placed.groupBy("g").agg(F.min("k").alias("k"), F.min(F.when(is_hot, F.struct("k", "prefix", "digest"))).alias("own")).collect()
+    firsts = {r["g"]: (r["k"], *((r["own"]["prefix"], r["own"]["digest"]) if r["own"] and r["own"]["k"] == r["k"] else (None, None))) for r in firsts}
+    order = sorted(firsts)
+    heads = spark.createDataFrame([(g, *firsts[g], order[i - 1]) for i, g in enumerate(order)], "hg bigint, hk bigint, hp string, hd bigint, before bigint")
     # at most one row for each group, so it may be broadcast whatever the corpus
-    placed = docs.withColumn("g", group("k")).join(F.broadcast(heads), "k", "left")
+    same = (F.col("g") == F.col("hg")) & (F.col("k") == F.col("hk")) & F.col("prefix").eqNullSafe(F.col("hp")) & F.col("digest").eqNullSafe(F.col("hd"))
+    placed = placed.join(F.broadcast(heads), same, "left")
     to = F.array(F.struct(F.col("g").alias("g"), F.lit(False).alias("extra")), F.struct(F.col("before").alias("g"), F.lit(True).alias("extra")))
     to = F.explode(F.filter(to, lambda x: x["g"].isNotNull()))
-    return placed.select("doc_id", "text", "k", to.alias("to")).select("to.g", "to.extra", "doc_id", "k", "text")
+    return placed.select("doc_id", "text", "k", "prefix", "digest", to.alias("to")).select("to.g", "to.extra", "doc_id", "k", "prefix", "digest", "text")
 
 
 def versions(docs: DataFrame) -> DataFrame:
@@ -311,5 +355,5 @@ def versions(docs: DataFrame) -> DataFrame:
                 yield _results(ids, texts, firsts)
             carry = (g[-1:], extra[-1:], ids[-1:], texts[-1:])
 
-    ordered = spread.repartition("g").sortWithinPartitions("g", "extra", "k", "text")
+    ordered = spread.repartition("g").sortWithinPartitions("g", "extra", "k", "prefix", "digest", "text")
     return ordered.select("g", "extra", "doc_id", "text").mapInArrow(run, RESULT)

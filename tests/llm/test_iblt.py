@@ -95,3 +95,21 @@ def test_compare_tells_what_was_removed_and_added(spark):
     signed = lambda c: sorted(np.array(list(c), np.uint64).view(np.int64).tolist())
     assert got[1]["removed"] == signed(a - b) and got[1]["added"] == signed(b - a) and 0 < got[1]["likeness"] < 1
     assert (got[2]["likeness"], got[3]["likeness"], got[3]["removed"]) == (1.0, 1.0, [])
+
+
+@pytest.mark.parametrize("same", [False, True])
+def test_a_hot_id_is_parted(spark, same):
+    """A third of the rows without id, with texts of their own or all alike: no group has over twice its share, but for
+    the rows like a neighbour's first, and each row is followed by the next in order."""
+    n = 3000
+    rows = [(None if i % 3 == 0 else i, "the same text" if same and i % 3 == 0 else f"{i * 7919 % n:05d} words of this text {i}") for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    sizes = {(r["g"], r["extra"]): r["count"] for r in B._with_next(docs).groupBy("g", "extra").count().collect()}
+    share = n / (4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    own = {g: c for (g, extra), c in sizes.items() if not extra}
+    assert sum(own.values()) == n and max(own.values()) <= 2 * share
+    assert all(c == 1 for (_, extra), c in sizes.items() if extra) or (same and all(c <= 2 * share for c in sizes.values()))
+    got = B.versions(docs).collect()
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    want = sorted((str(d), hashlib.sha256((t[:len(t) - len(t) // 4] + x[:len(t) // 4]).encode()).hexdigest()) for (d, t), (_, x) in zip(ordered, ordered[1:] + ordered[:1], strict=True))
+    assert sorted((str(r["doc_id"]), r["edited_sha256"]) for r in got) == want
