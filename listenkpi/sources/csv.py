@@ -104,9 +104,13 @@ def folder_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     return _headers(spark, [normalize_path(p) for p in ([paths] if isinstance(paths, str) else paths)], True)
 
 
+def _folder(path: Column) -> Column:
+    return F.regexp_replace(path, "/[^/]*$", "")
+
+
 def _folders(files: DataFrame) -> list[str]:
     """The folders of ``files`` (``path``)."""
-    return sorted(r["folder"] for r in files.select(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).distinct().collect())
+    return sorted(r["folder"] for r in files.select(_folder(F.col("path")).alias("folder")).distinct().collect())
 
 
 def file_headers(files: DataFrame) -> DataFrame:
@@ -183,10 +187,11 @@ def read_files_by_header(spark: SparkSession, headers: DataFrame, multi_line: bo
     """Union by column name of the files of ``headers`` (``path, header``), by one scan of their folders; None
     without any file. The driver sees the folders and the distinct headers. ``keep`` adds each row's ``_path``
     and ``_header``."""
-    known = [r["header"] for r in headers.where(F.size("header") > 0).select("header").distinct().collect()]
-    if not known:
+    told = headers.where(F.size("header") > 0).select(_folder(F.col("path")).alias("folder"), "header").distinct().collect()
+    if not told:
         return None
-    out = _by_position(spark, headers, known, _folders(headers), False, multi_line, only=True, keep=keep)
+    known = {tuple(r["header"]) for r in told}
+    out = _by_position(spark, headers, sorted(known), sorted({r["folder"] for r in told}), False, multi_line, only=True, keep=keep)
     return replace_na_tokens(out) if na_tokens else out
 
 

@@ -154,16 +154,19 @@ def process_batch(spark: SparkSession, root: str, songs: DataFrame, replace: boo
                 return
             plays = MonthTable(spark, paths(root)["plays"])
             name = f"b{batch_id:012d}"
-            drops = stage(plays.read_folder(name).select("_drop").distinct(), "drops", spark)
+            found = lambda df: df.select("_drop", F.col("_date").alias("date")).distinct()
+            own_dates = stage(found(plays.read_folder(name)), "dates", spark)
             # files of one drop may have come in earlier batches: their dates may change with it
+            drops = own_dates.select("_drop").distinct()
             batches = [r["batch_id"] for r in drop_headers(spark, root, drops).select("batch_id").distinct().collect()]
-            folders = [plays.read_folder(f"b{b:012d}") for b in batches]
-            alone = batches == [batch_id]
-            rows = plays.read()  # of a compacted table
-            if all(f is not None for f in folders):
-                rows = reduce(DataFrame.unionByName, folders)
-            dates = stage(rows.join(drops, "_drop", "left_semi").select(F.col("_date").alias("date")).distinct(), "dates", spark)
-            months = own if alone else [r["m"] for r in dates.select(month_of(F.col("date")).alias("m")).distinct().collect()]
+            if batches == [batch_id]:
+                dates, months = own_dates.select("date").distinct(), own
+            else:
+                folders = [plays.read_folder(f"b{b:012d}") for b in batches]
+                # a compacted table has no folders of batches
+                rows = plays.read() if any(f is None for f in folders) else reduce(DataFrame.unionByName, folders)
+                dates = stage(found(rows).join(drops, "_drop", "left_semi").select("date").distinct(), "dates", spark)
+                months = [r["m"] for r in dates.select(month_of(F.col("date")).alias("m")).distinct().collect()]
             recompute(spark, root, songs, dates, months, replace)
     return run
 
