@@ -108,14 +108,14 @@ def _folder(path: Column) -> Column:
     return F.regexp_replace(path, "/[^/]*$", "")
 
 
-def _folders(files: DataFrame) -> list[str]:
+def file_folders(files: DataFrame) -> list[str]:
     """The folders of ``files`` (``path``)."""
     return sorted(r["folder"] for r in files.select(_folder(F.col("path")).alias("folder")).distinct().collect())
 
 
 def file_headers(files: DataFrame) -> DataFrame:
     """``path, header`` for each row of ``files`` (``path``), found by a scan of their folders."""
-    folders = _folders(files)
+    folders = file_folders(files)
     spark = files.sparkSession
     if not folders:
         return spark.createDataFrame([], HEADER_SCHEMA)

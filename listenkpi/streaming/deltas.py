@@ -26,17 +26,19 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from listenkpi.operators.enrich import SONG_FIELDS, listen_table
 from listenkpi.operators.kpis import KEYS, kpis_from_totals
 from listenkpi.operators.listeners import count_listeners, listener_bitmaps, merge_bitmaps, number_listeners
-from listenkpi.operators.quality import clean_plays
+from listenkpi.operators.quality import clean_plays, clean_songs
 from listenkpi.operators.rank import top_genres, top_genres_list, top_songs, top_songs_list
 from listenkpi.schemas import GENRE_LIST, KPI_COLUMNS, SONG_LIST, TOP_GENRES, TOP_SONGS
 from listenkpi.session import ensure_defaults, scratch_scope
-from listenkpi.sources.csv import normalize_path
+from listenkpi.sources.csv import file_folders, folder_headers, normalize_path, read_files_by_header
 from listenkpi.sources.months import MonthTable, month_of
 from listenkpi.sources.sinks import keyed_upsert, null_safe_equal, read_keyed, stage
+from listenkpi.streaming.incremental import checked, play_files
 
 _NAME = [*KEYS, "track_name"]
 
@@ -100,6 +102,31 @@ def _refresh(spark: SparkSession, p: dict[str, str], counts: MonthTable, marks:
     keyed_upsert(top_genres_list(ranked), p["days"], replaced=dates)
 
 
+def process_drops(spark: SparkSession, root: str, songs: DataFrame, na_tokens: bool = True):
+    """The ``foreachBatch`` function of ``delta_stream``. ``songs`` is clean."""
+    def run(files: DataFrame, batch_id: int) -> None:
+        paths = files.select("path")
+        for folder in file_folders(paths):
+            drop = folder.rsplit("/", 1)[-1]
+            headers = checked(folder_headers(spark, folder)).where("reason IS NULL").select("path", "header")
+            plays = read_files_by_header(spark, headers, na_tokens=na_tokens)
+            if plays is not None:
+                put_drop(spark, root, drop, plays, songs, version=batch_id)
+    return run
+
+
+def delta_stream(spark: SparkSession, source_dir: str, songs: DataFrame, root: str, na_tokens: bool = True) -> StreamingQuery:
+    """Start the query that keeps the KPIs at ``root`` by deltas: each new play file's drop (its folder) is put again, whole,
+    in place of what it had added, so results don't depend on how files come in batches. Processes what is there and
+    stops. Files must stay in their folders while their drop may still grow; a file without a header or a required
+    column is passed over. The drops of a batch are put one after the other."""
+    ensure_defaults(spark)
+    state = normalize_path(root)
+    clean_songs(songs).select(*SONG_FIELDS).write.mode("overwrite").parquet(f"{state}/songs")
+    writer = play_files(spark, source_dir).writeStream.foreachBatch(process_drops(spark, root, spark.read.parquet(f"{state}/songs"), na_tokens))
+    return writer.option("checkpointLocation", f"{state}/_checkpoint").trigger(availableNow=True).start()
+
+
 def read_delta_kpis(spark: SparkSession, root: str) -> DataFrame:
     """The KPI table, in the job's column order."""
     p = _paths(root)

@@ -76,7 +76,7 @@ def drop_of(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -2)
 
 
-def _checked(headers: DataFrame) -> DataFrame:
+def checked(headers: DataFrame) -> DataFrame:
     """``path, header, reason``: why a file is set aside (NULL: it is taken)."""
     lacking = F.array_except(F.array(*[F.lit(c) for c in PLAYS_REQUIRED]), F.col("header"))
     reason = F.when(F.size("header") == 0, "no header").when(F.size(lacking) > 0, F.concat(F.lit("missing: "), F.array_join(lacking, ", ")))
@@ -92,7 +92,7 @@ def store_batch(spark: SparkSession, files: DataFrame, batch_id: int, root: str,
     """Note the files of the batch and store the plays of the good ones; returns the months of its plays, or
     None if no file was taken. Idempotent for a batch id."""
     p = paths(root)
-    noted = _checked(file_headers(files)).withColumns({"drop": _digest(drop_of(F.col("path"))), "batch_id": F.lit(batch_id).cast("bigint")})
+    noted = checked(file_headers(files)).withColumns({"drop": _digest(drop_of(F.col("path"))), "batch_id": F.lit(batch_id).cast("bigint")})
     noted = stage(noted, "headers", spark)
     # a retried batch replaces its own folders
     noted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("drop", "batch_id").parquet(p["files"])

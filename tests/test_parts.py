@@ -143,3 +143,26 @@ def test_malformed_rows_by_file(spark, tmp_path):
     (tmp_path / "none").mkdir()
     with pytest.raises(ValueError):
         C.malformed_rows(spark, str(tmp_path / "none"), "plays")
+
+
+def test_delta_stream_takes_drops_whole(spark, songs, tmp_path):
+    head, src, root = "user_id,track_id,listen_time\n", tmp_path / "in", scratch_path(spark, "t-delta-stream")
+    a = [("u1", "t1", "2024-01-01 10:00:00"), ("u2", "t2", "2024-01-02 10:00:00")]
+    b, late = [("u3", "t1", "2024-01-01 11:00:00")], [("u1", "t1", "2024-01-01 10:00:00"), ("u4", "t2", "2024-01-01 12:00:00")]
+
+    def drop(folder, name, rows_, header=head):
+        os.makedirs(src / folder, exist_ok=True)
+        (src / folder / name).write_text(header + "".join(",".join(r) + "\n" for r in rows_))
+
+    def run(plays):
+        q = deltas.delta_stream(spark, str(src) + "/*", songs, root)
+        q.awaitTermination()
+        assert q.exception() is None
+        assert _kpis(deltas.read_delta_kpis(spark, root)) == _kpis(daily_kpis(spark.createDataFrame(plays, PLAYS), songs))
+
+    drop("a", "1.csv", a)
+    drop("b", "1.csv", b)
+    drop("b", "bad.csv", [("u9", "t1")], "user_id,track_id\n")
+    run(a + b)
+    drop("a", "2.csv", late)  # a later file of a drop, with a copy of one of its plays
+    run(a + b + late)
