@@ -8,6 +8,13 @@ last return the columns of ``documents``.
 3. ``decontamination``: documents that hold benchmark passages go.
 4. ``pseudonyms``: personal data in the texts is replaced; ``n_chars`` follows the new text.
 5. ``mixing``: for each document its domain posteriors and rate; one row for each document kept.
+
+Defined results: a NULL or empty text is not toxic (unless all labels are), has fingerprint zero, holds no benchmark passage, has
+nothing to replace and 0 tokens; of the documents of fingerprint zero the one of the least id stays. Rows without ``doc_id``
+are judged by their text and stay unless toxic or contaminated. Where one ``doc_id`` names several texts, each is judged by
+itself; of rows that repeat an id and its text one stays. Texts of any length are read whole. Further columns stay, also
+where they bear names that a stage uses inside; the last stage's own columns replace those of the same name. An empty table
+gives an empty one. With no labels nothing is toxic and each domain's share is even.
 """
 
 from __future__ import annotations
