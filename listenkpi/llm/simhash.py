@@ -223,21 +223,22 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def grouped(own: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """``own`` (a written table with ``doc_id, fp``) with ``component_id``, the least doc_id reachable."""
+    """``own`` (a written table with ``doc_id, fp``) with ``component_id``, the least doc_id reachable, and ``group``, a
+    number that no other component has (one doc_id may be the least of several, where it names several texts)."""
     reps, _ = write_table(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "vertices")
     label = components(near_pairs(reps.select("fp"), max_bits)).select(F.col("v").alias("fp"), "label")
     linked, _ = write_table(label.join(reps, "fp"), "linked")
     roots = linked.groupBy("label").agg(F.min("least").alias("reached"))
-    ids, _ = write_table(reps.join(linked.join(roots, "label").select("fp", "reached"), "fp", "left")
-                         .select("fp", F.coalesce("reached", "least").alias("component_id")), "components")
-    return own.join(ids, "fp", "left").select(*own.columns, "component_id")
+    ids, _ = write_table(reps.join(linked.join(roots, "label").select("fp", "reached", "label"), "fp", "left")
+                         .select("fp", F.coalesce("reached", "least").alias("component_id"), F.coalesce("label", "fp").alias("group")), "components")
+    return own.join(ids, "fp", "left").select(*own.columns, "component_id", "group")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``doc_id, fp, component_id`` for each row of ``docs`` (``doc_id``, ``text``): the fingerprint, and the
     least doc_id reachable by links of at most ``max_bits`` bits."""
     own, _ = write_table(with_fingerprints(id_text(docs), shingle), "fingerprints")
-    return grouped(own, max_bits)
+    return grouped(own, max_bits).drop("group")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
@@ -248,9 +249,11 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     digest = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
     own, _ = write_table(with_fingerprints(id_text(docs).withColumn("digest", digest), shingle), "fingerprints")
     groups = grouped(own, max_bits).where("doc_id IS NOT NULL")
-    first = groups.where("doc_id = component_id").groupBy("component_id").agg(F.min("digest").alias("first"))
-    judged, _ = write_table(groups.groupBy("doc_id", "digest", "component_id").count().join(first, "component_id", "left")
-                            .select("doc_id", "digest", "count", ((F.col("doc_id") == F.col("component_id")) & (F.col("digest") == F.col("first"))).alias("stays")), "judged")
+    # only rows of a group's least id can stay: a group's other rows needn't meet
+    first = groups.where("doc_id = component_id").groupBy("group", "doc_id").agg(F.min("digest").alias("digest"))
+    first = first.select("doc_id", "digest", F.lit(True).alias("first"))
+    judged = groups.groupBy("doc_id", "digest").count().join(first, ["doc_id", "digest"], "left")
+    judged, _ = write_table(judged.select("doc_id", "digest", "count", F.coalesce("first", F.lit(False)).alias("stays")), "judged")
     key, mark = "gone_id", "gone_digest"
     while key in docs.columns or mark in docs.columns:
         key, mark = f"{key}_", f"{mark}_"

@@ -77,6 +77,13 @@ def test_one_id_with_different_texts_loses_none(spark):
     assert sorted((r["doc_id"], r["text"] or "") for r in kept.collect()) == [(3, a), (5, b), (7, c), (9, "")]
 
 
+def test_one_id_that_is_the_least_of_several_groups(spark):
+    a, b = "the first text has words of its own", "nothing in common with that other one at all"
+    rows = [(5, a), (5, b), (6, a), (8, b), (8, "a third body which is unlike both"), (5, b)]
+    kept = S.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(tuple(r) for r in kept.collect()) == [(5, b), (5, a), (8, "a third body which is unlike both")]
+
+
 def test_meetings_do_not_grow_with_the_square(spark):
     """Random fingerprints: four times as many meet about as many others each."""
     each = {}
