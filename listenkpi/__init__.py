@@ -4,7 +4,8 @@ Public entry points (DataFrame in, DataFrame out unless noted) are re-exported h
 """
 
 from listenkpi.operators.diagnostics import ambiguous_tracks, plays_without_song
-from listenkpi.operators.enrich import daily_plays, hot_tracks, join_songs, join_songs_hot, listen_table, plays_with_songs, with_date
+from listenkpi.operators.enrich import daily_plays, join_songs, listen_table, plays_with_songs, with_date
+from listenkpi.operators.heavy import hot_tracks, join_songs_hot
 from listenkpi.operators.jobs import daily_kpis, daily_kpis_per_play, kpis_from_clean
 from listenkpi.operators.kpis import genre_kpis, genre_kpis_per_play
 from listenkpi.operators.listeners import count_listeners, listener_bitmaps, merge_bitmaps, number_listeners

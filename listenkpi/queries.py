@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from listenkpi.operators import diagnostics, enrich, jobs, kpis, listeners, quality, rank
+from listenkpi.operators import diagnostics, enrich, heavy, jobs, kpis, listeners, quality, rank
 from listenkpi.schemas import KPI_COLUMNS
 from listenkpi.session import ensure_defaults, scratch_path
 from listenkpi.sources import csv as csv_source
@@ -170,7 +170,7 @@ def plays_with_songs_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     plays, songs, _ = _domain(spark, sf_dir)
     hot = F.when((F.col("user_id") + F.col("track_id")) % 3 == 0, F.lit(1).cast("bigint")).otherwise(F.col("track_id"))
     plays = sinks.stage(quality.clean_plays(plays.withColumn("track_id", hot)), "plays")
-    return enrich.with_date(enrich.join_songs_hot(plays, quality.clean_songs(songs)))
+    return enrich.with_date(heavy.join_songs_hot(plays, quality.clean_songs(songs)))
 
 
 def observed_profile(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from conftest import SF0001, rows
 from pyspark.sql import functions as F
 
 from listenkpi import clean_songs, daily_kpis
-from listenkpi.operators import enrich, listeners, numbering, quality
+from listenkpi.operators import enrich, heavy, listeners, numbering, quality
 from listenkpi.plans import inspect
 from listenkpi.session import scratch_path
 from listenkpi.sources import csv as C
@@ -38,16 +38,16 @@ def no_broadcast(spark):
 
 def test_hot_tracks_are_broadcast_and_no_song_row_is_repeated(spark, songs, no_broadcast):
     plays = spark.createDataFrame([(f"u{i}", "t1" if i % 3 == 0 else f"x{i}", "2024-01-01") for i in range(900)] + [("u", None, "2024-01-01"), ("v", "t2", "2024-01-01")], PLAYS)
-    assert [r["track_id"] for r in enrich.hot_tracks(plays, 0.05).collect()] == ["t1"]
-    got, want = enrich.join_songs_hot(plays, songs, 0.05), enrich.join_songs(plays, songs)
+    assert [r["track_id"] for r in heavy.hot_tracks(plays, 0.05).collect()] == ["t1"]
+    got, want = heavy.join_songs_hot(plays, songs, 0.05), enrich.join_songs(plays, songs)
     cols = want.columns
     plan = inspect.plan_text(got, "simple")
     assert got.columns == cols and rows(got, *cols) == rows(want, *cols) and got.count() == 300 * 2 + 602
     # the hot tracks' songs by broadcast, the rest by key; nothing is exploded
     assert plan.count("SortMergeJoin") == 1 and "Generate" not in plan and "LeftOuter, BuildRight" in plan
-    many = enrich.join_songs_hot(plays, songs, 0.05, most_rows=1)  # too many rows for a hint
+    many = heavy.join_songs_hot(plays, songs, 0.05, most_rows=1)  # too many rows for a hint
     assert inspect.plan_text(many, "simple").count("SortMergeJoin") == 2 and rows(many, *cols) == rows(want, *cols)
-    assert enrich.join_songs_hot(plays.limit(0), songs).count() == 0
+    assert heavy.join_songs_hot(plays.limit(0), songs).count() == 0
 
 
 def test_numbers_are_dense_and_follow_the_order(spark):
