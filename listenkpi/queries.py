@@ -285,7 +285,7 @@ def ordered_kpi_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     kpis_ = jobs.daily_kpis(plays, songs, ordered=False)
     export.write_ordered_csv(kpis_, path, jobs.final_order())
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kpis_.schema.fields)
-    return spark.read.schema(f"{schema}, row bigint").option("header", True).option("escape", '"').csv(path)
+    return spark.read.schema(f"{schema}, row bigint").option("header", True).option("escape", '"').option("nullValue", export.NULL).csv(path)
 
 
 def column_gate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,9 +22,10 @@ from listenkpi.session import scratch_path, scratch_scope
 from listenkpi.sources.months import MonthTable, month_of
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Write ``df`` as CSV with a header row; quotes and embedded newlines are escaped."""
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null: str = "") -> str:
+    """Write ``df`` as CSV with a header row; quotes and embedded newlines are escaped. ``null`` stands for NULL: where
+    empty texts must be told from it, not the empty string."""
+    df.write.mode(mode).option("header", True).option("escape", '"').option("nullValue", null).csv(path)
     return path
 
 
