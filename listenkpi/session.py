@@ -48,6 +48,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in Spark's file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a file or folder through Spark's file system; nothing happens if it isn't there."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -52,9 +52,14 @@ def normalize_path(path: str) -> str:
     return path.rstrip("/") or "/"
 
 
+def _decoded(path: Column) -> Column:
+    """A percent-encoded path, as the file sources' ``path`` column names it."""
+    return F.when(path.contains("%"), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
+
+
 def file_path() -> Column:
     """The row's file, as the file sources' ``path`` column names it (``_metadata`` has it percent-encoded)."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return _decoded(F.col("_metadata.file_path"))
 
 
 def list_files(spark: SparkSession, paths: str | Sequence[str], suffix: str = ".csv") -> DataFrame:
@@ -91,10 +96,11 @@ def _headers(spark: SparkSession, paths: Sequence[str], deep: bool) -> DataFrame
     lines = (
         spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", str(deep).lower()).text(list(paths))
         .where("_metadata.file_block_start = 0")
-        .select(file_path().alias("path"), F.regexp_replace("value", "^\ufeff", "").alias("line"), F.monotonically_increasing_id().alias("at"))
+        .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"), F.monotonically_increasing_id().alias("at"))
     )
-    blank = F.col("line").rlike(r'^\s*(?:"")?\s*$')
-    first = lines.groupBy("path").agg(F.min_by("line", F.when(~blank, F.col("at"))).alias("line"))
+    blank = F.col("line").rlike('^\ufeff?\\s*(?:"")?\\s*$')
+    first = lines.groupBy("file").agg(F.min_by("line", F.when(~blank, F.col("at"))).alias("line"))
+    first = first.select(_decoded(F.col("file")).alias("path"), F.regexp_replace("line", "^\ufeff", "").alias("line"))
     return first.select("path", F.coalesce(_names(F.col("line")), F.array().cast("array<string>")).alias("header"))
 
 
@@ -113,9 +119,10 @@ def file_folders(files: DataFrame) -> list[str]:
     return sorted(r["folder"] for r in files.select(_folder(F.col("path")).alias("folder")).distinct().collect())
 
 
-def file_headers(files: DataFrame) -> DataFrame:
-    """``path, header`` for each row of ``files`` (``path``), found by a scan of their folders."""
-    folders = file_folders(files)
+def file_headers(files: DataFrame, folders: list[str] | None = None) -> DataFrame:
+    """``path, header`` for each row of ``files`` (``path``), found by a scan of their ``folders`` (found by a job, if not
+    given)."""
+    folders = file_folders(files) if folders is None else folders
     spark = files.sparkSession
     if not folders:
         return spark.createDataFrame([], HEADER_SCHEMA)
@@ -151,9 +158,10 @@ def _grouped(headers: DataFrame) -> dict[tuple[str, ...], int]:
 
 
 def _by_position(spark: SparkSession, headers: DataFrame, known: Sequence[Sequence[str]], scanned: Sequence[str], deep: bool,
-                 multi_line: bool = False, only: bool = False, keep: bool = False) -> DataFrame:
+                 multi_line: bool = False, only: bool = False, keep: dict[str, Column] | None = None) -> DataFrame:
     """One CSV scan of the folders ``scanned``, whose files have the headers that ``headers`` (``path, header``) tells, all of
-    them in ``known``. ``only``: files that ``headers`` doesn't name are left out; otherwise they are an error."""
+    them in ``known``. ``only``: files that ``headers`` doesn't name are left out; otherwise they are an error. ``keep``:
+    further columns of each row, worked out from its file's ``path`` and ``header``."""
     names = list(dict.fromkeys(c for header in sorted(known) for c in header))
     width = max(map(len, known))
     cells = [f"_{i}" for i in range(width)]
@@ -172,21 +180,22 @@ def _by_position(spark: SparkSession, headers: DataFrame, known: Sequence[Sequen
     # where each column stands under a header: worked out once for each file, not for each row
     wanted = F.array(*[F.lit(c) for c in names])
     places = F.transform(wanted, lambda c: (F.array_position(F.col("header"), c) - 1).cast("int"))
-    told = headers.where(F.size("header") > 0).select(F.col("path").alias("_path"), places.alias("_places"), *([F.col("header").alias("_header")] if keep else []))
+    kept = [c.alias(name) for name, c in (keep or {}).items()]
+    told = headers.where(F.size("header") > 0).select(F.col("path").alias("_path"), places.alias("_places"), *kept)
     rows = rows.join(told, "_path", "inner" if only else "left")
     if not only:
         unknown = F.raise_error(F.concat(F.lit("no header was read for "), F.col("_path"))).cast("array<int>")
         rows = rows.withColumn("_places", F.coalesce("_places", unknown))
     place = lambda k: F.get("_places", F.lit(k))
     picked = [F.when(place(k) >= 0, F.get("_cells", place(k))).alias(c) for k, c in enumerate(names)]
-    return rows.select(*picked, *(["_path", "_header"] if keep else []))
+    return rows.select(*picked, *(keep or {}))
 
 
 def read_files_by_header(spark: SparkSession, headers: DataFrame, multi_line: bool = False, na_tokens: bool = True,
-                         keep: bool = False) -> DataFrame | None:
+                         keep: dict[str, Column] | None = None) -> DataFrame | None:
     """Union by column name of the files of ``headers`` (``path, header``), by one scan of their folders; None
-    without any file. The driver sees the folders and the distinct headers. ``keep`` adds each row's ``_path``
-    and ``_header``."""
+    without any file. The driver sees the folders and the distinct headers. ``keep`` adds columns worked out, once for
+    each file, from its ``path`` and ``header``."""
     told = headers.where(F.size("header") > 0).select(_folder(F.col("path")).alias("folder"), "header").distinct().collect()
     if not told:
         return None

@@ -33,10 +33,16 @@ class MonthTable:
 
     def commit(self) -> dict:
         """The pointer: ``months`` (month -> folders) and ``schema``; empty before the first write."""
-        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/current.json")
-        if not at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        jvm = self.spark.sparkContext._jvm
+        at = jvm.org.apache.hadoop.fs.Path(f"{self.path}/current.json")
+        files = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not files.exists(at):
             return {"months": {}, "schema": None}
-        return json.loads(self.spark.read.option("wholetext", True).text(at.toString()).first()["value"])
+        stream = files.open(at)  # one small file: no Spark job
+        try:
+            return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
 
     def _put(self, months: dict[str, list[str]], schema: T.StructType) -> None:
         """Replace the pointer: a draft, renamed over it."""
@@ -63,6 +69,11 @@ class MonthTable:
         """The current folders whose name begins with ``prefix``."""
         return sorted({f for told in self.commit()["months"].values() for f in told if f.startswith(prefix)})
 
+    def folders_of(self, months: Sequence[str]) -> set[str]:
+        """The current folders that hold rows of ``months``."""
+        told = self.commit()["months"]
+        return {f for m in months for f in told.get(m, [])}
+
     def holds(self, folder: str) -> bool:
         return folder in self.folders(folder)
 

@@ -64,12 +64,14 @@ def null_safe_equal(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> C
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def keyed_upsert(df: DataFrame, path: str, keys: Sequence[str] = ("date",), replaced: DataFrame | None = None) -> str:
+def keyed_upsert(df: DataFrame, path: str, keys: Sequence[str] = ("date",), replaced: DataFrame | None = None,
+                 months: Sequence[str] | None = None) -> str:
     """Put ``df`` into the keyed table at ``path``: stored rows with a key of ``df`` (NULL is a key like any
     other) are replaced, others stay. ``keys`` begins with ``date``.
 
     ``replaced``: the keys whose stored rows go, where the caller knows them: those of ``df``, and any for
     which it has no row (a date recomputed to nothing). ``df`` is then computed once, in the write itself.
+    ``months``: the months of the keys put, where the caller knows them too; otherwise they are found by a job.
     Only the months of the change are read and written; the driver sees their names, no dates. One writer at
     a time (see ``MonthTable``)."""
     if not keys or keys[0] != "date":
@@ -79,7 +81,8 @@ def keyed_upsert(df: DataFrame, path: str, keys: Sequence[str] = ("date",), repl
     with scratch_scope(spark):
         new = df if replaced is not None else stage(df, "upsert-new", spark)  # read for its keys and for the merge
         put = (new if replaced is None else replaced).select(*keys).distinct()
-        touched = [r["m"] for r in put.select(month_of(F.col("date")).alias("m")).distinct().collect()]
+        touched = list(months) if months is not None else [
+            r["m"] for r in put.select(month_of(F.col("date")).alias("m")).distinct().collect()]
         merged = new
         if table.commit()["schema"] is not None:
             old = table.read(touched)

@@ -28,6 +28,7 @@ distinct headers, one digest for each drop that has plays of the touched dates,
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,8 +40,8 @@ from listenkpi.operators.enrich import SONG_FIELDS
 from listenkpi.operators.jobs import kpis_from_clean
 from listenkpi.operators.quality import clean_songs
 from listenkpi.schemas import KPI_COLUMNS, PLAYS_REQUIRED
-from listenkpi.session import ensure_defaults, scratch_scope
-from listenkpi.sources.csv import file_headers, normalize_path, read_files_by_header
+from listenkpi.session import ensure_defaults, path_exists, scratch_scope
+from listenkpi.sources.csv import file_folders, file_headers, normalize_path, read_files_by_header
 from listenkpi.sources.months import MonthTable, month_of
 from listenkpi.sources.sinks import keyed_upsert, null_safe_equal, read_keyed, stage
 
@@ -88,33 +89,42 @@ def _digest(drop: Column) -> Column:
     return F.md5(drop)
 
 
-def store_batch(spark: SparkSession, files: DataFrame, batch_id: int, root: str, na_tokens: bool = True) -> list[str] | None:
-    """Note the files of the batch and store the plays of the good ones; returns the months of its plays, or
-    None if no file was taken. Idempotent for a batch id."""
-    p = paths(root)
-    noted = checked(file_headers(files)).withColumns({"drop": _digest(drop_of(F.col("path"))), "batch_id": F.lit(batch_id).cast("bigint")})
-    noted = stage(noted, "headers", spark)
+def store_batch(spark: SparkSession, files: DataFrame, batch_id: int, root: str, na_tokens: bool = True) -> tuple[list[str], list[str]]:
+    """Note the files of the batch and store the plays of the good ones; returns the months of its plays (none if
+    no file was taken) and the digests of its drops. Idempotent for a batch id."""
+    p, folders = paths(root), file_folders(files)
+    noted = checked(file_headers(files, folders)).withColumns({"drop": _digest(drop_of(F.col("path"))), "batch_id": F.lit(batch_id).cast("bigint")})
     # a retried batch replaces its own folders
     noted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("drop", "batch_id").parquet(p["files"])
-    plays = read_files_by_header(spark, noted.where("reason IS NULL").select("path", "header"), na_tokens=na_tokens, keep=True)
+    drops = drop_names(folders)
+    good = _noted(spark, root, drops).where(F.col("batch_id") == batch_id).where("reason IS NULL").select("path", "header")
+    of_file = {"_drop": drop_of(F.col("path")), "_header": F.array_sort("header")}
+    plays = read_files_by_header(spark, good, na_tokens=na_tokens, keep=of_file)
     if plays is None:
-        return None
+        return [], drops
     ts = parse_time("listen_time", plays.schema["listen_time"].dataType)
-    rows = plays.withColumns({"_date": F.to_date(ts), "_drop": drop_of(F.col("_path")), "_header": F.array_sort("_header")}).drop("_path")
-    return MonthTable(spark, p["plays"]).append(rows, "_date", f"b{batch_id:012d}")
+    return MonthTable(spark, p["plays"]).append(plays.withColumn("_date", F.to_date(ts)), "_date", f"b{batch_id:012d}"), drops
 
 
 _FILES = "path string, header array<string>, reason string, drop string, batch_id bigint"
 
 
-def drop_headers(spark: SparkSession, root: str, drops: DataFrame) -> DataFrame:
-    """``_drop, header, batch_id`` of the files taken of ``drops`` (``_drop``): their column sets. Only those drops' folders
-    are listed and read."""
+def drop_names(folders: list[str]) -> list[str]:
+    """The digests of the drops that lie in ``folders``."""
+    return sorted({hashlib.md5(f.rsplit("/", 1)[-1].encode()).hexdigest() for f in folders})
+
+
+def _noted(spark: SparkSession, root: str, drops: list[str]) -> DataFrame:
+    """The files noted of ``drops`` (digests). Only those drops' folders are listed and read; a drop of empty files only
+    has none."""
     at = paths(root)["files"]
-    own = [f"{at}/drop={r['d']}" for r in drops.select(_digest(F.col("_drop")).alias("d")).distinct().collect()]
-    if not own:
-        return spark.createDataFrame([], "_drop string, header array<string>, batch_id bigint")
-    good = spark.read.schema(_FILES).option("basePath", at).parquet(*own).where("reason IS NULL")
+    own = [folder for d in drops if path_exists(spark, folder := f"{at}/drop={d}")]
+    return spark.read.schema(_FILES).option("basePath", at).parquet(*own) if own else spark.createDataFrame([], _FILES)
+
+
+def drop_headers(spark: SparkSession, root: str, drops: list[str]) -> DataFrame:
+    """``_drop, header, batch_id`` of the files taken of ``drops`` (digests): their column sets."""
+    good = _noted(spark, root, drops).where("reason IS NULL")
     return good.select(drop_of(F.col("path")).alias("_drop"), F.array_sort("header").alias("header"), "batch_id").distinct()
 
 
@@ -130,17 +140,21 @@ def _complete(plays: DataFrame, headers: DataFrame) -> DataFrame:
     return plays.where(own).join(short.distinct(), ["_drop", "_header"], "left_anti")
 
 
-def recompute(spark: SparkSession, root: str, songs: DataFrame, dates: DataFrame, months: list[str], replace: bool = False) -> None:
+def recompute(spark: SparkSession, root: str, songs: DataFrame, dates: DataFrame, months: list[str], replace: bool = False,
+              drops: list[str] | None = None) -> None:
     """Recompute the KPIs of ``dates`` (one column ``date``), which lie in ``months``, from the stored
-    plays and replace them. ``songs`` is clean."""
+    plays and replace them. ``songs`` is clean. ``drops``: the digests of all drops with plays of those dates, where
+    the caller knows them; otherwise they are found in the plays."""
     p = paths(root)
     stored = MonthTable(spark, p["plays"]).read(months)
     stored = stored.join(dates, stored["_date"].eqNullSafe(dates["date"]), "left_semi")
     if replace:
         last = stored.groupBy(F.col("_date").alias("date")).agg(F.max("_drop").alias("last"))
         stored = stored.join(last, stored["_date"].eqNullSafe(last["date"]) & (stored["_drop"] == last["last"]), "left_semi")
-    plays = _complete(stored, drop_headers(spark, root, stored.select("_drop").distinct())).drop(*_OWN).dropDuplicates()
-    keyed_upsert(kpis_from_clean(plays, songs), p["kpis"], replaced=dates)
+    if drops is None:
+        drops = [r["d"] for r in stored.select(_digest(F.col("_drop")).alias("d")).distinct().collect()]
+    plays = _complete(stored, drop_headers(spark, root, drops)).drop(*_OWN).dropDuplicates()
+    keyed_upsert(kpis_from_clean(plays, songs), p["kpis"], replaced=dates, months=months)
 
 
 def process_batch(spark: SparkSession, root: str, songs: DataFrame, replace: bool = False,
@@ -149,7 +163,7 @@ def process_batch(spark: SparkSession, root: str, songs: DataFrame, replace: boo
     def run(files: DataFrame, batch_id: int) -> None:
         ensure_defaults(spark)
         with scratch_scope(spark):
-            own = store_batch(spark, files.select("path"), batch_id, root, na_tokens)
+            own, batch_drops = store_batch(spark, files.select("path"), batch_id, root, na_tokens)
             if not own:
                 return
             plays = MonthTable(spark, paths(root)["plays"])
@@ -158,7 +172,7 @@ def process_batch(spark: SparkSession, root: str, songs: DataFrame, replace: boo
             own_dates = stage(found(plays.read_folder(name)), "dates", spark)
             # files of one drop may have come in earlier batches: their dates may change with it
             drops = own_dates.select("_drop").distinct()
-            batches = [r["batch_id"] for r in drop_headers(spark, root, drops).select("batch_id").distinct().collect()]
+            batches = [r["batch_id"] for r in drop_headers(spark, root, batch_drops).select("batch_id").distinct().collect()]
             if batches == [batch_id]:
                 dates, months = own_dates.select("date").distinct(), own
             else:
@@ -167,7 +181,8 @@ def process_batch(spark: SparkSession, root: str, songs: DataFrame, replace: boo
                 rows = plays.read() if any(f is None for f in folders) else reduce(DataFrame.unionByName, folders)
                 dates = stage(found(rows).join(drops, "_drop", "left_semi").select("date").distinct(), "dates", spark)
                 months = [r["m"] for r in dates.select(month_of(F.col("date")).alias("m")).distinct().collect()]
-            recompute(spark, root, songs, dates, months, replace)
+            alone = plays.folders_of(months) == {name}  # no play of another drop lies in these months
+            recompute(spark, root, songs, dates, months, replace, batch_drops if alone else None)
     return run
 
 
