@@ -397,3 +397,16 @@ def test_text_to_long(spark, text, number):
 def test_final_order(spark):
     got = daily_kpis(*domain(spark, SF0001)[:2]).select("date", "listen_count", "track_genre").collect()
     assert got == sorted(got, key=lambda r: (r["date"], -r["listen_count"], r["track_genre"] is not None, r["track_genre"] or ""))
+
+
+def test_stream_takes_empty_files_and_odd_paths(spark, tmp_path):
+    songs = spark.createDataFrame([("1", "a", "pop", 60000)], "track_id string, track_name string, track_genre string, duration_ms bigint")
+    drop = tmp_path / "in" / "d 1%+x"
+    drop.mkdir(parents=True)
+    for name, text in (("a.csv", ""), ("b + %20.csv", "﻿user_id,track_id,listen_time\n7,1,2024-01-02 03:04:05\n8,1,2024-01-02 03:04:05\n")):
+        (drop / name).write_text(text, encoding="utf-8")  # a batch of an empty file alone, then one with plays
+        q = I.kpi_stream(spark, str(tmp_path / "in" / "*"), songs, str(tmp_path / "state"))
+        q.awaitTermination()
+        assert q.exception() is None
+    (row,) = I.read_kpis(spark, str(tmp_path / "state")).collect()
+    assert (row["listen_count"], row["unique_listeners"], row["top_3_songs_per_genre"]) == (2, 2, "a")
