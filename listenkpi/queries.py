@@ -222,6 +222,17 @@ def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
         quality.clean_plays(csv_source.read_plays(spark, root)), quality.clean_songs(songs)))
 
 
+def _write_under(lines: DataFrame, head: list[str], path: str) -> None:
+    """Write ready CSV lines (``value``) by as many tasks as there are, under the lines ``head`` in each file; one file has
+    those alone."""
+    lines = lines.unionByName(lines.sparkSession.range(0, 1, 1, 1).select(F.lit(None).cast("string").alias("value")))
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0  # of its task, and so of its file
+    told = lines.select("value", first.alias("first")).select(
+        F.explode(F.when(F.col("first"), F.array(*map(F.lit, head), F.col("value"))).otherwise(F.array("value"))).alias("value"))
+    out = told.where("value IS NOT NULL").write.option("sep", "\u0001").option("emptyValue", "")
+    out.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
 def csv_blank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Play files that begin with blank lines, half of them with another order of columns; the
     header is the first line that isn't blank, and no play is lost."""
@@ -230,13 +241,7 @@ def csv_blank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, cols, rows in (("a", ["user_id", "track_id", "listen_time"], plays.where(_early())),
                              ("b", ["listen_time", "user_id", "track_id"], plays.where(~_early()))):
         line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
-        lines = rows.select(F.pmod(F.xxhash64(*cols), F.lit(4)).alias("file"), F.lit(3).alias("at"), line.alias("value"))
-        # every file: two blank lines, the header, then its lines
-        tops = F.array(*[F.struct(F.lit(k).alias("at"), F.lit(v).alias("value")) for k, v in enumerate(["", "  ", ",".join(cols)])])
-        first = spark.range(4).select(F.col("id").alias("file"), F.inline(tops))
-        text = first.unionByName(lines).repartitionByRange(4, "file").sortWithinPartitions("file", "at")
-        text = text.select("file", "value").write.partitionBy("file").option("sep", "\u0001").option("emptyValue", "")
-        text.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{root}/{name}")
+        _write_under(rows.select(line.alias("value")), [" ", "  ", ",".join(cols)], f"{root}/{name}")
     return jobs.daily_kpis(csv_source.read_plays(spark, root), songs)
 
 

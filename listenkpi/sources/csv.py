@@ -99,9 +99,11 @@ def _headers(spark: SparkSession, paths: Sequence[str], deep: bool) -> DataFrame
         .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"), F.monotonically_increasing_id().alias("at"))
     )
     blank = F.col("line").rlike('^\ufeff?\\s*(?:"")?\\s*$')
-    first = lines.groupBy("file").agg(F.min_by("line", F.when(~blank, F.col("at"))).alias("line"))
-    first = first.select(_decoded(F.col("file")).alias("path"), F.regexp_replace("line", "^\ufeff", "").alias("line"))
-    return first.select("path", F.coalesce(_names(F.col("line")), F.array().cast("array<string>")).alias("header"))
+    # min_by of texts alone would be a sort of every line (their state has no fixed width); with a set beside it, the files are hashed
+    first = lines.groupBy("file").agg(F.min_by("line", F.when(~blank, F.col("at"))).alias("line"), F.collect_set(blank).alias("kinds"))
+    first = first.select(_decoded(F.col("file")).alias("path"), F.regexp_replace("line", "^\ufeff", "").alias("line"), "kinds")
+    told = F.when(F.array_contains("kinds", False), _names(F.col("line")))
+    return first.select("path", F.coalesce(told, F.array().cast("array<string>")).alias("header"))
 
 
 def folder_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

@@ -8,7 +8,9 @@ from conftest import SF0001, rows
 from pyspark.sql import functions as F
 
 from listenkpi import clean_songs, daily_kpis
+from listenkpi import queries as Q
 from listenkpi.functions.columns import to_long
+from listenkpi.plans import inspect
 from listenkpi.session import run_folder, scratch_path
 from listenkpi.sources import csv as C
 from listenkpi.sources import records, sinks
@@ -410,3 +412,25 @@ def test_stream_takes_empty_files_and_odd_paths(spark, tmp_path):
         assert q.exception() is None
     (row,) = I.read_kpis(spark, str(tmp_path / "state")).collect()
     assert (row["listen_count"], row["unique_listeners"], row["top_3_songs_per_genre"]) == (2, 2, "a")
+
+
+def test_header_scan_sorts_no_lines(spark, tmp_path):
+    """The first line that isn't blank is found without a sort of every line of the files."""
+    d = tmp_path / "p"
+    write(d, "a.csv", "\n  \nuser_id,track_id\n" + "u,t\n" * 1000)
+    write(d, "b.csv", "track_id,user_id\n")
+    write(d, "c.csv", "\n\n")
+    headers = C.folder_headers(spark, str(d))
+    assert {r["path"][-5:]: r["header"] for r in headers.collect()} == {"a.csv": ["user_id", "track_id"], "b.csv": ["track_id", "user_id"], "c.csv": []}
+    plan = inspect.plan_text(headers, "simple")
+    assert "Sort" not in plan and "ObjectHashAggregate" in plan
+
+
+def test_files_under_a_head_are_as_many_as_tasks(spark, tmp_path):
+    lines = spark.range(0, 100, 1, 7).select(F.col("id").cast("string").alias("value"))
+    Q._write_under(lines, [" ", "  ", "n"], str(tmp_path / "many"))
+    Q._write_under(lines.limit(0), [" ", "  ", "n"], str(tmp_path / "none"))
+    told = [open(f).read().split("\n") for f in tmp_path.glob("many/*.csv")]
+    assert len(told) == 8 and all(t[:3] == [" ", "  ", "n"] and t[-1] == "" for t in told)
+    assert sorted(int(x) for t in told for x in t[3:-1]) == list(range(100))
+    assert [r["header"] for r in C.folder_headers(spark, str(tmp_path / "none")).collect()] == [["n"]]
