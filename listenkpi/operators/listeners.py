@@ -1,11 +1,11 @@
 """Distinct listeners that merge: bitmaps over dense listener numbers.
 
 A count of distinct listeners can't be added up over drops, but sets of listeners can be merged. Each listener
-gets a number once (dense, from 1, in a table that only grows), and the listeners of a (date, genre) are bitmaps of 32,768 numbers each
-(``bitmap_bucket_number``, ``bitmap_bit_position``). Bitmaps of drops made apart are merged with
-``bitmap_or_agg``; the bits set are the distinct listeners, exactly. A bitmap is 4 kB before compression, so where a genre's
-day has few listeners among very many, ``count(distinct)`` over plays is the smaller way; for the busy days that
-cost time, bitmaps are far smaller than the listeners themselves.
+gets a number once (dense, from 1, in a table that only grows), and the listeners of a (date, genre) are bitmaps of 32,768 numbers
+each, of which the words of 64 bits that hold a listener are kept (``words``, their places, and ``bits``). So a bitmap takes 10 bytes for each
+listener at most, 5 kB where all are there, and a group of few listeners among very many costs little. Bitmaps of drops
+made apart are merged word by word; the bits set are the distinct listeners, exactly. Rows are dealt to tasks by how many
+there are, not by their compressed bytes (which tell little of a bitmap), so a task's memory doesn't grow with the tables.
 """
 
 from __future__ import annotations
@@ -18,6 +18,10 @@ from listenkpi.operators.numbering import numbered
 from listenkpi.sources.sinks import stage
 
 BUCKET = "bucket"
+#: Numbers of a bitmap, and of a word of it.
+SPAN, WORD = 32_768, 64
+#: Listens (bitmaps) that a task gathers on average.
+TASK_LISTENS, TASK_BITMAPS = 250_000, 16_384
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -40,18 +44,30 @@ def number_listeners(listens: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(fresh.schema).parquet(path)
 
 
+def _gathered(words: DataFrame) -> DataFrame:
+    """Bitmaps of ``KEYS, bucket, word, bits``, which lie together by ``KEYS, bucket``."""
+    whole = words.groupBy(*KEYS, BUCKET, "word").agg(F.bit_or("bits").alias("bits"))
+    held = whole.groupBy(*KEYS, BUCKET).agg(F.collect_list(F.struct("word", "bits")).alias("held"))
+    return held.select(*KEYS, BUCKET, F.struct(F.col("held.word").alias("words"), F.col("held.bits").alias("bits")).alias("listeners"))
+
+
 def listener_bitmaps(listens: DataFrame, numbers: DataFrame) -> DataFrame:
-    """``date, track_genre, bucket, listeners``: the listeners of each group as bitmaps."""
+    """``date, track_genre, bucket, listeners``: the listeners of each group as bitmaps. ``listens`` is a stored table
+    (its rows are counted)."""
+    parts = 1 + listens.count() // TASK_LISTENS
     own = listens.select(*KEYS, "user_id").distinct().join(numbers, "user_id")
-    return own.groupBy(*KEYS, F.bitmap_bucket_number("number").alias(BUCKET)).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("listeners"))
+    told = own.select(*KEYS, F.expr(f"(number - 1) div {SPAN}").alias(BUCKET), F.expr(f"(number - 1) % {SPAN} div {WORD}").cast("smallint").alias("word"),
+                      F.expr(f"shiftleft(1L, cast((number - 1) % {WORD} as int))").alias("bits"))
+    return _gathered(told.repartition(parts, *KEYS, BUCKET))
 
 
 def merge_bitmaps(bitmaps: DataFrame) -> DataFrame:
-    """Bitmaps of several drops as one for each group and bucket."""
-    return bitmaps.groupBy(*KEYS, BUCKET).agg(F.bitmap_or_agg("listeners").alias("listeners"))
+    """Bitmaps of several drops as one for each group and bucket. ``bitmaps`` is read from stored tables (its rows are counted)."""
+    rows = bitmaps.repartition(1 + bitmaps.count() // TASK_BITMAPS, *KEYS, BUCKET)
+    return _gathered(rows.select(*KEYS, BUCKET, F.inline(F.arrays_zip(F.col("listeners.words").alias("word"), F.col("listeners.bits").alias("bits")))))
 
 
 def count_listeners(merged: DataFrame) -> DataFrame:
     """``date, track_genre, unique_listeners`` from merged bitmaps."""
-    return merged.groupBy(*KEYS).agg(F.sum(F.bitmap_count("listeners")).alias("unique_listeners"))
+    own = F.aggregate("listeners.bits", F.lit(0).cast("bigint"), lambda n, word: n + F.bit_count(word))
+    return merged.groupBy(*KEYS).agg(F.sum(own).alias("unique_listeners"))

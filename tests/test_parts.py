@@ -87,6 +87,18 @@ def test_listeners_of_drops_merge_exactly(spark):
     assert wide.count() == 4 and listeners.count_listeners(wide).first()["unique_listeners"] == 100_000
 
 
+def test_bitmaps_of_few_listeners_are_small(spark):
+    """A bitmap holds the words that have a listener: of 100 groups with 3 listeners each among 100,000, 3 words each."""
+    path = scratch_path(spark, "numbers-sparse")
+    users = spark.range(100_000).select(F.lit(None).cast("date").alias("date"), F.lit("x").alias("track_genre"), F.col("id").cast("string").alias("user_id"))
+    numbers = listeners.number_listeners(users, path)
+    few = numbers.where("number % 333 = 0").select(F.lit(dt.date(2024, 1, 1)).alias("date"), (F.col("number") % 100).cast("string").alias("track_genre"), "user_id")
+    made = listeners.listener_bitmaps(few, numbers)
+    assert made.agg(F.sum(F.size("listeners.bits")).alias("n")).first()["n"] == few.count()
+    twice = listeners.count_listeners(listeners.merge_bitmaps(made.unionByName(made)))
+    assert rows(twice, "track_genre", "unique_listeners") == rows(few.groupBy("track_genre").agg(F.countDistinct("user_id").alias("n")), "track_genre", "n")
+
+
 def _kpis(df):
     return rows(df, *df.columns)
 
