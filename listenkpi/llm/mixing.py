@@ -136,8 +136,8 @@ def _dot(p: list[Column], u: list[Column]) -> Column:
 def _after(p: Column, names: list[str], start: Column, steps: list[list[float]]) -> Column:
     """The pair ``r, q`` (rate, rate before) after ``steps``, from the pair ``start``. A step holds the
     gradient of each domain and, last, the momentum that it starts with."""
-    told = F.split(F.lit(";".join(",".join(map(repr, g)) for g in steps)), ";")
-    listed = F.transform(told, lambda s: F.split(s, ",").cast("array<double>")) if steps else F.array().cast("array<array<double>>")
+    # a literal once folded; steps told as one string would be parsed again for each row
+    listed = F.array(*[F.array(*map(F.lit, g)) for g in steps]).cast("array<array<double>>")
     own = [p[x] for x in names]
 
     def step(pair: Column, u: Column) -> Column:
